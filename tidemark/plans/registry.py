@@ -39,6 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     """Import every query module so that its ``register`` calls run."""
     from . import (  # noqa: F401
+        clean_queries,
         file_queries,
         gold_queries,
         history_queries,
