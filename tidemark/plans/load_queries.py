@@ -1 +1,247 @@
-"""Queries of this group (filled in below)."""
+"""Load-type queries (I1-I7, J8-J10, A2, S8, S10, K7) over the events table.
+
+Event types stand for source tables / feeds. Bookmarks, processed logs and
+the feed listing are derived from the events themselves, so every query's
+work grows with the table; only the per-table load config is a fixed list.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
+
+from ..operators.incremental import (
+    apply_plan,
+    config_lookup,
+    dated_paths,
+    late_files,
+    load_backfill,
+    load_full,
+    load_incremental,
+    log_processed,
+    missing_file_alerts,
+    pending_dates,
+    plan_loads,
+    unprocessed_files,
+    watermark_advance,
+    watermark_max,
+)
+from .registry import register, table
+
+AS_OF = "2024-01-31"
+PREVIOUS_RUN = "2024-01-20"
+
+# Fixed load config: table, load type, bookmark column, backfill days.
+LOAD_CONFIG = [
+    ("click", "FULL", "ts", None),
+    ("error", "INCR", "ts", None),
+    ("purchase", "INCR", "ts", None),
+    ("signup", "BACKFILL", "ts", 3),
+    ("view", "BACKFILL", "ts", 10),
+    ("refund", "INCR", "ts", None),
+]
+LOAD_CONFIG_SCHEMA = StructType([
+    StructField("table_name", StringType()), StructField("load_type", StringType()),
+    StructField("watermark_column", StringType()), StructField("backfill_days", IntegerType())])
+
+_CFG_SQL = """cfg AS (SELECT * FROM (VALUES ('click', 'FULL', NULL), ('error', 'INCR', NULL),
+  ('purchase', 'INCR', NULL), ('signup', 'BACKFILL', 3), ('view', 'BACKFILL', 10), ('refund', 'INCR', NULL))
+  v(table_name, load_type, backfill_days))"""
+_WM_SQL = f"""wm AS (SELECT event_type AS table_name, max(ts) AS value FROM events
+  WHERE ts < TIMESTAMP '{PREVIOUS_RUN}' GROUP BY event_type
+  UNION ALL SELECT 'refund', TIMESTAMP '2024-01-10')"""
+_PLAN_SQL = f"""plan AS (SELECT c.table_name, c.load_type,
+  CASE WHEN c.load_type = 'INCR' THEN w.value
+       WHEN c.load_type = 'BACKFILL' THEN CAST(DATE '{AS_OF}' - CAST(c.backfill_days AS INTEGER) AS TIMESTAMP)
+  END AS lb
+  FROM cfg c LEFT JOIN wm w ON c.table_name = w.table_name),
+loaded AS (SELECT e.*, p.load_type FROM events e JOIN plan p ON e.event_type = p.table_name
+  WHERE p.lb IS NULL OR (p.load_type = 'BACKFILL' AND e.ts >= p.lb)
+     OR (p.load_type <> 'BACKFILL' AND e.ts > p.lb))"""
+
+
+def events(spark, sf_dir):
+    return table(spark, sf_dir, "events")
+
+
+def previous_watermarks(spark, sf_dir):
+    ev = events(spark, sf_dir).filter(F.col("ts") < F.lit(PREVIOUS_RUN).cast(TimestampNTZType()))
+    extra = spark.createDataFrame([("refund", "2024-01-10 00:00:00")], ["table_name", "value"]).select(
+        "table_name", F.col("value").cast(TimestampNTZType()).alias("value"))
+    return watermark_max(ev, "event_type", "ts").unionByName(extra)
+
+
+def planned_rows(spark, sf_dir):
+    cfg = spark.createDataFrame(LOAD_CONFIG, LOAD_CONFIG_SCHEMA)
+    plan = plan_loads(cfg, previous_watermarks(spark, sf_dir), AS_OF)
+    return apply_plan(events(spark, sf_dir), plan, "event_type", "ts")
+
+
+@register("load_full", "SELECT * FROM events")
+def q_load_full(spark, sf_dir):
+    return load_full(events(spark, sf_dir))
+
+
+@register("load_incremental", "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-20'")
+def q_load_incremental(spark, sf_dir):
+    return load_incremental(events(spark, sf_dir), "ts", "2024-01-20 00:00:00")
+
+
+@register("load_backfill", f"SELECT * FROM events WHERE ts >= CAST(DATE '{AS_OF}' - 7 AS TIMESTAMP)")
+def q_load_backfill(spark, sf_dir):
+    return load_backfill(events(spark, sf_dir), "ts", AS_OF, 7)
+
+
+@register("load_plan", f"WITH {_CFG_SQL}, {_WM_SQL}, {_PLAN_SQL} SELECT * FROM loaded")
+def q_load_plan(spark, sf_dir):
+    return planned_rows(spark, sf_dir)
+
+
+@register("watermark_max", "SELECT event_type AS table_name, max(ts) AS value FROM events GROUP BY event_type")
+def q_watermark_max(spark, sf_dir):
+    return watermark_max(events(spark, sf_dir), "event_type", "ts")
+
+
+@register("watermark_advance", f"""WITH {_CFG_SQL}, {_WM_SQL}, {_PLAN_SQL},
+newmax AS (SELECT event_type AS table_name, max(ts) AS new_value FROM loaded GROUP BY event_type)
+SELECT coalesce(w.table_name, n.table_name) AS table_name, greatest(w.value, n.new_value) AS value
+FROM wm w FULL OUTER JOIN newmax n ON w.table_name = n.table_name""")
+def q_watermark_advance(spark, sf_dir):
+    return watermark_advance(previous_watermarks(spark, sf_dir), planned_rows(spark, sf_dir), "event_type", "ts")
+
+
+def _bookmarks_and_processed(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    bookmarks = (ev.filter(F.col("ts") < F.lit(PREVIOUS_RUN).cast(TimestampNTZType()))
+                 .groupBy(F.col("event_type").alias("source_name"))
+                 .agg(F.to_date(F.max("ts")).alias("last_date")))
+    processed = (ev.filter(F.hour("ts") == 0)
+                 .select(F.col("event_type").alias("source_name"), F.to_date("ts").alias("business_date"))
+                 .distinct())
+    return bookmarks, processed
+
+
+@register("pending_dates", f"""
+WITH b AS (SELECT event_type AS source_name, CAST(max(ts) AS DATE) AS last_date FROM events
+           WHERE ts < TIMESTAMP '{PREVIOUS_RUN}' GROUP BY event_type),
+p AS (SELECT DISTINCT event_type AS source_name, CAST(ts AS DATE) AS business_date FROM events
+      WHERE hour(ts) = 0),
+cal AS (SELECT source_name,
+               CAST(unnest(generate_series(CAST(last_date + 1 AS TIMESTAMP), TIMESTAMP '{AS_OF}',
+                                           INTERVAL 1 DAY)) AS DATE) AS business_date
+        FROM b)
+SELECT source_name, business_date FROM cal
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.source_name = cal.source_name AND p.business_date = cal.business_date)
+""")
+def q_pending_dates(spark, sf_dir):
+    bookmarks, processed = _bookmarks_and_processed(spark, sf_dir)
+    return pending_dates(bookmarks, processed, AS_OF)
+
+
+def feed_config(spark, sf_dir):
+    """File-ingestion config (F8) for the feeds the event types stand for."""
+    t = F.col("event_type")
+    return events(spark, sf_dir).select(t.alias("source_name")).distinct().select(
+        "source_name",
+        F.concat(F.lit("/feeds/"), "source_name", F.lit("/")).alias("source_folder"),
+        F.concat("source_name", F.lit("_*.json")).alias("file_pattern"),
+        F.lit("JSON").alias("file_type"),
+        F.concat(F.lit("silver_"), "source_name").alias("target_table"),
+        F.lit(True).alias("date_partitioned"),
+        F.lit(True).alias("expected_daily"),
+        (F.col("source_name") != "view").alias("validation_required"))
+
+
+_FEED_CFG_SQL = """cfg AS (SELECT source_name, '/feeds/' || source_name || '/' AS source_folder,
+  source_name || '_*.json' AS file_pattern, 'JSON' AS file_type, 'silver_' || source_name AS target_table,
+  true AS date_partitioned, true AS expected_daily, source_name <> 'view' AS validation_required
+  FROM (SELECT DISTINCT event_type AS source_name FROM events) d)"""
+
+
+@register("config_lookup", f"WITH {_FEED_CFG_SQL} SELECT * FROM cfg WHERE source_name = 'purchase'")
+def q_config_lookup(spark, sf_dir):
+    return config_lookup(feed_config(spark, sf_dir), "purchase")
+
+
+def feed_listing(spark, sf_dir):
+    """One file per (feed, business day) with its record count; every fifth
+    file by record count arrives a day late."""
+    ev = events(spark, sf_dir)
+    g = ev.groupBy(F.col("event_type").alias("source_name"), F.to_date("ts").alias("business_date")).agg(
+        F.count(F.lit(1)).alias("n_records"))
+    return g.select(
+        "source_name",
+        F.concat(F.lit("/feeds/"), "source_name", F.lit("/")).alias("source_folder"),
+        F.concat("source_name", F.lit("_"), F.date_format("business_date", "yyyyMMdd"), F.lit(".json"))
+         .alias("file_name"),
+        "business_date",
+        F.when(F.col("n_records") % 5 == 0, F.date_add("business_date", 1))
+         .otherwise(F.col("business_date")).alias("arrival_date"),
+        "n_records")
+
+
+def processed_log(listing):
+    """Files before the 25th were processed; those of every 7th day failed."""
+    return listing.filter(F.col("business_date") < F.lit("2024-01-25").cast("date")).select(
+        "source_name", "file_name", F.date_add("business_date", 1).alias("processed_date"),
+        F.when(F.dayofmonth("business_date") % 7 == 0, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"))
+
+
+_LISTING_SQL = """listing AS (
+  SELECT source_name, '/feeds/' || source_name || '/' AS source_folder,
+         source_name || '_' || strftime(business_date, '%Y%m%d') || '.json' AS file_name,
+         business_date,
+         CASE WHEN n_records % 5 = 0 THEN business_date + 1 ELSE business_date END AS arrival_date,
+         n_records
+  FROM (SELECT event_type AS source_name, CAST(ts AS DATE) AS business_date, count(*) AS n_records
+        FROM events GROUP BY 1, 2) g),
+log AS (
+  SELECT source_name, file_name, business_date + 1 AS processed_date,
+         CASE WHEN day(business_date) % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status
+  FROM listing WHERE business_date < DATE '2024-01-25'),
+unprocessed AS (
+  SELECT * FROM listing l WHERE NOT EXISTS (
+    SELECT 1 FROM log g WHERE g.status = 'SUCCESS' AND g.source_name = l.source_name
+                          AND g.file_name = l.file_name))"""
+
+
+@register("dated_paths", f"""WITH {_LISTING_SQL}
+SELECT *, source_folder || strftime(business_date, '%Y/%m/%d') || '/' AS path FROM listing""")
+def q_dated_paths(spark, sf_dir):
+    return dated_paths(feed_listing(spark, sf_dir))
+
+
+@register("unprocessed_files", f"WITH {_LISTING_SQL} SELECT * FROM unprocessed")
+def q_unprocessed_files(spark, sf_dir):
+    listing = feed_listing(spark, sf_dir)
+    return unprocessed_files(listing, processed_log(listing))
+
+
+@register("late_files", f"""WITH {_LISTING_SQL}
+SELECT *, CAST(date_diff('day', business_date, arrival_date) AS INTEGER) AS days_late FROM unprocessed
+WHERE date_diff('day', business_date, arrival_date) > 0""")
+def q_late_files(spark, sf_dir):
+    listing = feed_listing(spark, sf_dir)
+    return late_files(unprocessed_files(listing, processed_log(listing)))
+
+
+@register("missing_file_alerts", f"""WITH {_FEED_CFG_SQL}, {_LISTING_SQL},
+cal AS (SELECT source_name, CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '{AS_OF}',
+                                                        INTERVAL 1 DAY)) AS DATE) AS business_date
+        FROM cfg WHERE expected_daily)
+SELECT source_name, business_date,
+       'missing file: ' || source_name || ' ' || strftime(business_date, '%Y-%m-%d') AS alert
+FROM cal c WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.source_name = c.source_name
+                                                        AND l.business_date = c.business_date)""")
+def q_missing_file_alerts(spark, sf_dir):
+    return missing_file_alerts(feed_config(spark, sf_dir), feed_listing(spark, sf_dir), "2024-01-01", AS_OF)
+
+
+@register("file_log_update", f"""WITH {_LISTING_SQL}
+SELECT source_name, file_name, processed_date, status FROM log
+UNION ALL
+SELECT source_name, file_name, DATE '2024-02-01', 'SUCCESS' FROM unprocessed""")
+def q_file_log_update(spark, sf_dir):
+    listing = feed_listing(spark, sf_dir)
+    log = processed_log(listing)
+    return log_processed(log, unprocessed_files(listing, log), "2024-02-01")
