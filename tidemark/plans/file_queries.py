@@ -1 +1,152 @@
-"""Queries of this group (filled in below)."""
+"""File round-trip queries.
+
+Each query writes driver tables as real files into a fresh folder under the
+shared checkpoint folder (``spark.checkpoint.dir``; never a machine-local
+temp folder on a cluster), reads them back through the operator and returns
+the result. Nondeterministic lineage (part-file names, load ids) is kept in
+the written data but left out of the returned columns.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from ..operators.joins import is_bounded, join_small
+from ..operators.quality import Rule, validate
+from ..session import shared_dir
+from ..sinks.writers import land_bronze, load_report, text_writer, with_lineage, write_observed, write_silver
+from ..sources.files import read_evolving, read_files, read_source
+from .load_queries import feed_config
+from .registry import register, table
+
+INGEST_DATE = "2024-02-01"
+
+
+@register("file_csv", "SELECT * FROM part")
+def q_file_csv(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    path = shared_dir(spark, "feed-csv")
+    text_writer(part, "csv").save(path)
+    return read_source(spark, "CSV", path, schema=part.schema)
+
+
+@register("file_json", "SELECT * FROM customer")
+def q_file_json(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    path = shared_dir(spark, "feed-json")
+    text_writer(cust, "json").save(path)
+    return read_source(spark, "JSON", path, schema=cust.schema)
+
+
+@register("file_parquet", "SELECT * FROM orders")
+def q_file_parquet(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    path = shared_dir(spark, "feed-parquet")
+    orders.write.parquet(path)
+    return read_source(spark, "PARQUET", path)
+
+
+@register("generic_read", "SELECT * FROM lineitem")
+def q_generic_read(spark, sf_dir):
+    return read_source(spark, "parquet", f"{sf_dir.rstrip('/')}/lineitem.parquet")
+
+
+def _write_dated_feed(spark, sf_dir):
+    """Events as JSON files in ``source/yyyy/MM/dd`` folders (one feed per type)."""
+    ev = table(spark, sf_dir, "events")
+    root = shared_dir(spark, "feeds")
+    dated = ev.withColumns({"yyyy": F.date_format("ts", "yyyy"), "MM": F.date_format("ts", "MM"),
+                            "dd": F.date_format("ts", "dd")})
+    text_writer(dated, "json", partition_by=["event_type", "yyyy", "MM", "dd"]).save(root)
+    return root, ev.drop("event_type").schema
+
+
+@register("file_inventory", """
+SELECT event_type AS source_name, CAST(ts AS DATE) AS business_date, count(*) AS n_records
+FROM events GROUP BY 1, 2
+""")
+def q_file_inventory(spark, sf_dir):
+    root, schema = _write_dated_feed(spark, sf_dir)
+    df = read_files(spark, "JSON", root, schema, pathGlobFilter="*.json", recursiveFileLookup="true")
+    folder = r"event_type=([^/]+)/yyyy=(\d{4})/MM=(\d{2})/dd=(\d{2})/"
+    p = F.col("_file_path")
+    day = F.to_date(F.concat_ws("-", F.regexp_extract(p, folder, 2), F.regexp_extract(p, folder, 3),
+                                F.regexp_extract(p, folder, 4)))
+    return (df.select(F.regexp_extract(p, folder, 1).alias("source_name"), day.alias("business_date"))
+            .groupBy("source_name", "business_date").agg(F.count(F.lit(1)).alias("n_records")))
+
+
+@register("bronze_land", f"""
+SELECT event_id, ts, user_id, value, props, event_type AS source_name, DATE '{INGEST_DATE}' AS _ingest_date
+FROM events
+""")
+def q_bronze_land(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    feed = shared_dir(spark, "feed-events")
+    text_writer(ev, "json", partition_by=["event_type"]).save(feed)
+    raw = read_source(spark, "JSON", feed, ev.drop("event_type").schema)
+    landed = with_lineage(raw.withColumnRenamed("event_type", "source_name"), ingest_date=INGEST_DATE,
+                          load_id="run-1")
+    bronze = shared_dir(spark, "bronze")
+    land_bronze(landed, bronze)
+    return (read_source(spark, "PARQUET", bronze)
+            .select("event_id", "ts", "user_id", "value", "props", "source_name", "_ingest_date"))
+
+
+@register("bronze_evolve", """
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN ts < TIMESTAMP '2024-01-15' THEN value END AS value,
+       CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN props END AS props,
+       CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN CASE WHEN value > 50 THEN 'web' ELSE 'app' END END AS channel
+FROM events
+""")
+def q_bronze_evolve(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    cut = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    p1, p2 = shared_dir(spark, "batch1"), shared_dir(spark, "batch2")
+    ev.filter(cut).select("event_id", "ts", "user_id", "event_type", "value").write.parquet(p1)
+    ev.filter(~cut).select("event_id", "ts", "user_id", "event_type", "props",
+                           F.when(F.col("value") > 50, "web").otherwise("app").alias("channel")).write.parquet(p2)
+    return read_evolving(spark, "PARQUET", [p1, p2])
+
+
+# Fixed silver rules for the event feeds.
+SILVER_RULES = [Rule("v1", "value", "range", (0, 400)), Rule("v2", "user_id", "not_null")]
+
+
+@register("silver_load", """
+SELECT event_id, ts, user_id, value, props, event_type AS source_name FROM events
+WHERE event_type = 'view' OR (value >= 0 AND value <= 400 AND user_id IS NOT NULL)
+""")
+def q_silver_load(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumnRenamed("event_type", "source_name")
+    cfg = feed_config(spark, sf_dir).select("source_name", "validation_required")
+    # config is one row per feed: broadcast after a size check, no shuffle of the events
+    flagged = join_small(ev, cfg, "source_name", "left")
+    checked = validate(flagged, SILVER_RULES)
+    silver_rows = checked.filter(~F.coalesce(F.col("validation_required"), F.lit(True))
+                                 | (F.col("failed_rules") == "")).drop("validation_required", "failed_rules")
+    path = shared_dir(spark, "silver")
+    write_silver(silver_rows, path, partition_by=["source_name"])
+    return read_source(spark, "PARQUET", path).select("event_id", "ts", "user_id", "value", "props", "source_name")
+
+
+@register("load_report", """
+SELECT 'customer_' || lower(r_name) AS target_table, 'sdm' AS schema, count(c_custkey) AS rows_loaded
+FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+GROUP BY r_name
+""")
+def q_load_report(spark, sf_dir):
+    region = table(spark, sf_dir, "region")
+    if not is_bounded(region, 10_000):
+        raise ValueError("region list too large for per-target counters")
+    names = [r["r_name"] for r in region.select("r_name").distinct().collect()]
+    cust = table(spark, sf_dir, "customer")
+    geo = table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = join_small(cust, geo, F.col("c_nationkey") == F.col("n_nationkey"), "inner").select(
+        "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "r_name")
+    counters = {f"n{i}": F.sum(F.when(F.col("r_name") == F.lit(n), 1).otherwise(0)).cast(LongType())
+                for i, n in enumerate(names)}
+    m = write_observed(rows, shared_dir(spark, "sdm-customer"), partition_by=["r_name"], metrics=counters)
+    return load_report(spark, [(f"customer_{n.lower()}", "sdm", m[f"n{i}"]) for i, n in enumerate(names)])

@@ -20,6 +20,24 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from ..session import shared_dir
 
+# Text formats (JSON/CSV) write timestamps with millisecond precision by
+# default; these options keep the microseconds Spark and parquet hold.
+TEXT_TIMESTAMP_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def text_writer(df: DataFrame, fmt: str, mode: str = "errorifexists", partition_by: Sequence[str] | None = None):
+    """A ``DataFrameWriter`` for JSON/CSV that keeps full timestamp precision."""
+    w = df.write.format(fmt).mode(mode).options(**TEXT_TIMESTAMP_OPTIONS)
+    if fmt == "csv":
+        w = w.option("header", "true")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    return w
+
+
 REPORT_SCHEMA = StructType([
     StructField("target_table", StringType()), StructField("schema", StringType()),
     StructField("rows_loaded", LongType())])
