@@ -25,7 +25,7 @@ same result is the union of three joins AQE *can* split:
 
 The full-width shuffle of each side is shared by its inner join and its anti
 join (Spark reuses the identical exchange); the anti joins' other side ships
-key columns only. When a run's source is small, AQE turns the joins into
+only its distinct keys, pre-aggregated map-side. When a run's source is small, AQE turns the joins into
 broadcast joins from the measured shuffle size, so an incremental batch never
 re-shuffles a large target.
 """
@@ -37,12 +37,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
-
-from ..functions.columns import blank_to_null, null_safe_keys, overwrite_if_present
-
-_SRC = "__src__"
-
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from ..functions.columns import blank_to_null, overwrite_if_present
 
 class DuplicateKeyError(ValueError):
     """Raised by ``on_duplicate="error"`` when the source repeats a key."""
@@ -52,6 +59,27 @@ def _typed(c: Column, src_type, tgt_type) -> Column:
     return c if src_type == tgt_type else c.cast(tgt_type)
 
 
+def _filler(dtype: DataType) -> Column:
+    """Any non-null value of ``dtype``; it only fills the slot of a null key."""
+    if isinstance(dtype, BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    if isinstance(dtype, (StringType, BinaryType)):
+        return F.lit("").cast(dtype)
+    raise TypeError(f"unsupported key type {dtype.simpleString()}")
+
+
+def _null_safe_parts(name: str, tgt_type: DataType, src_type: DataType | None = None) -> tuple[Column, Column]:
+    """``(name IS NULL, coalesce(name, filler))`` in the target key's type."""
+    c = F.col(f"`{name}`")
+    if src_type is not None:
+        c = _typed(c, src_type, tgt_type)
+    return c.isNull(), F.coalesce(c, _filler(tgt_type))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (A5).
 
@@ -80,9 +108,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     if on_duplicate not in ("fanout", "error"):
         raise ValueError("on_duplicate must be 'fanout' or 'error'")
 
-    # Rename the source's key to the target's spelling, then namespace every
-    # source column so the join never resolves an ambiguous name (sources are
-    # often derived from the very table they are merged into).
+    # Rename the source's key to the target's spelling; the joins below refer to
+    # the two sides through DataFrame aliases, so a source derived from the
+    # very table it is merged into resolves unambiguously.
     src_key_rename = {s: t for t, s in pairs if s != t}
     if src_key_rename:
         source = source.select([F.col(f"`{c}`").alias(src_key_rename.get(c, c)) for c in source.columns])
@@ -96,50 +124,77 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     key_names = [t for t, _ in pairs]
     source_only = [c for c in source.columns if c not in ttypes]
 
-    s = source.select([F.col(f"`{c}`").alias(_SRC + c) for c in source.columns])
-    t_keys = [F.col(f"`{k}`") for k in key_names]
-    s_keys = [F.col(f"`{_SRC}{k}`") for k in key_names]
-    cond = null_safe_keys(t_keys, s_keys)
+    # Null-safe matching through two plain, never-null join columns per key:
+    # (key IS NULL, coalesce(key, filler)). Plain equality on them equals
+    # ``<=>`` on the key, and a grouping on them already has the partitioning
+    # the join needs, so the distinct-key sets below are shuffled only once.
+    t_parts = [c for k in key_names for c in _null_safe_parts(k, ttypes[k])]
+    s_parts = [c for k in key_names for c in _null_safe_parts(k, ttypes[k], stypes[k])]
+    names = [f"__k{i}" for i in range(len(t_parts))]
+    tn = target.withColumns(dict(zip(names, t_parts)))
+    sn = source.withColumns(dict(zip(names, s_parts)))
+
+    # Qualified references through DataFrame aliases: no renaming projection,
+    # so both sides keep one physical form and each side's shuffle is shared
+    # by its inner join and its anti join (ReusedExchange).
+    t, s = tn.alias("__t"), sn.alias("__s")
 
     def tcol(c: str) -> Column:
-        return F.col(f"`{c}`")
+        return F.col(f"__t.`{c}`")
 
     def scol(c: str) -> Column:
-        return F.col(f"`{_SRC}{c}`")
+        return F.col(f"__s.`{c}`")
+
+    def eq(left: list[Column], right: list[Column]) -> Column:
+        return reduce(lambda a, b: a & b, [x == y for x, y in zip(left, right)])
+
+    cond = eq([tcol(n) for n in names], [scol(n) for n in names])
 
     # matched rows (inner join: AQE may split a hot key on either side)
-    inner = target.join(s, cond, "inner")
     m_cols = []
     for c in target.columns:
         if c in key_names:
-            m_cols.append(tcol(c).alias(c))
+            # equal on matched rows; reading both keeps the source's exchange
+            # identical to the one its anti join uses, so it is shuffled once
+            m_cols.append(F.coalesce(tcol(c), _typed(scol(c), stypes[c], ttypes[c])).alias(c))
         elif c in stypes:
             new = _typed(scol(c), stypes[c], ttypes[c])
             m_cols.append(overwrite_if_present(new, tcol(c), ttypes[c]).alias(c))
         else:
             m_cols.append(tcol(c).alias(c))
     m_cols += [scol(c).alias(c) for c in source_only]
-    matched = inner.select(m_cols)
+    matched = t.join(s, cond, "inner").select(m_cols)
+
+    # Anti joins probe the other side's *distinct* keys: partial aggregation
+    # collapses a hot key to one row per map task before the shuffle.
+    def keys_of(df: DataFrame, tag: str) -> tuple[DataFrame, list[Column]]:
+        alias = [f"{tag}{i}" for i in range(len(names))]
+        keys = df.select([F.col(n).alias(a) for n, a in zip(names, alias)]).distinct()
+        return keys, [F.col(a) for a in alias]
+
+    own = [F.col(n) for n in names]
 
     # target-only rows: untouched, source-only columns null
-    kept = target.join(s.select(s_keys), cond, "left_anti").select(
-        [tcol(c).alias(c) for c in target.columns]
-        + [F.lit(None).cast(stypes[c]).alias(c) for c in source_only])
+    s_keys, s_key_cols = keys_of(sn, "__sk")
+    kept = tn.join(s_keys, eq(own, s_key_cols), "left_anti")
+    kept = kept.select([F.col(f"`{c}`").alias(c) for c in target.columns]
+                       + [F.lit(None).cast(stypes[c]).alias(c) for c in source_only])
 
     # source-only rows
-    only = s.join(target.select(t_keys), null_safe_keys(s_keys, t_keys), "left_anti")
+    t_keys, t_key_cols = keys_of(tn, "__tk")
+    only = sn.join(t_keys, eq(own, t_key_cols), "left_anti")
     only_cols = []
     for c in target.columns:
         if c in key_names:
-            only_cols.append(_typed(scol(c), stypes[c], ttypes[c]).alias(c))
+            only_cols.append(_typed(F.col(f"`{c}`"), stypes[c], ttypes[c]).alias(c))
         elif c in stypes:
-            v = _typed(scol(c), stypes[c], ttypes[c])
+            v = _typed(F.col(f"`{c}`"), stypes[c], ttypes[c])
             if isinstance(ttypes[c], StringType):
                 v = blank_to_null(v)
             only_cols.append(v.alias(c))
         else:
             only_cols.append(F.lit(None).cast(ttypes[c]).alias(c))
-    only_cols += [scol(c).alias(c) for c in source_only]
+    only_cols += [F.col(f"`{c}`").alias(c) for c in source_only]
     added = only.select(only_cols)
     return matched.unionByName(kept).unionByName(added)
 
