@@ -34,7 +34,6 @@ from pyspark.sql.types import BooleanType, DateType
 from ..functions.columns import any_changed
 
 START, END, CURRENT = "start_date", "end_date", "is_current"
-_S = "__s__"
 
 
 def _date(as_of: str | dt.date | Column | None) -> Column:
@@ -55,13 +54,23 @@ def _parts(dim: DataFrame, src: DataFrame, keys: Sequence[str]):
     nonnull = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
     cur_k, cur_nullkey = cur.filter(nonnull), cur.filter(~nonnull)
     src_k, src_nullkey = src.filter(nonnull), src.filter(~nonnull)
-    s = src_k.select([_c(c).alias(_S + c) for c in src_k.columns])
-    cond = reduce(lambda a, b: a & b, [_c(k) == F.col(f"`{_S}{k}`") for k in keys])
-    return hist, cur_k, cur_nullkey, src_k, src_nullkey, s, cond
+    # DataFrame aliases instead of renamed copies: each side keeps one
+    # physical form, so its shuffle is shared by the inner and the anti join
+    cond = reduce(lambda a, b: a & b, [F.col(f"__c.`{k}`") == F.col(f"__s.`{k}`") for k in keys])
+    return hist, cur_k, cur_nullkey, src_k, src_nullkey, cond
+
+
+def _chg(tracked: Sequence[str]) -> Column:
+    return any_changed([(F.col(f"__c.`{a}`"), F.col(f"__s.`{a}`")) for a in tracked])
+
+
+def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys: partial aggregation collapses a hot key before the shuffle."""
+    return df.select([_c(k) for k in keys]).distinct()
 
 
 def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: dict, as_of: Column,
-                 prefix: str = "") -> list[Column]:
+                 qualifier: str = "") -> list[Column]:
     out = []
     for c in dim_cols:
         if c == START:
@@ -71,35 +80,37 @@ def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: di
         elif c == CURRENT:
             out.append(F.lit(True).alias(CURRENT))
         elif c in src_cols:
-            out.append(F.col(f"`{prefix}{c}`").cast(dim_types[c]).alias(c))
+            out.append(F.col(f"{qualifier}`{c}`").cast(dim_types[c]).alias(c))
         else:
             out.append(F.lit(None).cast(dim_types[c]).alias(c))
     return out
 
 
+def _closed(dim_cols: Sequence[str], chg: Column, d: Column) -> list[Column]:
+    return [F.when(chg, d).otherwise(F.col(f"__c.`{END}`")).alias(END) if c == END else
+            F.when(chg, F.lit(False)).otherwise(F.col(f"__c.`{CURRENT}`")).alias(CURRENT) if c == CURRENT else
+            F.col(f"__c.`{c}`").alias(c)
+            for c in dim_cols]
+
+
 def scd2_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                as_of: str | dt.date | Column | None = None) -> DataFrame:
     """Full SCD2 apply (H3, H4): the new dimension snapshot."""
     d = _date(as_of)
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    hist, cur_k, cur_nullkey, src_k, src_nullkey, s, cond = _parts(dim, src, keys)
-    chg = any_changed([(_c(a), F.col(f"`{_S}{a}`")) for a in tracked])
-
-    joined = cur_k.join(s, cond, "inner")
-    old_version = F.struct(*[
-        (F.when(chg, d).otherwise(_c(END)).alias(END) if c == END else
-         F.when(chg, F.lit(False)).otherwise(_c(CURRENT)).alias(CURRENT) if c == CURRENT else
-         _c(c).alias(c))
-        for c in dim_cols])
-    new_version = F.struct(*_new_version(src_k.columns, dim_cols, dim_types, d, prefix=_S))
+    hist, cur_k, cur_nullkey, src_k, src_nullkey, cond = _parts(dim, src, keys)
+    chg = _chg(tracked)
+
+    joined = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner")
+    old_version = F.struct(*_closed(dim_cols, chg, d))
+    new_version = F.struct(*_new_version(src_k.columns, dim_cols, dim_types, d, "__s."))
     versions = F.when(chg, F.array(old_version, new_version)).otherwise(F.array(old_version))
     matched = joined.select(F.inline(versions))
 
-    untouched = cur_k.join(s.select([F.col(f"`{_S}{k}`") for k in keys]), cond, "left_anti")
-    # same prefixed source frame as the inner join, so its shuffle is reused
-    brand_new = s.join(cur_k.select([_c(k) for k in keys]), cond, "left_anti")
-    inserted = brand_new.select(_new_version(src_k.columns, dim_cols, dim_types, d, prefix=_S))
+    untouched = cur_k.join(_keys(src_k, keys), list(keys), "left_anti")
+    brand_new = src_k.join(_keys(cur_k, keys), list(keys), "left_anti")
+    inserted = brand_new.select(_new_version(src_k.columns, dim_cols, dim_types, d))
     null_new = src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))
     return reduce(lambda a, b: a.unionByName(b),
                   [hist.select(dim_cols), cur_nullkey.select(dim_cols), matched.select(dim_cols),
@@ -111,13 +122,9 @@ def scd2_expire(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Se
     """Step 1 only (H1, J7): the dimension with changed current rows closed."""
     d = _date(as_of)
     dim_cols = dim.columns
-    hist, cur_k, cur_nullkey, _src_k, _src_nullkey, s, cond = _parts(dim, src, keys)
-    chg = any_changed([(_c(a), F.col(f"`{_S}{a}`")) for a in tracked])
-    closed = cur_k.join(s, cond, "inner").select([
-        F.when(chg, d).otherwise(_c(END)).alias(END) if c == END else
-        F.when(chg, F.lit(False)).otherwise(_c(CURRENT)).alias(CURRENT) if c == CURRENT else _c(c)
-        for c in dim_cols])
-    untouched = cur_k.join(s.select([F.col(f"`{_S}{k}`") for k in keys]), cond, "left_anti")
+    hist, cur_k, cur_nullkey, src_k, _src_nullkey, cond = _parts(dim, src, keys)
+    closed = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").select(_closed(dim_cols, _chg(tracked), d))
+    untouched = cur_k.join(_keys(src_k, keys), list(keys), "left_anti")
     return reduce(lambda a, b: a.unionByName(b),
                   [hist.select(dim_cols), cur_nullkey.select(dim_cols), closed, untouched.select(dim_cols)])
 
@@ -131,14 +138,13 @@ def scd2_new_rows(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked:
     d = _date(as_of)
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    cur = dim.filter(_c(CURRENT))
-    t = cur.select([_c(c).alias(_S + c) for c in keys + list(tracked)])
-    cond = reduce(lambda a, b: a & b, [_c(k) == F.col(f"`{_S}{k}`") for k in keys])
-    chg = any_changed([(_c(a), F.col(f"`{_S}{a}`")) for a in tracked])
-    matched_changed = src.join(t, cond, "inner").filter(chg).select(src.columns)
-    brand_new = src.join(t, cond, "left_anti")
-    return matched_changed.unionByName(brand_new).select(
-        _new_version(src.columns, dim_cols, dim_types, d))
+    _hist, cur_k, _cur_nullkey, src_k, src_nullkey, cond = _parts(dim, src, keys)
+    changed_rows = (cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").filter(_chg(tracked))
+                    .select(_new_version(src_k.columns, dim_cols, dim_types, d, "__s.")))
+    brand_new = src_k.join(_keys(cur_k, keys), list(keys), "left_anti")
+    return reduce(lambda a, b: a.unionByName(b),
+                  [changed_rows, brand_new.select(_new_version(src_k.columns, dim_cols, dim_types, d)),
+                   src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))])
 
 
 def current_view(dim: DataFrame) -> DataFrame:
