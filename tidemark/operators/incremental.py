@@ -139,7 +139,7 @@ def unprocessed_files(listing: DataFrame, log: DataFrame, keys: Sequence[str] =
                       ok_status: str = "SUCCESS") -> DataFrame:
     """Listed files without a successful log entry."""
     done = log.filter(F.upper(F.col("status")) == ok_status).select(*keys)
-    return listing.join(done, list(keys), "left_anti")
+    return listing.join(done, list(keys), "left_anti").select(*listing.columns)
 
 
 def late_files(unprocessed: DataFrame, arrival_col: str = "arrival_date",

@@ -69,8 +69,11 @@ def per_source_upsert(base: DataFrame, new: DataFrame, column: str = FILENAME,
     if keys:
         old_rows = old_rows.join(fresh_in_base.select(column, *keys).distinct(), [column, *keys], "left_anti")
     refreshed = old_rows.unionByName(fresh_in_base, allowMissingColumns=True).distinct()
-    return (untouched.unionByName(refreshed, allowMissingColumns=True)
-            .unionByName(appended, allowMissingColumns=True))
+    out = (untouched.unionByName(refreshed, allowMissingColumns=True)
+           .unionByName(appended, allowMissingColumns=True))
+    # a join on a column name lists that column first; keep the base's order
+    order = base.columns + [c for c in new.columns if c not in base.columns]
+    return out.select(*[F.col(f"`{c}`") for c in order])
 
 
 def choose_result(target: DataFrame, stacked: DataFrame, column: str = FILENAME) -> DataFrame:
