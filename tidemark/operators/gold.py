@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -25,26 +26,43 @@ def cost_per_unit(df: DataFrame, group_cols: Sequence[str], cost: Column | str,
     return df.groupBy(*group_cols).agg(F.round(_ratio(F.sum(c), F.sum(u)), digits).alias(name))
 
 
-def profitability(revenue_rows: DataFrame, key: str, item_key: str, revenue: str, cost_rows: DataFrame,
-                  cost_key: str, cost: Column | str) -> DataFrame:
+def to_units(amount: Column, scale: int = 4) -> Column:
+    """An amount as an exact integer count of ``10**-scale`` units.
+
+    Integer sums are exact and stay on Spark's 64-bit fast path (DECIMAL
+    multiplication goes through ``BigDecimal``); inputs with at most
+    ``scale`` decimals convert without loss.
+    """
+    return F.rint(amount * F.lit(10 ** scale)).cast(LongType())
+
+
+def from_units(units: Column, scale: int = 4, digits: int = 2) -> Column:
+    """Integer units back to an amount rounded HALF_UP to ``digits`` decimals."""
+    step = 10 ** (scale - digits)
+    q = F.floor((F.abs(units) + F.lit(step // 2)) / F.lit(step))
+    return (F.signum(units) * q / F.lit(10 ** digits)).cast(DoubleType())
+
+
+def profitability(revenue_rows: DataFrame, key: str, item_key: str, revenue: Column | str, cost_rows: DataFrame,
+                  cost_key: str, cost: Column | str, scale: int = 4) -> DataFrame:
     """Per contract: revenue, cost, profit and margin.
 
     ``cost_rows`` is pre-aggregated per ``cost_key`` (partial aggregation
     before any shuffle), joined to the revenue rows' ``item_key``, and the
     joined rows are aggregated per contract ``key``: one join, two
-    aggregations, no per-contract collection.
+    aggregations, no per-contract collection. Amounts are summed exactly in
+    integer units of ``10**-scale`` and rounded once at the end.
     """
     c = F.col(cost) if isinstance(cost, str) else cost
-    per_item = cost_rows.groupBy(F.col(cost_key).alias("__ck")).agg(F.sum(c).alias("__cost"))
+    r = F.col(revenue) if isinstance(revenue, str) else revenue
+    per_item = cost_rows.groupBy(F.col(cost_key).alias("__ck")).agg(F.sum(to_units(c, scale)).alias("__cost"))
     j = revenue_rows.join(per_item, F.col(item_key) == F.col("__ck"), "left")
-    g = j.groupBy(key).agg(F.sum(revenue).alias("revenue"), F.sum("__cost").alias("cost"))
-    g = g.withColumn("cost", F.coalesce(F.col("cost"), F.lit(0).cast(g.schema["revenue"].dataType)))
-    # amounts are summed exactly (pass DECIMAL columns) and rounded once
-    rev = F.round("revenue", 2).cast("double")
-    cst = F.round("cost", 2).cast("double")
-    prof = F.round(F.col("revenue") - F.col("cost"), 2).cast("double")
-    return g.select(key, rev.alias("revenue"), cst.alias("cost"), prof.alias("profit"),
-                    F.round(_ratio(prof, rev), 4).alias("margin"))
+    g = j.groupBy(key).agg(F.sum(to_units(r, scale)).alias("__rev"),
+                           F.coalesce(F.sum("__cost"), F.lit(0).cast(LongType())).alias("__cst"))
+    rev = from_units(F.col("__rev"), scale)
+    prof = from_units(F.col("__rev") - F.col("__cst"), scale)
+    return g.select(key, rev.alias("revenue"), from_units(F.col("__cst"), scale).alias("cost"),
+                    prof.alias("profit"), F.round(_ratio(prof, rev), 4).alias("margin"))
 
 
 def excess_projection(df: DataFrame, key: str, ts: str, usage: str, as_of: dt.date | str, term_days: int,

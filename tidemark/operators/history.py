@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType
 
 from ..functions.columns import any_changed
+from .keys import equal, probe_keys, with_join_keys
 
 START, END, CURRENT = "start_date", "end_date", "is_current"
 
@@ -52,21 +53,26 @@ def _parts(dim: DataFrame, src: DataFrame, keys: Sequence[str]):
     cur = dim.filter(_c(CURRENT))
     hist = dim.filter(~_c(CURRENT) | _c(CURRENT).isNull())
     nonnull = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
-    cur_k, cur_nullkey = cur.filter(nonnull), cur.filter(~nonnull)
-    src_k, src_nullkey = src.filter(nonnull), src.filter(~nonnull)
+    ktypes = [dict((f.name, f.dataType) for f in dim.schema.fields)[k] for k in keys]
+    cur_k, names = with_join_keys(cur.filter(nonnull), keys, ktypes)
+    src_k, _ = with_join_keys(src.filter(nonnull), keys, ktypes)
+    cur_nullkey, src_nullkey = cur.filter(~nonnull), src.filter(~nonnull)
     # DataFrame aliases instead of renamed copies: each side keeps one
     # physical form, so its shuffle is shared by the inner and the anti join
-    cond = reduce(lambda a, b: a & b, [F.col(f"__c.`{k}`") == F.col(f"__s.`{k}`") for k in keys])
-    return hist, cur_k, cur_nullkey, src_k, src_nullkey, cond
+    cond = equal([F.col(f"__c.`{n}`") for n in names], [F.col(f"__s.`{n}`") for n in names])
+    return hist, cur_k, cur_nullkey, src_k, src_nullkey, cond, (names, ktypes)
 
 
 def _chg(tracked: Sequence[str]) -> Column:
     return any_changed([(F.col(f"__c.`{a}`"), F.col(f"__s.`{a}`")) for a in tracked])
 
 
-def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys: partial aggregation collapses a hot key before the shuffle."""
-    return df.select([_c(k) for k in keys]).distinct()
+def _anti(df: DataFrame, other: DataFrame, keys: Sequence[str], key_info, tag: str) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` lacks; ``other``'s distinct keys are the
+    probe (a hot key there collapses map-side, one in ``df`` is split by AQE)."""
+    names, ktypes = key_info
+    probe, probe_cols = probe_keys(other, keys, ktypes, tag)
+    return df.join(probe, equal(names, probe_cols), "left_anti")
 
 
 def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: dict, as_of: Column,
@@ -99,18 +105,18 @@ def scd2_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Seq
     d = _date(as_of)
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    hist, cur_k, cur_nullkey, src_k, src_nullkey, cond = _parts(dim, src, keys)
+    hist, cur_k, cur_nullkey, src_k, src_nullkey, cond, key_info = _parts(dim, src, keys)
     chg = _chg(tracked)
 
     joined = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner")
     old_version = F.struct(*_closed(dim_cols, chg, d))
-    new_version = F.struct(*_new_version(src_k.columns, dim_cols, dim_types, d, "__s."))
+    new_version = F.struct(*_new_version(src.columns, dim_cols, dim_types, d, "__s."))
     versions = F.when(chg, F.array(old_version, new_version)).otherwise(F.array(old_version))
     matched = joined.select(F.inline(versions))
 
-    untouched = cur_k.join(_keys(src_k, keys), list(keys), "left_anti")
-    brand_new = src_k.join(_keys(cur_k, keys), list(keys), "left_anti")
-    inserted = brand_new.select(_new_version(src_k.columns, dim_cols, dim_types, d))
+    untouched = _anti(cur_k, src_k, keys, key_info, "__sk")
+    brand_new = _anti(src_k, cur_k, keys, key_info, "__ck")
+    inserted = brand_new.select(_new_version(src.columns, dim_cols, dim_types, d))
     null_new = src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))
     return reduce(lambda a, b: a.unionByName(b),
                   [hist.select(dim_cols), cur_nullkey.select(dim_cols), matched.select(dim_cols),
@@ -122,9 +128,9 @@ def scd2_expire(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Se
     """Step 1 only (H1, J7): the dimension with changed current rows closed."""
     d = _date(as_of)
     dim_cols = dim.columns
-    hist, cur_k, cur_nullkey, src_k, _src_nullkey, cond = _parts(dim, src, keys)
+    hist, cur_k, cur_nullkey, src_k, _src_nullkey, cond, key_info = _parts(dim, src, keys)
     closed = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").select(_closed(dim_cols, _chg(tracked), d))
-    untouched = cur_k.join(_keys(src_k, keys), list(keys), "left_anti")
+    untouched = _anti(cur_k, src_k, keys, key_info, "__sk")
     return reduce(lambda a, b: a.unionByName(b),
                   [hist.select(dim_cols), cur_nullkey.select(dim_cols), closed, untouched.select(dim_cols)])
 
@@ -138,12 +144,12 @@ def scd2_new_rows(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked:
     d = _date(as_of)
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    _hist, cur_k, _cur_nullkey, src_k, src_nullkey, cond = _parts(dim, src, keys)
+    _hist, cur_k, _cur_nullkey, src_k, src_nullkey, cond, key_info = _parts(dim, src, keys)
     changed_rows = (cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").filter(_chg(tracked))
-                    .select(_new_version(src_k.columns, dim_cols, dim_types, d, "__s.")))
-    brand_new = src_k.join(_keys(cur_k, keys), list(keys), "left_anti")
+                    .select(_new_version(src.columns, dim_cols, dim_types, d, "__s.")))
+    brand_new = _anti(src_k, cur_k, keys, key_info, "__ck")
     return reduce(lambda a, b: a.unionByName(b),
-                  [changed_rows, brand_new.select(_new_version(src_k.columns, dim_cols, dim_types, d)),
+                  [changed_rows, brand_new.select(_new_version(src.columns, dim_cols, dim_types, d)),
                    src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))])
 
 

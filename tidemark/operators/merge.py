@@ -25,7 +25,8 @@ same result is the union of three joins AQE *can* split:
 
 The full-width shuffle of each side is shared by its inner join and its anti
 join (Spark reuses the identical exchange); the anti joins' other side ships
-only its distinct keys, pre-aggregated map-side. When a run's source is small, AQE turns the joins into
+only its distinct keys, pre-aggregated map-side (a hot key there costs one
+row per map task). When a run's source is small, AQE turns the joins into
 broadcast joins from the measured shuffle size, so an incremental batch never
 re-shuffles a large target.
 """
@@ -37,19 +38,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    BooleanType,
-    DataType,
-    DateType,
-    NumericType,
-    StringType,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.columns import blank_to_null, overwrite_if_present
+from .keys import equal, probe_keys, with_join_keys
 
 class DuplicateKeyError(ValueError):
     """Raised by ``on_duplicate="error"`` when the source repeats a key."""
@@ -59,27 +51,6 @@ def _typed(c: Column, src_type, tgt_type) -> Column:
     return c if src_type == tgt_type else c.cast(tgt_type)
 
 
-def _filler(dtype: DataType) -> Column:
-    """Any non-null value of ``dtype``; it only fills the slot of a null key."""
-    if isinstance(dtype, BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, NumericType):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        return F.lit("1970-01-01").cast(dtype)
-    if isinstance(dtype, (StringType, BinaryType)):
-        return F.lit("").cast(dtype)
-    raise TypeError(f"unsupported key type {dtype.simpleString()}")
-
-
-def _null_safe_parts(name: str, tgt_type: DataType, src_type: DataType | None = None) -> tuple[Column, Column]:
-    """``(name IS NULL, coalesce(name, filler))`` in the target key's type."""
-    c = F.col(f"`{name}`")
-    if src_type is not None:
-        c = _typed(c, src_type, tgt_type)
-    return c.isNull(), F.coalesce(c, _filler(tgt_type))
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (A5).
 
@@ -128,11 +99,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     # (key IS NULL, coalesce(key, filler)). Plain equality on them equals
     # ``<=>`` on the key, and a grouping on them already has the partitioning
     # the join needs, so the distinct-key sets below are shuffled only once.
-    t_parts = [c for k in key_names for c in _null_safe_parts(k, ttypes[k])]
-    s_parts = [c for k in key_names for c in _null_safe_parts(k, ttypes[k], stypes[k])]
-    names = [f"__k{i}" for i in range(len(t_parts))]
-    tn = target.withColumns(dict(zip(names, t_parts)))
-    sn = source.withColumns(dict(zip(names, s_parts)))
+    # Null-safe matching through never-null join columns (see .keys): plain
+    # equality on them equals ``<=>`` on the key.
+    ktypes = [ttypes[k] for k in key_names]
+    tn, names = with_join_keys(target, key_names, ktypes)
+    sn, _ = with_join_keys(source, key_names, ktypes)
 
     # Qualified references through DataFrame aliases: no renaming projection,
     # so both sides keep one physical form and each side's shuffle is shared
@@ -145,10 +116,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     def scol(c: str) -> Column:
         return F.col(f"__s.`{c}`")
 
-    def eq(left: list[Column], right: list[Column]) -> Column:
-        return reduce(lambda a, b: a & b, [x == y for x, y in zip(left, right)])
-
-    cond = eq([tcol(n) for n in names], [scol(n) for n in names])
+    cond = equal([tcol(n) for n in names], [scol(n) for n in names])
 
     # matched rows (inner join: AQE may split a hot key on either side)
     m_cols = []
@@ -165,24 +133,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     m_cols += [scol(c).alias(c) for c in source_only]
     matched = t.join(s, cond, "inner").select(m_cols)
 
-    # Anti joins probe the other side's *distinct* keys: partial aggregation
-    # collapses a hot key to one row per map task before the shuffle.
-    def keys_of(df: DataFrame, tag: str) -> tuple[DataFrame, list[Column]]:
-        alias = [f"{tag}{i}" for i in range(len(names))]
-        keys = df.select([F.col(n).alias(a) for n, a in zip(names, alias)]).distinct()
-        return keys, [F.col(a) for a in alias]
-
-    own = [F.col(n) for n in names]
+    # Anti joins probe the other side's distinct keys (see .keys): a hot key
+    # on the probe side is split by AQE, one on the other side collapses.
+    own = list(names)
 
     # target-only rows: untouched, source-only columns null
-    s_keys, s_key_cols = keys_of(sn, "__sk")
-    kept = tn.join(s_keys, eq(own, s_key_cols), "left_anti")
+    s_keys, s_key_cols = probe_keys(source, key_names, ktypes, "__sk")
+    kept = tn.join(s_keys, equal(own, s_key_cols), "left_anti")
     kept = kept.select([F.col(f"`{c}`").alias(c) for c in target.columns]
                        + [F.lit(None).cast(stypes[c]).alias(c) for c in source_only])
 
     # source-only rows
-    t_keys, t_key_cols = keys_of(tn, "__tk")
-    only = sn.join(t_keys, eq(own, t_key_cols), "left_anti")
+    t_keys, t_key_cols = probe_keys(target, key_names, ktypes, "__tk")
+    only = sn.join(t_keys, equal(own, t_key_cols), "left_anti")
     only_cols = []
     for c in target.columns:
         if c in key_names:

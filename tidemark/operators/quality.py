@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .keys import equal, probe_keys, with_join_keys
+
 ROW_CHECKS = ("not_null", "in_set", "range", "regex")
 SET_CHECKS = ("unique", "referential")
 
@@ -67,21 +69,37 @@ def _key_cols(rule: Rule) -> list[str]:
 
 
 def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]) -> tuple[DataFrame, list]:
-    """Add one boolean column per set-level rule (join per rule)."""
+    """Add one boolean column per set-level rule (one join per rule).
+
+    The rows are the streamed side; the other side is a set of distinct keys
+    reaching the join through its own exchange, so AQE can split a hot key
+    of the rows (see :mod:`.keys`).
+    """
     flags = []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for r in rules:
         flag = f"__fail_{r.rule_id}"
         if r.check == "unique":
             keys = _key_cols(r)
+            ktypes = [types[k] for k in keys]
             dups = (df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-                    .filter(F.col("__n") > 1).select(*keys, F.lit(True).alias(flag)))
-            df = df.join(dups, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+                    .filter(F.col("__n") > 1))
+            probe, probe_cols = probe_keys(dups, keys, ktypes, f"__u{r.rule_id}_")
+            rows_k, names = with_join_keys(df, keys, ktypes, f"__r{r.rule_id}_")
+            hit = probe.withColumn("__hit", F.lit(True))
+            df = (rows_k.join(hit, equal(names, probe_cols), "left")
+                  .withColumn(flag, F.col("__hit").isNotNull())
+                  .drop(*names, *probe_cols, "__hit"))
         elif r.check == "referential":
             ref_name, ref_col = r.argument
-            parent = refs[ref_name].select(_c(ref_col).alias("__ref")).distinct().withColumn("__hit", F.lit(True))
-            df = (df.join(parent, _c(r.column) == F.col("__ref"), "left")
+            parent = refs[ref_name].select(_c(ref_col).alias(r.column))
+            ktypes = [types[r.column]]
+            probe, probe_cols = probe_keys(parent, [r.column], ktypes, f"__p{r.rule_id}_")
+            rows_k, names = with_join_keys(df, [r.column], ktypes, f"__r{r.rule_id}_")
+            hit = probe.withColumn("__hit", F.lit(True))
+            df = (rows_k.join(hit, equal(names, probe_cols), "left")
                   .withColumn(flag, _c(r.column).isNotNull() & F.col("__hit").isNull())
-                  .drop("__ref", "__hit"))
+                  .drop(*names, *probe_cols, "__hit"))
         else:
             continue
         flags.append((r, F.col(flag)))

@@ -32,12 +32,11 @@ r AS (SELECT o_custkey, CAST(round(revenue, 2) AS DOUBLE) AS revenue,
 SELECT o_custkey, revenue, cost, profit, round(profit / nullif(revenue, 0), 4) AS margin FROM r
 """)
 def q_gold_profitability(spark, sf_dir):
-    # money as DECIMAL(15,2): sums are exact, so the rounded amounts are too
-    money = "decimal(15,2)"
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.col("o_totalprice").cast(money).alias("o_totalprice"))
+    # money is summed exactly (integer units inside the operator); the
+    # oracle does the same with DECIMAL arithmetic
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     li = table(spark, sf_dir, "lineitem")
-    line_cost = F.col("l_extendedprice").cast(money) * (1 - F.col("l_discount").cast(money))
+    line_cost = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return profitability(orders, "o_custkey", "o_orderkey", "o_totalprice", li, "l_orderkey", line_cost)
 
 
