@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ..session import shared_dir
 from ..sinks.writers import text_writer
-from ..streaming.intake import SnapshotUpsert, file_intake, stream_upsert
+from ..streaming.intake import BucketedUpsert, file_intake, stream_upsert
 from .merge_queries import _CHANGES_SQL, customer_changes, customer_target
 from .registry import register, table
 
@@ -33,7 +33,7 @@ def q_stream_upsert(spark, sf_dir):
     feed, ckpt = shared_dir(spark, "changes"), shared_dir(spark, "ckpt")
     # each key is delivered once, spread round-robin over several files and micro-batches
     text_writer(changes.repartition(8), "json").save(feed)
-    handler = SnapshotUpsert(shared_dir(spark, "sdm"), ["c_custkey"])
+    handler = BucketedUpsert(shared_dir(spark, "sdm"), ["c_custkey"], buckets=16)
     handler.init(customer_target(spark, sf_dir))
     stream_upsert(spark, "JSON", feed, changes.schema, handler, ckpt, max_files_per_trigger=2)
     return handler.latest(spark)
