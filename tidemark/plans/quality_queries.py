@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ..operators.merge import duplicate_keys
-from ..operators.quality import Rule, audit_summary, dq_rejects, dq_summary, drift_gate, json_field_drift
+from ..operators.quality import (
+    Rule,
+    audit_summary,
+    dq_rejects,
+    dq_summary,
+    drift_gate,
+    failure_alerts,
+    json_field_drift,
+)
 from .registry import register, table
 
 # Fixed rule set for lineitem (rule id, column, check, argument).
@@ -185,3 +193,13 @@ FROM log GROUP BY source_name, status
 """)
 def q_audit_summary(spark, sf_dir):
     return audit_summary(run_log(spark, sf_dir))
+
+
+@register("failure_alerts", """
+SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS source_name,
+       'events_' || strftime(ts, '%Y%m%d') AS object_name,
+       'load failed: ' || event_type || ' events_' || strftime(ts, '%Y%m%d') || ': timeout' AS alert
+FROM events WHERE value < 5
+""")
+def q_failure_alerts(spark, sf_dir):
+    return failure_alerts(run_log(spark, sf_dir))
