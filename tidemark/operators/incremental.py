@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType
 
-from ..functions.columns import dated_folder
+from ..functions.columns import date_from_file_name, dated_folder, glob_match, yn_to_bool
 from .joins import join_small
 
 FULL, INCR, BACKFILL = "FULL", "INCR", "BACKFILL"
@@ -155,7 +155,7 @@ def missing_file_alerts(config: DataFrame, listing: DataFrame, start, end,
 
     One alert row per (source, date); delivery of alerts is not ours.
     """
-    exp = config.filter(F.col(expected_col)).select(
+    exp = config.filter(F.coalesce(yn_to_bool(F.col(expected_col)), F.lit(False))).select(
         "source_name", F.explode(F.sequence(_lit_date(start), _lit_date(end))).alias("business_date"))
     have = listing.select("source_name", "business_date").distinct()
     return (exp.join(have, ["source_name", "business_date"], "left_anti")
@@ -163,6 +163,24 @@ def missing_file_alerts(config: DataFrame, listing: DataFrame, start, end,
                                           F.date_format("business_date", "yyyy-MM-dd"))))
 
 
+def file_business_date(listing: DataFrame, name_col: str = "file_name", out: str = "business_date") -> DataFrame:
+    """Business date parsed from the ``_yyyyMMdd`` part of each file name."""
+    return listing.withColumn(out, date_from_file_name(F.col(name_col)))
+
+
+def files_matching(listing: DataFrame, config: DataFrame, name_col: str = "file_name",
+                   pattern_col: str = "file_pattern", source_col: str = "source_name") -> DataFrame:
+    """Listed files that match their feed's configured glob, e.g. ``fuel_txn_*.json``.
+
+    The config (one row per feed) is broadcast after a size check; each file
+    is tested against its own feed's pattern, so partial uploads and stray
+    files in a feed folder are left out.
+    """
+    pats = config.select(F.col(source_col).alias("__src"), F.col(pattern_col).alias("__pat"))
+    j = join_small(listing, pats, F.col(source_col) == F.col("__src"), "inner")
+    return j.filter(glob_match(F.col(name_col), F.col("__pat"))).drop("__src", "__pat")
+
+
 def log_processed(log: DataFrame, files: DataFrame, run_date, status: str = "SUCCESS") -> DataFrame:
     """Processed-file log after a run: old entries plus the files just loaded (K7)."""
     new = files.select("source_name", "file_name", _lit_date(run_date).alias("processed_date"),

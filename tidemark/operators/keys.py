@@ -69,7 +69,7 @@ def with_join_keys(df: DataFrame, keys: Sequence[str], key_types: Sequence[DataT
 
 
 def probe_keys(df: DataFrame, keys: Sequence[str], key_types: Sequence[DataType],
-               tag: str) -> tuple[DataFrame, list[str]]:
+               tag: str, distinct: bool = True) -> tuple[DataFrame, list[str]]:
     """Distinct keys of ``df`` as never-null join columns, ready to probe.
 
     The distinct runs on the raw keys; the join columns are derived after it,
@@ -78,10 +78,12 @@ def probe_keys(df: DataFrame, keys: Sequence[str], key_types: Sequence[DataType]
     """
     own = {f.name: f.dataType for f in df.schema.fields}
     raw = [f"{tag}_raw{i}" for i in range(len(keys))]
-    distinct = df.select([typed_key(k, t, own[k]).alias(r) for k, t, r in zip(keys, key_types, raw)]).distinct()
+    keyed = df.select([typed_key(k, t, own[k]).alias(r) for k, t, r in zip(keys, key_types, raw)])
+    if distinct:  # callers passing an aggregate's output already have one row per key
+        keyed = keyed.distinct()
     names = key_names(len(keys), tag)
     parts = [p for r, t in zip(raw, key_types) for p in null_safe_parts(F.col(r), t)]
-    return distinct.select([p.alias(n) for p, n in zip(parts, names)]), names
+    return keyed.select([p.alias(n) for p, n in zip(parts, names)]), names
 
 
 def equal(left: Sequence[Column | str], right: Sequence[Column | str]) -> Column:

@@ -84,7 +84,7 @@ def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame])
             ktypes = [types[k] for k in keys]
             dups = (df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
                     .filter(F.col("__n") > 1))
-            probe, probe_cols = probe_keys(dups, keys, ktypes, f"__u{r.rule_id}_")
+            probe, probe_cols = probe_keys(dups, keys, ktypes, f"__u{r.rule_id}_", distinct=False)
             rows_k, names = with_join_keys(df, keys, ktypes, f"__r{r.rule_id}_")
             hit = probe.withColumn("__hit", F.lit(True))
             df = (rows_k.join(hit, equal(names, probe_cols), "left")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from ..functions.columns import yn_to_bool
 from ..operators.joins import is_bounded, join_small
 from ..operators.quality import Rule, validate
 from ..session import shared_dir
@@ -125,8 +126,9 @@ def q_silver_load(spark, sf_dir):
     # config is one row per feed: broadcast after a size check, no shuffle of the events
     flagged = join_small(ev, cfg, "source_name", "left")
     checked = validate(flagged, SILVER_RULES)
-    silver_rows = checked.filter(~F.coalesce(F.col("validation_required"), F.lit(True))
-                                 | (F.col("failed_rules") == "")).drop("validation_required", "failed_rules")
+    required = F.coalesce(yn_to_bool(F.col("validation_required")), F.lit(True))
+    silver_rows = checked.filter(~required | (F.col("failed_rules") == "")).drop("validation_required",
+                                                                                  "failed_rules")
     path = shared_dir(spark, "silver")
     write_silver(silver_rows, path, partition_by=["source_name"])
     return read_source(spark, "PARQUET", path).select("event_id", "ts", "user_id", "value", "props", "source_name")

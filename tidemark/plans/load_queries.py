@@ -14,6 +14,8 @@ from ..operators.incremental import (
     apply_plan,
     config_lookup,
     dated_paths,
+    file_business_date,
+    files_matching,
     late_files,
     load_backfill,
     load_full,
@@ -147,14 +149,15 @@ def feed_config(spark, sf_dir):
         F.concat("source_name", F.lit("_*.json")).alias("file_pattern"),
         F.lit("JSON").alias("file_type"),
         F.concat(F.lit("silver_"), "source_name").alias("target_table"),
-        F.lit(True).alias("date_partitioned"),
-        F.lit(True).alias("expected_daily"),
-        (F.col("source_name") != "view").alias("validation_required"))
+        F.lit("Y").alias("date_partitioned"),
+        F.lit("Y").alias("expected_daily"),
+        F.when(F.col("source_name") != "view", "Y").otherwise("N").alias("validation_required"))
 
 
 _FEED_CFG_SQL = """cfg AS (SELECT source_name, '/feeds/' || source_name || '/' AS source_folder,
   source_name || '_*.json' AS file_pattern, 'JSON' AS file_type, 'silver_' || source_name AS target_table,
-  true AS date_partitioned, true AS expected_daily, source_name <> 'view' AS validation_required
+  'Y' AS date_partitioned, 'Y' AS expected_daily,
+  CASE WHEN source_name <> 'view' THEN 'Y' ELSE 'N' END AS validation_required
   FROM (SELECT DISTINCT event_type AS source_name FROM events) d)"""
 
 
@@ -187,14 +190,15 @@ def processed_log(listing):
         F.when(F.dayofmonth("business_date") % 7 == 0, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"))
 
 
-_LISTING_SQL = """listing AS (
+_LISTING_BODY = """
   SELECT source_name, '/feeds/' || source_name || '/' AS source_folder,
          source_name || '_' || strftime(business_date, '%Y%m%d') || '.json' AS file_name,
          business_date,
          CASE WHEN n_records % 5 = 0 THEN business_date + 1 ELSE business_date END AS arrival_date,
          n_records
   FROM (SELECT event_type AS source_name, CAST(ts AS DATE) AS business_date, count(*) AS n_records
-        FROM events GROUP BY 1, 2) g),
+        FROM events GROUP BY 1, 2) g"""
+_LISTING_SQL = f"""listing AS ({_LISTING_BODY}),
 log AS (
   SELECT source_name, file_name, business_date + 1 AS processed_date,
          CASE WHEN day(business_date) % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status
@@ -222,13 +226,15 @@ SELECT *, CAST(date_diff('day', business_date, arrival_date) AS INTEGER) AS days
 WHERE date_diff('day', business_date, arrival_date) > 0""")
 def q_late_files(spark, sf_dir):
     listing = feed_listing(spark, sf_dir)
-    return late_files(unprocessed_files(listing, processed_log(listing)))
+    pending = unprocessed_files(listing, processed_log(listing))
+    # the business date a file stands for is the one in its name
+    return late_files(file_business_date(pending))
 
 
 @register("missing_file_alerts", f"""WITH {_FEED_CFG_SQL}, {_LISTING_SQL},
 cal AS (SELECT source_name, CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '{AS_OF}',
                                                         INTERVAL 1 DAY)) AS DATE) AS business_date
-        FROM cfg WHERE expected_daily)
+        FROM cfg WHERE expected_daily = 'Y')
 SELECT source_name, business_date,
        'missing file: ' || source_name || ' ' || strftime(business_date, '%Y-%m-%d') AS alert
 FROM cal c WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE l.source_name = c.source_name
@@ -245,3 +251,20 @@ def q_file_log_update(spark, sf_dir):
     listing = feed_listing(spark, sf_dir)
     log = processed_log(listing)
     return log_processed(log, unprocessed_files(listing, log), "2024-02-01")
+
+
+@register("feed_file_match", f"""WITH {_FEED_CFG_SQL},
+landing AS (
+  SELECT source_name, source_folder,
+         CASE WHEN n_records % 7 = 0 THEN replace(file_name, '.json', '.json.tmp') ELSE file_name END AS file_name,
+         business_date, arrival_date, n_records
+  FROM ({_LISTING_BODY}) l)
+SELECT l.* FROM landing l JOIN cfg c ON l.source_name = c.source_name WHERE l.file_name GLOB c.file_pattern""")
+def q_feed_file_match(spark, sf_dir):
+    """Files in the landing folders, some still partial uploads (``.tmp``), matched
+    against each feed's configured pattern."""
+    listing = feed_listing(spark, sf_dir)
+    landing = listing.withColumn(
+        "file_name", F.when(F.col("n_records") % 7 == 0, F.concat("file_name", F.lit(".tmp")))
+        .otherwise(F.col("file_name")))
+    return files_matching(landing, feed_config(spark, sf_dir))
