@@ -45,9 +45,9 @@ def test_no_python_udfs_anywhere(spark, registry_loaded):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_policy_side_is_broadcast(spark, registry_loaded):
+def test_row_filter_is_pushed_in_list(spark, registry_loaded):
     p = plan_text(registry_loaded.QUERIES["rls_group"](spark, SF001))
-    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    assert "In(c_mktsegment" in p and "Join" not in p
 
 
 def test_upsert_shuffles_each_side_once(spark):

@@ -101,3 +101,16 @@ def test_file_helpers():
     assert dated_path("/ald/vehicle_cost/", "2026-01-29") == "/ald/vehicle_cost/2026/01/29/"
     assert dated_paths_between("/r", "2026-01-30", "2026-02-01") == ["/r/2026/01/30/", "/r/2026/01/31/",
                                                                      "/r/2026/02/01/"]
+
+
+def test_value_filters_match_join_semantics(spark):
+    from tidemark.operators.joins import semi_by_values
+
+    big = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "s string, v int")
+    vals = spark.createDataFrame([("a",), (None,)], "s string")
+    semi = {r.v for r in semi_by_values(big, "s", vals, "s").collect()}
+    anti = {r.v for r in semi_by_values(big, "s", vals, "s", anti=True).collect()}
+    assert semi == {r.v for r in big.join(vals, "s", "left_semi").collect()} == {1}
+    assert anti == {r.v for r in big.join(vals, "s", "left_anti").collect()} == {2, 3}
+    # beyond the bound the join path gives the same answer
+    assert {r.v for r in semi_by_values(big, "s", vals, "s", anti=True, max_values=0).collect()} == {2, 3}

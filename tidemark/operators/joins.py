@@ -28,3 +28,38 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, h
         return big.join(small, on, how)  # the small side is not broadcastable for this join type
     side = F.broadcast(small) if is_bounded(small, max_rows) else small
     return big.join(side, on, how)
+
+
+DEFAULT_MAX_VALUES = 10_000
+
+
+def bounded_values(df: DataFrame, column: str, max_values: int = DEFAULT_MAX_VALUES) -> list | None:
+    """Distinct values of ``column`` when there are at most ``max_values`` of them, else None.
+
+    For config-sized sets (source names, allowed departments) a literal IN
+    list beats any join: it needs no exchange and is pushed into the scan
+    (row-group statistics, partition pruning of a table partitioned by it).
+    """
+    rows = df.select(F.col(f"`{column}`")).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        return None
+    return [r[0] for r in rows]
+
+
+def semi_by_values(big: DataFrame, column: str, values_df: DataFrame, values_column: str, anti: bool = False,
+                   max_values: int = DEFAULT_MAX_VALUES) -> DataFrame:
+    """``big`` rows whose ``column`` is (``anti``: is not) among ``values_df``'s values.
+
+    Null never matches, as in a semi/anti join: a null ``column`` is dropped
+    by the semi form and kept by the anti form. Beyond ``max_values`` distinct
+    values it falls back to a join (broadcast when bounded, else shuffled).
+    """
+    vals = bounded_values(values_df, values_column, max_values)
+    if vals is None:
+        how = "left_anti" if anti else "left_semi"
+        keys = values_df.select(F.col(f"`{values_column}`").alias("__v")).distinct()
+        return join_small(big, keys, F.col(f"`{column}`") == F.col("__v"), how)
+    c = F.col(f"`{column}`")
+    present = [v for v in vals if v is not None]
+    hit = c.isin(present) if present else F.lit(False)
+    return big.filter(c.isNull() | ~hit) if anti else big.filter(c.isNotNull() & hit)

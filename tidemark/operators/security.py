@@ -2,9 +2,10 @@
 
 Open-source Spark has no ``SET ROW FILTER`` / ``SET MASK`` and no
 ``is_member()``; policies are therefore data (policy and membership tables)
-and a secured *view* is built from them. Both policy sides are tiny and are
-broadcast after a size check, so the protected table is never shuffled by
-its (typically few, hence hot) policy column. Deny is the default: a viewer
+and a secured *view* is built from them. The allowed values of a viewer are
+a config-sized list: after a size check they become an IN filter that reaches
+the scan, so the protected table is never joined or shuffled by its
+(typically few, hence hot) policy column. Deny is the default: a viewer
 matched by no policy sees no rows and masked values.
 """
 
@@ -15,7 +16,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import join_small
+from .joins import semi_by_values
 
 
 def viewer_name(spark: SparkSession, user: str | None = None) -> str:
@@ -37,16 +38,15 @@ def rls_group(df: DataFrame, column: str, policy: DataFrame, membership: DataFra
     ``policy``: ``group, value``; ``membership``: ``user, group``.
     """
     u = viewer_name(df.sparkSession, user)
-    allowed = policy.join(groups_of(membership, u), "group", "left_semi").select(
-        F.col("value").alias("__allowed")).distinct()
-    return join_small(df, allowed, F.col(f"`{column}`") == F.col("__allowed"), "left_semi")
+    allowed = policy.join(groups_of(membership, u), "group", "left_semi").select("value")
+    return semi_by_values(df, column, allowed, "value")
 
 
 def rls_user(df: DataFrame, column: str, policy: DataFrame, user: str | None = None) -> DataFrame:
     """Rows whose ``column`` value the viewer may see (R2); ``policy``: ``user, value``."""
     u = viewer_name(df.sparkSession, user)
-    allowed = policy.filter(F.col("user") == F.lit(u)).select(F.col("value").alias("__allowed")).distinct()
-    return join_small(df, allowed, F.col(f"`{column}`") == F.col("__allowed"), "left_semi")
+    allowed = policy.filter(F.col("user") == F.lit(u)).select("value")
+    return semi_by_values(df, column, allowed, "value")
 
 
 def _masked(df: DataFrame, columns: Sequence[str], visible: bool) -> DataFrame:
@@ -96,8 +96,7 @@ def secured_view(df: DataFrame, name: str, *, row_column: str | None = None, gro
         allowed = parts[0]
         for p in parts[1:]:
             allowed = allowed.unionByName(p)
-        allowed = allowed.select(F.col("value").alias("__allowed")).distinct()
-        out = join_small(out, allowed, F.col(f"`{row_column}`") == F.col("__allowed"), "left_semi")
+        out = semi_by_values(out, row_column, allowed, "value")
     for col_name, groups in (masks or {}).items():
         ok = membership is not None and is_member(membership, u, groups)
         out = _masked(out, [col_name], ok)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_small
+from .joins import semi_by_values
 from .mapping import FILENAME
 
 
@@ -58,14 +58,14 @@ def per_source_upsert(base: DataFrame, new: DataFrame, column: str = FILENAME,
       ``keys``, old rows whose key is re-delivered are dropped first, which
       turns "union" into "update" (the intent stated by the reference).
 
-    The source-name lists are tiny; they are broadcast after a size check.
+    The source-name lists are tiny: they become IN-list filters after a size
+    check, so no join runs and the filter reaches the scan.
     """
-    new_src = new.select(column).distinct()
-    base_src = base.select(column).distinct()
-    untouched = join_small(base, new_src, column, "left_anti")
-    old_rows = join_small(base, new_src, column, "left_semi")
-    fresh_in_base = join_small(new, base_src, column, "left_semi")
-    appended = join_small(new, base_src, column, "left_anti")
+    # source names are config-sized: IN-list filters, no joins (bounded, see .joins)
+    untouched = semi_by_values(base, column, new, column, anti=True)
+    old_rows = semi_by_values(base, column, new, column)
+    fresh_in_base = semi_by_values(new, column, base, column)
+    appended = semi_by_values(new, column, base, column, anti=True)
     if keys:
         old_rows = old_rows.join(fresh_in_base.select(column, *keys).distinct(), [column, *keys], "left_anti")
     refreshed = old_rows.unionByName(fresh_in_base, allowMissingColumns=True).distinct()
