@@ -69,3 +69,24 @@ def test_checkpoint_dir_is_shared_setting(spark):
     assert spark.sparkContext.getCheckpointDir()
     assert shared_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
 
+
+
+def test_replace_partitioned_and_evolving_json(spark):
+    path = shared_dir(spark, "part-target")
+    df = spark.createDataFrame([(i, f"s{i % 3}") for i in range(9)], "v int, src string")
+    df.write.partitionBy("src").parquet(path)
+    n = replace_path(spark.read.parquet(path).filter("v > 2"), path, partition_by=["src"])
+    assert n == 6 and spark.read.parquet(path).count() == 6
+    a, b = shared_dir(spark, "ja"), shared_dir(spark, "jb")
+    text_writer(spark.createDataFrame([(1, "x")], "id int, old string"), "json").save(a)
+    text_writer(spark.createDataFrame([(2, 2.5)], "id int, added double"), "json").save(b)
+    out = read_evolving(spark, "JSON", [a, b])
+    assert rows(out.select("id", "old", "added")) == [(1, "x", None), (2, None, 2.5)]
+
+
+def test_observed_write_counts_in_same_pass(spark):
+    from tidemark.sinks.writers import write_observed
+
+    df = spark.createDataFrame([(i,) for i in range(10)], "v int")
+    m = write_observed(df, shared_dir(spark, "obs"), metrics={"n_even": F.sum((F.col("v") % 2 == 0).cast("int"))})
+    assert m["rows_loaded"] == 10 and m["n_even"] == 5

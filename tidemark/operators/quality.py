@@ -145,9 +145,10 @@ def dq_summary(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]
         aggs = [F.count(F.lit(1)).alias("n_rows")] + [
             F.sum(F.when(failing(r), 1).otherwise(0)).cast(LongType()).alias(f"f{i}") for i, r in enumerate(row_rules)]
         wide = df.agg(*aggs)
-        stack = ", ".join(f"'{r.rule_id}', '{r.check}', '{r.column}', f{i}" for i, r in enumerate(row_rules))
-        parts.append(wide.selectExpr(
-            f"stack({len(row_rules)}, {stack}) AS (rule_id, rule_check, column_name, n_failed)", "n_rows"))
+        per_rule = F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.check).alias("rule_check"),
+                                      F.lit(r.column).alias("column_name"), F.col(f"f{i}").alias("n_failed"))
+                             for i, r in enumerate(row_rules)])
+        parts.append(wide.select(F.inline(per_rule), "n_rows"))
     for r in rules:
         if r.check == "unique":
             keys = _key_cols(r)

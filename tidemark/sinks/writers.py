@@ -86,7 +86,9 @@ def replace_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: S
 
     The result is written to a staged folder in the shared checkpoint folder
     (counted on the way), checked, then copied over the target from the staged
-    copy, so the target is never read and truncated by the same job.
+    copy, so the target is never read and truncated by the same job. If the
+    copy fails, the staged folder still holds the complete result and the copy
+    can be repeated from it.
     """
     spark = df.sparkSession
     staged = shared_dir(spark, "staged")
