@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZType
+
+from ..operators.mapping import mapping_audit
 from ..operators.merge import duplicate_keys
+from ..operators.quality import observed_fields
+from ..sources.spec import spec_from_dict
 from ..operators.quality import (
     Rule,
     audit_summary,
@@ -111,7 +116,7 @@ def registry_frame(spark):
     return spark.createDataFrame(rows, "source_name string, field string, type string")
 
 
-_DRIFT_SQL = """
+_RAW_FEED_SQL = """
 raw AS (
   SELECT event_type AS source_name,
          CASE WHEN event_type = 'purchase' THEN json_object('event_id', event_id, 'ts', ts, 'user_id', user_id)
@@ -120,7 +125,8 @@ raw AS (
               WHEN event_type = 'error' THEN json_object('event_id', event_id, 'ts', ts, 'user_id', user_id,
                                                          'value', CAST(value AS VARCHAR))
               ELSE json_object('event_id', event_id, 'ts', ts, 'user_id', user_id, 'value', value) END AS record
-  FROM events),
+  FROM events)"""
+_DRIFT_SQL = _RAW_FEED_SQL + """,
 reg AS (
   SELECT s.source_name, f.field, f.type
   FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) s(source_name),
@@ -203,3 +209,34 @@ FROM events WHERE value < 5
 """)
 def q_failure_alerts(spark, sf_dir):
     return failure_alerts(run_log(spark, sf_dir))
+
+
+# Fixed spec for the purchase feed (a JSON source whose columns are only known
+# from its records) and the contract it loads into.
+PURCHASE_SPEC = {"purchase": {"type": "sale", "schema": "sdm", "tablename": "sale_std", "relational": "False",
+                                   "mapping": [
+    {"source_column": "event_id", "target_column": "sale.SaleId", "source_key": "event_id", "target_key": "SaleId"},
+    {"source_column": "ts", "target_column": "sale.SoldAt", "source_key": "event_id", "target_key": "SaleId"},
+    {"source_column": "value", "target_column": "sale.Amount", "source_key": "event_id", "target_key": "SaleId"},
+    {"source_column": "coupon", "target_column": "sale.Coupon", "source_key": "event_id", "target_key": "SaleId"},
+]}}
+SALE_CONTRACT = StructType([StructField("SaleId", LongType()), StructField("SoldAt", TimestampNTZType()),
+                            StructField("Amount", DoubleType())])
+
+
+@register("mapping_audit", f"""WITH {_RAW_FEED_SQL},
+seen AS (SELECT DISTINCT source_name, unnest(json_keys(record)) AS field FROM raw WHERE source_name = 'purchase'),
+spec AS (SELECT * FROM (VALUES ('event_id', 'SaleId'), ('ts', 'SoldAt'), ('value', 'Amount'), ('coupon', 'Coupon'))
+         m(source_column, target_column))
+SELECT 'purchase' AS source, 'missing_source' AS kind, source_column AS "column" FROM spec
+WHERE source_column NOT IN (SELECT field FROM seen)
+UNION
+SELECT 'purchase', 'missing_target', target_column FROM spec
+WHERE lower(target_column) NOT IN ('saleid', 'soldat', 'amount')""")
+def q_mapping_audit(spark, sf_dir):
+    """Spec source columns never seen in any purchase record, and spec targets
+    the contract lacks (A3)."""
+    seen = (observed_fields(raw_feed(spark, sf_dir).filter(F.col("source_name") == "purchase"), "record",
+                            "source_name")
+            .select(F.col("source_name").alias("source_table"), F.col("field").alias("column")).distinct())
+    return mapping_audit(spark, spec_from_dict(spark, PURCHASE_SPEC), seen, SALE_CONTRACT)
