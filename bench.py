@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then three timed runs; the median counts.
+Each query runs once to warm up, then five timed runs; the median counts.
 A run executes the whole plan into the ``noop`` sink (no collect to the
 driver, no output files), which is what a pipeline's write costs minus I/O.
 """
@@ -34,7 +34,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from tidemark.plans import registry
