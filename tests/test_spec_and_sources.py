@@ -114,3 +114,38 @@ def test_value_filters_match_join_semantics(spark):
     assert anti == {r.v for r in big.join(vals, "s", "left_anti").collect()} == {2, 3}
     # beyond the bound the join path gives the same answer
     assert {r.v for r in semi_by_values(big, "s", vals, "s", anti=True, max_values=0).collect()} == {2, 3}
+
+
+def test_read_target_first_run_only_when_absent(spark, tmp_path):
+    from tidemark.sources.target import read_target
+
+    contract = StructType([StructField("Id", StringType())])
+    empty = read_target(spark, str(tmp_path / "nothing-here"), contract)
+    assert empty.count() == 0 and empty.columns == ["Id"]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_target(spark, str(tmp_path / "bad"), contract).count()
+
+
+def test_gate_splits_bronze(spark):
+    from tidemark.operators.quality import apply_gate
+
+    gate = spark.createDataFrame([("a", "PASS"), ("b", "BLOCK")], "source_name string, status string")
+    bronze = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "source_name string, v int")
+    ok, held = apply_gate(bronze, gate)
+    assert sorted(r.v for r in ok.collect()) == [1, 3] and [r.v for r in held.collect()] == [2]
+
+
+def test_backfill_replace_is_idempotent(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.incremental import backfill_bound, load_backfill, replace_window
+
+    src = spark.createDataFrame([(i, f"2024-01-{d:02d} 10:00:00") for i, d in enumerate(range(1, 31))],
+                                "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    existing = src.filter("id < 25")
+    lower = backfill_bound("2024-01-31", 7)
+    once = replace_window(existing, load_backfill(src, "ts", "2024-01-31", 7), "ts", lower)
+    twice = replace_window(once, load_backfill(src, "ts", "2024-01-31", 7), "ts", lower)
+    assert sorted(r.id for r in once.collect()) == list(range(30)) == sorted(r.id for r in twice.collect())

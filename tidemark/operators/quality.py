@@ -267,6 +267,16 @@ def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing",
     ).withColumn("status", F.when(F.col("n_drift_fields") > 0, "BLOCK").otherwise("PASS"))
 
 
+def apply_gate(df: DataFrame, gate: DataFrame, source_col: str = "source_name") -> tuple[DataFrame, DataFrame]:
+    """Split bronze rows by the gate (Q2): (rows of passing sources -> silver,
+    rows of blocked sources -> quarantine). Bronze itself always lands."""
+    from .joins import semi_by_values
+
+    blocked = gate.filter(F.col("status") == "BLOCK").select("source_name")
+    return (semi_by_values(df, source_col, blocked, "source_name", anti=True),
+            semi_by_values(df, source_col, blocked, "source_name"))
+
+
 class DriftError(RuntimeError):
     """Raised by :func:`enforce_gate` in strict mode."""
 
