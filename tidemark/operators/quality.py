@@ -184,23 +184,24 @@ DRIFT_SCHEMA = StructType([
     StructField("expected_type", StringType()), StructField("n_records", LongType())])
 
 
-def json_value_kind(raw: Column, field: Column) -> Column:
-    """JSON kind of a top-level field's value: string, number, boolean, null,
-    object or array, read from the first character after the field's colon."""
-    key = F.regexp_replace(field, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
-    pat = F.concat(F.lit('"'), key, F.lit(r'"\s*:\s*(.)'))
-    # the pattern depends on the row's field, so call the SQL function directly
-    ch = F.call_function("regexp_extract", raw, pat, F.lit(1))
-    return (F.when(ch == '"', "string").when(ch.rlike(r"[-0-9]"), "number")
-             .when(ch.isin("t", "f"), "boolean").when(ch == "n", "null")
-             .when(ch == "{", "object").when(ch == "[", "array"))
+def json_value_kind(value: Column) -> Column:
+    """JSON kind of a VARIANT value: string, number, boolean, null, object or array."""
+    t = F.schema_of_variant(value)
+    return (F.when(t == "STRING", "string").when(t == "BOOLEAN", "boolean").when(t == "VOID", "null")
+             .when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array")
+             .otherwise("number"))
 
 
 def observed_fields(raw: DataFrame, json_col: str, source_col: str) -> DataFrame:
-    """(source, field, kind, records) over every record of a raw JSON feed."""
-    recs = raw.select(_c(source_col).alias("source_name"), _c(json_col).alias("__raw"))
-    keyed = recs.select("source_name", "__raw", F.explode(F.json_object_keys("__raw")).alias("field"))
-    return (keyed.select("source_name", "field", json_value_kind(F.col("__raw"), F.col("field")).alias("kind"))
+    """(source, field, kind, records) over every record of a raw JSON feed.
+
+    Each record is parsed once into ``map<string, variant>`` (top-level fields
+    with their values' types), exploded and counted; the count runs as a
+    partial aggregation before the shuffle.
+    """
+    fields = raw.select(_c(source_col).alias("source_name"),
+                        F.explode(F.from_json(_c(json_col), "map<string,variant>")).alias("field", "value"))
+    return (fields.select("source_name", "field", json_value_kind(F.col("value")).alias("kind"))
             .groupBy("source_name", "field", "kind").agg(F.count(F.lit(1)).alias("n_records")))
 
 
