@@ -149,3 +149,16 @@ def test_backfill_replace_is_idempotent(spark):
     once = replace_window(existing, load_backfill(src, "ts", "2024-01-31", 7), "ts", lower)
     twice = replace_window(once, load_backfill(src, "ts", "2024-01-31", 7), "ts", lower)
     assert sorted(r.id for r in once.collect()) == list(range(30)) == sorted(r.id for r in twice.collect())
+
+
+def test_files_matching_both_paths(spark):
+    from tidemark.operators.incremental import files_matching
+
+    cfg = spark.createDataFrame([("fuel", "fuel_*.json"), ("cost", "cost_????????.csv")],
+                                "source_name string, file_pattern string")
+    listing = spark.createDataFrame([("fuel", "fuel_20260129.json"), ("fuel", "fuel_20260129.json.tmp"),
+                                     ("cost", "cost_20260129.csv"), ("cost", "cost_x.csv"), ("other", "a.json")],
+                                    "source_name string, file_name string")
+    fast = sorted(r.file_name for r in files_matching(listing, cfg).collect())
+    slow = sorted(r.file_name for r in files_matching(listing, cfg, max_feeds=0).collect())
+    assert fast == slow == ["cost_20260129.csv", "fuel_20260129.json"]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType
 
-from ..functions.columns import date_from_file_name, dated_folder, glob_match, yn_to_bool
+from ..functions.columns import date_from_file_name, dated_folder, glob_match, glob_to_regex, yn_to_bool
 from .joins import join_small
 
 FULL, INCR, BACKFILL = "FULL", "INCR", "BACKFILL"
@@ -169,15 +169,24 @@ def file_business_date(listing: DataFrame, name_col: str = "file_name", out: str
 
 
 def files_matching(listing: DataFrame, config: DataFrame, name_col: str = "file_name",
-                   pattern_col: str = "file_pattern", source_col: str = "source_name") -> DataFrame:
+                   pattern_col: str = "file_pattern", source_col: str = "source_name",
+                   max_feeds: int = 500) -> DataFrame:
     """Listed files that match their feed's configured glob, e.g. ``fuel_txn_*.json``.
 
-    The config (one row per feed) is broadcast after a size check; each file
-    is tested against its own feed's pattern, so partial uploads and stray
-    files in a feed folder are left out.
+    The config has one row per feed: its patterns are collected (after a size
+    check) into one CASE of literal regexes, compiled once, so the listing is
+    filtered without a join. Partial uploads and stray files are left out.
     """
-    pats = config.select(F.col(source_col).alias("__src"), F.col(pattern_col).alias("__pat"))
-    j = join_small(listing, pats, F.col(source_col) == F.col("__src"), "inner")
+    pats = config.select(source_col, pattern_col).limit(max_feeds + 1).collect()
+    if len(pats) <= max_feeds:
+        src, name = F.col(source_col), F.col(name_col)
+        cond = F.lit(False)
+        for r in pats:
+            if r[0] is not None and r[1] is not None:
+                cond = F.when(src == F.lit(r[0]), name.rlike(glob_to_regex(r[1]))).otherwise(cond)
+        return listing.filter(F.coalesce(cond, F.lit(False)))
+    p = config.select(F.col(source_col).alias("__src"), F.col(pattern_col).alias("__pat"))
+    j = join_small(listing, p, F.col(source_col) == F.col("__src"), "inner")
     return j.filter(glob_match(F.col(name_col), F.col("__pat"))).drop("__src", "__pat")
 
 
