@@ -162,3 +162,17 @@ def test_files_matching_both_paths(spark):
     fast = sorted(r.file_name for r in files_matching(listing, cfg).collect())
     slow = sorted(r.file_name for r in files_matching(listing, cfg, max_feeds=0).collect())
     assert fast == slow == ["cost_20260129.csv", "fuel_20260129.json"]
+
+
+def test_rules_validated_before_running(spark):
+    from tidemark.operators.ingest import IngestionRule, RuleError, run_rules
+    from tidemark.sources.jdbc import SOURCE_KINDS
+
+    df = spark.createDataFrame([(1, "ACTIVE", 5.0), (2, "GONE", 2000.0)], "id int, status string, amount double")
+    ok = IngestionRule.from_dict({"source": "sqlserver", "object": "t", "columns": ["id", "amount"],
+                                  "target_table": "landing_t", "filter_condition": "status = 'ACTIVE'"})
+    out = run_rules([ok], lambda r: df, known_kinds=list(SOURCE_KINDS))
+    assert [tuple(r) for r in out["landing_t"].collect()] == [(1, 5.0)]
+    bad = IngestionRule("mongodb", "customers", "landing_c", ("customer_id",))
+    with pytest.raises(RuleError):
+        run_rules([ok, bad], lambda r: df, known_kinds=list(SOURCE_KINDS))

@@ -63,12 +63,33 @@ def apply_rule(df: DataFrame, rule: IngestionRule) -> DataFrame:
     return select_columns(apply_filter(df, rule.filter_condition), rule.columns)
 
 
+class RuleError(ValueError):
+    """A rule that cannot run: unknown source kind, no columns, duplicate target."""
+
+
+def validate_rules(rules: Sequence[IngestionRule], known_kinds: Sequence[str] | None = None) -> None:
+    """Check every rule before any job starts (D1): source kind configured,
+    columns given, each landing table written by one rule only."""
+    targets: set[str] = set()
+    for r in rules:
+        if known_kinds is not None and r.source_type not in known_kinds:
+            raise RuleError(f"rule for {r.source_table}: no connection configured for {r.source_type!r}")
+        if not r.columns:
+            raise RuleError(f"rule for {r.source_table}: no columns")
+        if r.target_table in targets:
+            raise RuleError(f"two rules write {r.target_table}")
+        targets.add(r.target_table)
+
+
 def run_rules(rules: Sequence[IngestionRule], reader: Callable[[IngestionRule], DataFrame],
-              writer: Callable[[DataFrame, IngestionRule], object] | None = None) -> dict[str, DataFrame]:
+              writer: Callable[[DataFrame, IngestionRule], object] | None = None,
+              known_kinds: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Run every rule: read -> filter -> select -> (optional) write.
 
-    Each rule is its own job; no data goes through the driver.
+    All rules are validated first; each rule is then its own job and no data
+    goes through the driver.
     """
+    validate_rules(rules, known_kinds)
     out: dict[str, DataFrame] = {}
     for rule in rules:
         df = apply_rule(reader(rule), rule)
