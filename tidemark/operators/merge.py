@@ -34,7 +34,6 @@ re-shuffles a large target.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +42,7 @@ from pyspark.sql.types import StringType, StructType
 from ..functions.columns import blank_to_null, overwrite_if_present
 from .keys import equal, probe_keys, with_join_keys
 
+
 class DuplicateKeyError(ValueError):
     """Raised by ``on_duplicate="error"`` when the source repeats a key."""
 
@@ -95,12 +95,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     key_names = [t for t, _ in pairs]
     source_only = [c for c in source.columns if c not in ttypes]
 
-    # Null-safe matching through two plain, never-null join columns per key:
-    # (key IS NULL, coalesce(key, filler)). Plain equality on them equals
-    # ``<=>`` on the key, and a grouping on them already has the partitioning
-    # the join needs, so the distinct-key sets below are shuffled only once.
     # Null-safe matching through never-null join columns (see .keys): plain
-    # equality on them equals ``<=>`` on the key.
+    # equality on (key IS NULL, coalesce(key, filler)) equals ``<=>`` on the key.
     ktypes = [ttypes[k] for k in key_names]
     tn, names = with_join_keys(target, key_names, ktypes)
     sn, _ = with_join_keys(source, key_names, ktypes)
@@ -135,17 +131,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
 
     # Anti joins probe the other side's distinct keys (see .keys): a hot key
     # on the probe side is split by AQE, one on the other side collapses.
-    own = list(names)
 
     # target-only rows: untouched, source-only columns null
     s_keys, s_key_cols = probe_keys(source, key_names, ktypes, "__sk")
-    kept = tn.join(s_keys, equal(own, s_key_cols), "left_anti")
+    kept = tn.join(s_keys, equal(names, s_key_cols), "left_anti")
     kept = kept.select([F.col(f"`{c}`").alias(c) for c in target.columns]
                        + [F.lit(None).cast(stypes[c]).alias(c) for c in source_only])
 
     # source-only rows
     t_keys, t_key_cols = probe_keys(target, key_names, ktypes, "__tk")
-    only = sn.join(t_keys, equal(own, t_key_cols), "left_anti")
+    only = sn.join(t_keys, equal(names, t_key_cols), "left_anti")
     only_cols = []
     for c in target.columns:
         if c in key_names:
@@ -198,7 +193,3 @@ def key_pairs(mapping_rows: Sequence[dict]) -> list[tuple[str, str]]:
             seen.append(p)
     return seen
 
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name, filling columns a frame lacks with nulls."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
