@@ -52,11 +52,6 @@ def any_changed(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda x, y: x | y, [changed(a, b) for a, b in pairs])
 
 
-def null_safe_keys(left_cols: list[Column], right_cols: list[Column]) -> Column:
-    """Conjunction of null-safe equalities, in the given order."""
-    return reduce(lambda x, y: x & y, [a.eqNullSafe(b) for a, b in zip(left_cols, right_cols)])
-
-
 def entity_id(type_value: Column, key: Column) -> Column:
     """``<first letter of type, upper case>_<key>`` (F2-F4); null key gives null."""
     return F.concat(F.upper(F.substring(type_value, 1, 1)), F.lit("_"), key.cast("string"))
