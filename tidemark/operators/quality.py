@@ -282,9 +282,13 @@ class DriftError(RuntimeError):
     """Raised by :func:`enforce_gate` in strict mode."""
 
 
-def enforce_gate(gate: DataFrame, strict: bool = False) -> list[str]:
+def enforce_gate(gate: DataFrame, strict: bool = False, max_sources: int = 100_000) -> list[str]:
     """Blocked sources (a small list); raise in strict mode."""
-    blocked = [r["source_name"] for r in gate.filter(F.col("status") == "BLOCK").select("source_name").collect()]
+    # one row per source at most; the bound keeps the collect provably small
+    rows = gate.filter(F.col("status") == "BLOCK").select("source_name").limit(max_sources + 1).collect()
+    if len(rows) > max_sources:
+        raise DriftError(f"more than {max_sources} blocked sources")
+    blocked = [r["source_name"] for r in rows]
     if blocked and strict:
         raise DriftError(f"schema drift blocks silver for {blocked}")
     return blocked

@@ -95,10 +95,13 @@ class Mapping:
     target_key: str | None
 
 
-def collect_mappings(flat: DataFrame) -> dict[str, list[Mapping]]:
+def collect_mappings(flat: DataFrame, max_rows: int = 100_000) -> dict[str, list[Mapping]]:
     """Spec rows grouped by source table, in spec order (config-sized)."""
     out: dict[str, list[Mapping]] = {}
-    for r in flat.orderBy("src_ord", "ord").collect():
+    rows = flat.orderBy("src_ord", "ord").limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"mapping spec has more than {max_rows} rows; it is configuration, not data")
+    for r in rows:
         m = Mapping(**{c: r[c] for c in FLAT_COLUMNS})
         out.setdefault(m.source_table, []).append(m)
     return out
