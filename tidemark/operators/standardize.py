@@ -55,3 +55,28 @@ def standardize(spark: SparkSession, target: DataFrame | None, contract: StructT
     if not stacked:
         return merged
     return choose_result(merged, union_sources(stacked))
+
+
+def run_standardization(spark: SparkSession, target_location: str, contract: StructType,
+                        mappings: dict[str, list[Mapping]], read: Callable[[str], DataFrame], *,
+                        fmt: str = "parquet", drop_null_columns: bool = True) -> dict:
+    """One full run into a stored standard table.
+
+    Reads the current table (or starts from an empty frame of the contract
+    when it does not exist yet), standardises every source of the spec, drops
+    columns that are null on every row, replaces the table through a staged
+    copy (the result reads the table it replaces) and returns the load
+    response ``{target_table, schema, rows_loaded}``.
+    """
+    from ..sinks.writers import replace_path
+    from ..sources.target import read_target
+    from .clean import drop_all_null_columns
+
+    target = read_target(spark, target_location, contract, fmt)
+    result = standardize(spark, target, contract, mappings, read)
+    if drop_null_columns:
+        result = drop_all_null_columns(result)
+    n = replace_path(result, target_location, fmt)
+    first = next(iter(mappings.values()))[0] if mappings else None
+    return {"target_table": first.target_table if first else None,
+            "schema": first.target_schema if first else None, "rows_loaded": n}

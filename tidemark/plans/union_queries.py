@@ -126,3 +126,51 @@ def q_standardize_mixed(spark, sf_dir):
     vendor_maps = collect_mappings(spec_from_dict(spark, VENDOR_SPEC))["supplier"]
     stacked = map_to_contract(table(spark, sf_dir, "supplier"), CLIENT_CONTRACT, vendor_maps)
     return choose_result(merged, stacked)
+
+
+CHANGES_SPEC = {"client_changes": {
+    "type": "client", "schema": "sdm", "tablename": "client_std", "relational": "True",
+    "mapping": [
+        _m("c_custkey", "client.ClientId", "c_custkey", "ClientId"),
+        _m("c_mktsegment", "client.Segment", "c_custkey", "ClientId"),
+        _m("c_acctbal", "client.Balance", "c_custkey", "ClientId"),
+    ]}}
+
+
+@register("standardize_run", """
+WITH t AS (SELECT c_custkey AS ClientId, c_name AS ClientName, c_mktsegment AS Segment, c_acctbal AS Balance
+           FROM customer),
+s AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey - 1 END AS ClientId,
+             CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment || '_V2' END AS Segment,
+             CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS DOUBLE) ELSE c_acctbal + 1 END AS Balance
+      FROM customer)
+SELECT coalesce(t.ClientId, s.ClientId) AS ClientId, t.ClientName,
+       coalesce(nullif(s.Segment, ''), t.Segment) AS Segment, coalesce(s.Balance, t.Balance) AS Balance,
+       CAST(NULL AS VARCHAR) AS rec_type, CAST(NULL AS VARCHAR) AS filename
+FROM t FULL OUTER JOIN s ON t.ClientId IS NOT DISTINCT FROM s.ClientId
+UNION ALL
+SELECT s_suppkey, s_name, CAST(NULL AS VARCHAR), s_acctbal, 'vendor', 'supplier' FROM supplier
+""")
+def q_standardize_run(spark, sf_dir):
+    """A full run into a stored table: relational client changes merged in,
+    vendors stacked, all-null contract columns (Phone, Country) dropped, the
+    table replaced through a staged copy; returns the stored table."""
+    from ..operators.standardize import run_standardization
+    from ..session import shared_dir
+
+    cust = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    location = shared_dir(spark, "client_std")
+    cust.select(k.alias("ClientId"), F.col("c_name").alias("ClientName"), F.col("c_mktsegment").alias("Segment"),
+                F.col("c_acctbal").alias("Balance"), F.lit(None).cast("string").alias("Phone"),
+                F.lit(None).cast("string").alias("Country")).write.parquet(location)
+    sources = {
+        "client_changes": cust.select(
+            F.when(k % 2 == 0, k).otherwise(-k - 1).alias("c_custkey"),
+            F.when(k % 7 == 0, F.lit("")).otherwise(F.concat("c_mktsegment", F.lit("_V2"))).alias("c_mktsegment"),
+            F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal") + 1).alias("c_acctbal")),
+        "supplier": table(spark, sf_dir, "supplier"),
+    }
+    maps = collect_mappings(spec_from_dict(spark, {**CHANGES_SPEC, **VENDOR_SPEC}))
+    run_standardization(spark, location, CLIENT_CONTRACT, maps, sources.__getitem__)
+    return spark.read.parquet(location)
