@@ -80,3 +80,25 @@ def run_standardization(spark: SparkSession, target_location: str, contract: Str
     first = next(iter(mappings.values()))[0] if mappings else None
     return {"target_table": first.target_table if first else None,
             "schema": first.target_schema if first else None, "rows_loaded": n}
+
+
+def mappings_by_target(mappings: dict[str, list[Mapping]]) -> dict[tuple[str | None, str | None], dict[str, list[Mapping]]]:
+    """Group a spec's sources by the standard table they feed.
+
+    A spec may feed several tables; each ``(target_schema, target_table)``
+    gets its own run instead of every source landing in one fixed table.
+    """
+    out: dict[tuple[str | None, str | None], dict[str, list[Mapping]]] = {}
+    for source, ms in mappings.items():
+        if ms:
+            out.setdefault((ms[0].target_schema, ms[0].target_table), {})[source] = ms
+    return out
+
+
+def run_all_targets(spark: SparkSession, mappings: dict[str, list[Mapping]],
+                    location: Callable[[str | None, str | None], str],
+                    contract: Callable[[str | None, str | None], StructType],
+                    read: Callable[[str], DataFrame], **kwargs) -> list[dict]:
+    """:func:`run_standardization` once per target table of the spec; load responses in spec order."""
+    return [run_standardization(spark, location(schema, table), contract(schema, table), group, read, **kwargs)
+            for (schema, table), group in mappings_by_target(mappings).items()]
