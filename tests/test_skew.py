@@ -70,3 +70,22 @@ def test_unique_rule_splits_hot_key(spark):
         assert n_skew_joins(checked) >= 1
         hot = checked.filter("k = 0")
         assert hot.filter("failed_rules = 'u'").count() == hot.count() > 0
+
+
+def test_set_rules_mixed_granularity_match_brute_force(spark):
+    from collections import Counter
+
+    data = [(1, 1), (1, 1), (1, 2), (2, 1), (3, None), (None, 5), (None, 5), (4, 4)]
+    df = spark.createDataFrame(data, "a int, b int")
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "a int")
+    rules = [Rule("ab", "a", "unique", ("a", "b")), Rule("a1", "a", "unique", ("a",)),
+             Rule("ref", "a", "referential", ("p", "a"))]
+    got = [(r.a, r.b, r.failed_rules) for r in validate(df, rules, {"p": parent}).collect()]
+    cab, ca = Counter(data), Counter(a for a, _ in data)
+    exp = []
+    for a, b in data:
+        f = [n for n, bad in [("ab", cab[(a, b)] > 1), ("a1", ca[a] > 1), ("ref", a is not None and a not in (1, 2, 3))]
+             if bad]
+        exp.append((a, b, ",".join(f)))
+    key = lambda t: tuple((x is not None, str(x)) for x in t)
+    assert sorted(got, key=key) == sorted(exp, key=key)

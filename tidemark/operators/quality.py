@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .keys import equal, probe_keys, with_join_keys
+from .keys import equal, with_join_keys
 
 ROW_CHECKS = ("not_null", "in_set", "range", "regex")
 SET_CHECKS = ("unique", "referential")
@@ -69,41 +69,58 @@ def _key_cols(rule: Rule) -> list[str]:
 
 
 def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]) -> tuple[DataFrame, list]:
-    """Add one boolean column per set-level rule (one join per rule).
-
-    The rows are the streamed side; the other side is a set of distinct keys
-    reaching the join through its own exchange, so AQE can split a hot key
-    of the rows (see :mod:`.keys`).
+    """Add one boolean column per set-level rule with a single full-width join.
+
+    The flags are computed on the distinct key combinations of all set-level
+    rules together (a grouped count with partial aggregation, so a hot key
+    collapses before the shuffle): ``unique`` from the counts, ``referential``
+    by joining the key frame with the parent's distinct keys. The rows meet
+    that key frame once, through never-null key columns; the key frame
+    reaches the join through its own exchange, so AQE can split a hot key on
+    the row side. However many set-level rules there are, the rows are
+    shuffled once.
     """
-    flags = []
+    if not rules:
+        return df, []
     types = {f.name: f.dataType for f in df.schema.fields}
+    keys_u: list[str] = []
+    for r in rules:
+        for k in (_key_cols(r) if r.check == "unique" else [r.column]):
+            if k not in keys_u:
+                keys_u.append(k)
+    kf = df.groupBy(*[_c(k) for k in keys_u]).agg(F.count(F.lit(1)).alias("__n"))
+    flags = []
     for r in rules:
         flag = f"__fail_{r.rule_id}"
         if r.check == "unique":
-            keys = _key_cols(r)
-            ktypes = [types[k] for k in keys]
-            dups = (df.groupBy(*[_c(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-                    .filter(F.col("__n") > 1))
-            probe, probe_cols = probe_keys(dups, keys, ktypes, f"__u{r.rule_id}_", distinct=False)
-            rows_k, names = with_join_keys(df, keys, ktypes, f"__r{r.rule_id}_")
-            hit = probe.withColumn("__hit", F.lit(True))
-            df = (rows_k.join(hit, equal(names, probe_cols), "left")
-                  .withColumn(flag, F.col("__hit").isNotNull())
-                  .drop(*names, *probe_cols, "__hit"))
+            ks = _key_cols(r)
+            if set(ks) == set(keys_u):
+                kf = kf.withColumn(flag, F.col("__n") > 1)
+            else:  # coarser key: sum the counts of the finer combinations
+                sub = kf.groupBy(*[_c(k) for k in ks]).agg(F.sum("__n").alias("__m"))
+                sub_k, sub_names = with_join_keys(sub.select([_c(k).alias(f"__s_{k}") for k in ks] + ["__m"]),
+                                                  [f"__s_{k}" for k in ks], [types[k] for k in ks], "__sq")
+                kf_k, kf_names = with_join_keys(kf, ks, [types[k] for k in ks], "__kq")
+                kf = (kf_k.join(sub_k, equal(kf_names, sub_names), "left")
+                      .withColumn(flag, F.col("__m") > 1)
+                      .drop(*kf_names, *sub_names, "__m", *[f"__s_{k}" for k in ks]))
         elif r.check == "referential":
             ref_name, ref_col = r.argument
-            parent = refs[ref_name].select(_c(ref_col).alias(r.column))
-            ktypes = [types[r.column]]
-            probe, probe_cols = probe_keys(parent, [r.column], ktypes, f"__p{r.rule_id}_")
-            rows_k, names = with_join_keys(df, [r.column], ktypes, f"__r{r.rule_id}_")
-            hit = probe.withColumn("__hit", F.lit(True))
-            df = (rows_k.join(hit, equal(names, probe_cols), "left")
-                  .withColumn(flag, _c(r.column).isNotNull() & F.col("__hit").isNull())
-                  .drop(*names, *probe_cols, "__hit"))
+            parent = refs[ref_name].select(_c(ref_col).alias("__ref")).distinct()
+            kf = (kf.join(parent, _c(r.column) == F.col("__ref"), "left")
+                  .withColumn(flag, _c(r.column).isNotNull() & F.col("__ref").isNull()).drop("__ref"))
         else:
             continue
-        flags.append((r, F.col(flag)))
-    return df, flags
+        flags.append((r, flag))
+    ktypes = [types[k] for k in keys_u]
+    key_alias = [f"__kf{i}" for i in range(len(keys_u))]
+    probe = kf.select([_c(k).alias(a) for k, a in zip(keys_u, key_alias)] + [F.col(f) for _, f in flags])
+    probe_k, probe_names = with_join_keys(probe, key_alias, ktypes, "__pq")
+    rows_k, row_names = with_join_keys(df, keys_u, ktypes, "__rq")
+    out = (rows_k.join(probe_k, equal(row_names, probe_names), "left")
+           .select(*[_c(c) for c in df.columns],
+                   *[F.coalesce(F.col(f), F.lit(False)).alias(f) for _, f in flags]))
+    return out, [(r, F.col(f)) for r, f in flags]
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame] | None = None) -> DataFrame:
