@@ -78,7 +78,8 @@ def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame])
     that key frame once, through never-null key columns; the key frame
     reaches the join through its own exchange, so AQE can split a hot key on
     the row side. However many set-level rules there are, the rows are
-    shuffled once.
+    shuffled at most once (not at all when the failing keys are few enough
+    to broadcast).
     """
     if not rules:
         return df, []
@@ -114,7 +115,12 @@ def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame])
         flags.append((r, flag))
     ktypes = [types[k] for k in keys_u]
     key_alias = [f"__kf{i}" for i in range(len(keys_u))]
-    probe = kf.select([_c(k).alias(a) for k, a in zip(keys_u, key_alias)] + [F.col(f) for _, f in flags])
+    # only failing key combinations need to meet the rows (the join is a left
+    # join defaulting to "passes"); in real data that set is usually small
+    # enough for AQE to broadcast it
+    failing = reduce(lambda x, y: x | y, [F.col(f) for _, f in flags])
+    probe = kf.filter(failing).select([_c(k).alias(a) for k, a in zip(keys_u, key_alias)]
+                                      + [F.col(f) for _, f in flags])
     probe_k, probe_names = with_join_keys(probe, key_alias, ktypes, "__pq")
     rows_k, row_names = with_join_keys(df, keys_u, ktypes, "__rq")
     out = (rows_k.join(probe_k, equal(row_names, probe_names), "left")
