@@ -181,11 +181,13 @@ def dq_summary(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]
         elif r.check == "referential":
             ref_name, ref_col = r.argument
             parent = refs[ref_name].select(_c(ref_col).alias("__ref")).distinct()
-            j = df.select(_c(r.column).alias("__v")).join(parent, F.col("__v") == F.col("__ref"), "left")
+            # count per value first: a hot value is one row before it meets the parent keys
+            per_value = df.groupBy(_c(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+            j = per_value.join(parent, F.col("__v") == F.col("__ref"), "left")
             part = j.agg(
-                F.sum(F.when(F.col("__v").isNotNull() & F.col("__ref").isNull(), 1).otherwise(0))
+                F.sum(F.when(F.col("__v").isNotNull() & F.col("__ref").isNull(), F.col("__n")).otherwise(0))
                  .cast(LongType()).alias("n_failed"),
-                F.count(F.lit(1)).cast(LongType()).alias("n_rows"))
+                F.sum("__n").cast(LongType()).alias("n_rows"))
         else:
             continue
         parts.append(part.select(F.lit(r.rule_id).alias("rule_id"), F.lit(r.check).alias("rule_check"),
