@@ -94,3 +94,19 @@ def test_full_equals_incremental_plus_older(spark):
     older = ev.filter(F.col("ts") <= F.lit(wm).cast("timestamp_ntz"))
     assert inc.count() + older.count() == ev.count()
     assert inc.join(older, "event_id").count() == 0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, vals, st.one_of(st.none(), st.integers(0, 9))), max_size=6),
+       st.lists(st.tuples(keys, vals, st.one_of(st.none(), st.integers(0, 9))), max_size=6),
+       st.lists(st.tuples(keys, vals, vals), max_size=6))
+def test_merge_all_equals_fold_for_unique_keys(spark, t_rows, s1_rows, s2_rows):
+    from tidemark.operators.merge import fold, merge_all
+
+    t = spark.createDataFrame(unique_by_key(t_rows), "k int, a string, n int")
+    s1 = spark.createDataFrame(unique_by_key(s1_rows), "k int, a string, n int")
+    s2 = spark.createDataFrame(unique_by_key(s2_rows), "k int, a string, extra string")  # adds a column
+    srcs = [(s1, ["k"]), (s2, ["k"])]
+    one, chain = merge_all(t, srcs), fold(t, srcs)
+    assert one.columns == chain.columns
+    assert rows(one) == rows(chain)

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from ..sources.spec import Mapping
 from .clean import standard_clean
 from .mapping import map_to_contract, rename_by_mapping
-from .merge import fold, key_pairs
+from .merge import fold, key_pairs, merge_all
 from .union import choose_result, union_sources
 
 
@@ -27,12 +27,15 @@ def relational_sources(mappings: dict[str, list[Mapping]]) -> list[str]:
 
 def standardize(spark: SparkSession, target: DataFrame | None, contract: StructType,
                 mappings: dict[str, list[Mapping]], read: Callable[[str], DataFrame], *,
-                clean: bool = True, stage_every: int = 4) -> DataFrame:
+                clean: bool = True, stage_every: int = 4, unique_keys: bool = False) -> DataFrame:
     """Run every source of a spec into the standard table.
 
     ``target``: the existing table or ``None`` (first run: an empty frame of
     the contract, D9); ``read(source_table)`` returns a source frame. Sources
     are cleaned once (NaN -> null, trim) and reused by both flows (D20).
+    ``unique_keys=True`` declares that the target and every relational source
+    hold each key at most once; the relational sources are then merged in one
+    aggregation (:func:`.merge.merge_all`) instead of one join per source.
     """
     if target is None:
         target = spark.createDataFrame([], contract)
@@ -51,7 +54,7 @@ def standardize(spark: SparkSession, target: DataFrame | None, contract: StructT
         else:
             stacked.append(map_to_contract(df, contract, ms))
     if todo:
-        merged = fold(target, todo, stage_every=stage_every)
+        merged = merge_all(target, todo) if unique_keys else fold(target, todo, stage_every=stage_every)
     if not stacked:
         return merged
     return choose_result(merged, union_sources(stacked))
@@ -59,7 +62,7 @@ def standardize(spark: SparkSession, target: DataFrame | None, contract: StructT
 
 def run_standardization(spark: SparkSession, target_location: str, contract: StructType,
                         mappings: dict[str, list[Mapping]], read: Callable[[str], DataFrame], *,
-                        fmt: str = "parquet", drop_null_columns: bool = True) -> dict:
+                        fmt: str = "parquet", drop_null_columns: bool = True, unique_keys: bool = False) -> dict:
     """One full run into a stored standard table.
 
     Reads the current table (or starts from an empty frame of the contract
@@ -73,7 +76,7 @@ def run_standardization(spark: SparkSession, target_location: str, contract: Str
     from .clean import drop_all_null_columns
 
     target = read_target(spark, target_location, contract, fmt)
-    result = standardize(spark, target, contract, mappings, read)
+    result = standardize(spark, target, contract, mappings, read, unique_keys=unique_keys)
     if drop_null_columns:
         result = drop_all_null_columns(result)
     n = replace_path(result, target_location, fmt)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from ..operators.merge import fold, first_run, upsert
+from ..operators.merge import first_run, fold, merge_all, upsert
 from .registry import register, table
 
 
@@ -79,7 +79,7 @@ def _supplier_slices(spark, sf_dir):
     return sup.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), [s1, s2, s3]
 
 
-@register("multi_source_fold", """
+_FOLD_SQL = """
 WITH t0 AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier),
 s1 AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal * 2 END AS s_acctbal FROM supplier),
 s2 AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_name || '#2' ELSE '' END AS s_name FROM supplier),
@@ -95,12 +95,22 @@ SELECT coalesce(t2.s_suppkey, s3.s_suppkey) AS s_suppkey, t2.s_name,
        coalesce(s3.s_nationkey, t2.s_nationkey) AS s_nationkey,
        coalesce(s3.s_acctbal, t2.s_acctbal) AS s_acctbal
 FROM t2 FULL OUTER JOIN s3 ON t2.s_suppkey IS NOT DISTINCT FROM s3.s_suppkey
-""")
+"""
+
+
+@register("multi_source_fold", _FOLD_SQL)
 def multi_source_fold(spark, sf_dir):
     target, slices = _supplier_slices(spark, sf_dir)
     return fold(target, [(s, ["s_suppkey"]) for s in slices])
 
 
+@register("multi_source_merge_once", _FOLD_SQL)
+def multi_source_merge_once(spark, sf_dir):
+    """The same three-source fold as ``multi_source_fold`` in one aggregation (unique keys)."""
+    target, slices = _supplier_slices(spark, sf_dir)
+    return merge_all(target, [(s, ["s_suppkey"]) for s in slices])
+
+
 @register("composite_key_merge", """
 WITH t AS (SELECT l_orderkey, l_linenumber, round(sum(l_quantity), 2) AS qty, min(l_returnflag) AS flag
            FROM lineitem GROUP BY l_orderkey, l_linenumber),
