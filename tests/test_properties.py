@@ -110,3 +110,11 @@ def test_merge_all_equals_fold_for_unique_keys(spark, t_rows, s1_rows, s2_rows):
     one, chain = merge_all(t, srcs), fold(t, srcs)
     assert one.columns == chain.columns
     assert rows(one) == rows(chain)
+
+
+def test_unique_keys_upsert_matches_join_form_on_driver_tables(spark):
+    from conftest import SF001
+    from tidemark.plans.merge_queries import customer_changes, customer_target
+
+    t, s = customer_target(spark, SF001), customer_changes(spark, SF001)
+    assert rows(upsert(t, s, ["c_custkey"], unique_keys=True)) == rows(upsert(t, s, ["c_custkey"]))

@@ -67,12 +67,17 @@ def _check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
-           *, on_duplicate: str = "fanout") -> DataFrame:
+           *, on_duplicate: str = "fanout", unique_keys: bool = False) -> DataFrame:
     """Merge ``source`` into ``target``; see the module docstring.
 
     ``keys`` holds target key names, or ``(target_key, source_key)`` pairs when
     the source spells its key differently; the output uses the target's name.
+    ``unique_keys=True`` declares that both sides hold each key at most once;
+    the merge then runs as one aggregation (:func:`merge_all`): one shuffle,
+    no join, and no partition can be skewed by a key.
     """
+    if unique_keys:
+        return merge_all(target, [(source, keys)], check_unique=(on_duplicate == "error"))
     pairs = [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
     if not pairs:
         raise ValueError("upsert needs at least one key")
