@@ -118,3 +118,17 @@ def test_unique_keys_upsert_matches_join_form_on_driver_tables(spark):
 
     t, s = customer_target(spark, SF001), customer_changes(spark, SF001)
     assert rows(upsert(t, s, ["c_custkey"], unique_keys=True)) == rows(upsert(t, s, ["c_custkey"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["x", "y", None])), max_size=8),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 7)), st.sampled_from(["x", "z", None])), max_size=8))
+def test_scd2_aggregation_equals_joins(spark, d_rows, s_rows):
+    d0 = dt.date(2024, 1, 1)
+    dim = spark.createDataFrame([(k, c, d0, None, True) for k, c in unique_by_key(d_rows)]
+                                + [(1, "old", dt.date(2023, 1, 1), d0, False)],
+                                "id int, city string, start_date date, end_date date, is_current boolean")
+    src = spark.createDataFrame(unique_by_key(s_rows), "id int, city string")
+    by_join = scd2_apply(dim, src, ["id"], ["city"], "2024-06-01")
+    by_agg = scd2_apply(dim, src, ["id"], ["city"], "2024-06-01", unique_keys=True)
+    assert rows(by_agg) == rows(by_join)

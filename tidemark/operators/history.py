@@ -99,10 +99,50 @@ def _closed(dim_cols: Sequence[str], chg: Column, d: Column) -> list[Column]:
             for c in dim_cols]
 
 
+def _scd2_by_aggregation(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+                         d: Column) -> DataFrame:
+    """SCD2 apply as one aggregation, for one current row and one source row per key at most.
+
+    Current rows and source rows are stacked as (old version, new version)
+    structs and grouped by key; each group holds at most one of each, so the
+    aggregation is bounded per key and combined map-side. One shuffle, no join.
+    """
+    dim_cols = dim.columns
+    dim_types = {f.name: f.dataType for f in dim.schema.fields}
+    cur = dim.filter(_c(CURRENT))
+    hist = dim.filter(~_c(CURRENT) | _c(CURRENT).isNull())
+    nonnull = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
+    old = F.struct(*[_c(c).alias(c) for c in dim_cols])
+    new = F.struct(*_new_version(src.columns, dim_cols, dim_types, d))
+    vtype = cur.select(old.alias("v")).schema["v"].dataType
+    cur_part = cur.filter(nonnull).select(*[_c(k) for k in keys], old.alias("__old"),
+                                          F.lit(None).cast(vtype).alias("__new"))
+    src_part = src.filter(nonnull).select(*[_c(k).cast(dim_types[k]).alias(k) for k in keys],
+                                          F.lit(None).cast(vtype).alias("__old"), new.cast(vtype).alias("__new"))
+    g = (cur_part.unionByName(src_part).groupBy(*[_c(k) for k in keys])
+         .agg(F.max("__old").alias("__old"), F.max("__new").alias("__new")))
+    o, n = F.col("__old"), F.col("__new")
+    chg = any_changed([(o[a], n[a]) for a in tracked])
+    closed = F.struct(*[(d.alias(END) if c == END else F.lit(False).alias(CURRENT) if c == CURRENT
+                         else o[c].alias(c)) for c in dim_cols])
+    versions = (F.when(o.isNull(), F.array(n)).when(n.isNull(), F.array(o))
+                 .when(chg, F.array(closed.cast(vtype), n)).otherwise(F.array(o)))
+    merged = g.select(F.inline(versions))
+    null_new = src.filter(~nonnull).select(_new_version(src.columns, dim_cols, dim_types, d))
+    return reduce(lambda a, b: a.unionByName(b),
+                  [hist.select(dim_cols), cur.filter(~nonnull).select(dim_cols), merged.select(dim_cols), null_new])
+
+
 def scd2_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-               as_of: str | dt.date | Column | None = None) -> DataFrame:
-    """Full SCD2 apply (H3, H4): the new dimension snapshot."""
+               as_of: str | dt.date | Column | None = None, unique_keys: bool = False) -> DataFrame:
+    """Full SCD2 apply (H3, H4): the new dimension snapshot.
+
+    ``unique_keys=True`` (one current row and one source row per key, the
+    normal case) runs the apply as one aggregation instead of joins.
+    """
     d = _date(as_of)
+    if unique_keys:
+        return _scd2_by_aggregation(dim, src, keys, tracked, d)
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
     hist, cur_k, cur_nullkey, src_k, src_nullkey, cond, key_info = _parts(dim, src, keys)

@@ -130,3 +130,10 @@ WHERE start_date <= DATE '2024-03-01' AND (end_date IS NULL OR DATE '2024-03-01'
 def q_scd2_asof(spark, sf_dir):
     snap = scd2_apply(dimension(spark, sf_dir), source(spark, sf_dir), ["customer_id"], ["city"], AS_OF)
     return as_of_view(snap, "2024-03-01")
+
+
+@register("scd2_merge_once", _full_sql(False))
+def q_scd2_merge_once(spark, sf_dir):
+    """``scd2_full`` as one aggregation (one current row and one source row per key)."""
+    return scd2_apply(dimension(spark, sf_dir), source(spark, sf_dir), ["customer_id"], ["city"], AS_OF,
+                      unique_keys=True)
