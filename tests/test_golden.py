@@ -192,3 +192,12 @@ def test_snapshot_upsert_replay(spark):
     first = rows(h.latest(spark))
     h(batch, 0)
     assert rows(h.latest(spark)) == first == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_g1_g2_with_single_aggregation_merge(spark):
+    src, tgt = _inputs(spark)
+    for cols in (FOUR, FOUR[:2]):
+        maps = collect_mappings(spec_from_dict(spark, spec(cols)))
+        by_join = standardize(spark, tgt, TARGET_SCHEMA, maps, lambda name: src)
+        by_agg = standardize(spark, tgt, TARGET_SCHEMA, maps, lambda name: src, unique_keys=True)
+        assert by_agg.columns == by_join.columns and rows(by_agg) == rows(by_join)

@@ -176,3 +176,30 @@ def test_rules_validated_before_running(spark):
     bad = IngestionRule("mongodb", "customers", "landing_c", ("customer_id",))
     with pytest.raises(RuleError):
         run_rules([ok, bad], lambda r: df, known_kinds=list(SOURCE_KINDS))
+
+
+def test_json_kinds_and_drift(spark):
+    from tidemark.operators.quality import json_field_drift, observed_fields
+
+    raw = spark.createDataFrame([
+        ("f", '{"a": 1, "b": "x", "c": 2.5, "d": true, "e": null, "g": {"z": 1}, "h": [1]}'),
+        ("f", '{"a": "1", "b": "y"}')], "src string, rec string")
+    kinds = {(r.field, r.kind): r.n_records for r in observed_fields(raw, "rec", "src").collect()}
+    assert kinds == {("a", "number"): 1, ("a", "string"): 1, ("b", "string"): 2, ("c", "number"): 1,
+                     ("d", "boolean"): 1, ("e", "null"): 1, ("g", "object"): 1, ("h", "array"): 1}
+    reg = spark.createDataFrame([("f", "a", "number"), ("f", "b", "string"), ("f", "q", "string")],
+                                "source_name string, field string, type string")
+    drift = {(r.field, r.kind, r.n_records) for r in json_field_drift(raw, "rec", "src", reg).collect()}
+    assert ("a", "retyped", 1) in drift and ("q", "missing", 2) in drift and ("g", "new", 1) in drift
+    assert ("b", "ok", 2) in drift
+
+
+def test_sql_policy_functions_escape_values(spark):
+    from tidemark.operators.security import register_mask_function, register_row_filter_function
+
+    register_row_filter_function(spark, "tm_test_rls", [("o'neil@x", "R&D 'core'")])
+    register_mask_function(spark, "tm_test_mask", ["o'neil@x"])
+    r = spark.sql("SELECT tm_test_rls('R&D ''core''', 'o''neil@x') AS ok, tm_test_rls('x', 'o''neil@x') AS no, "
+                  "tm_test_mask(CAST(5.0 AS DOUBLE), 'o''neil@x') AS shown, "
+                  "tm_test_mask(CAST(5.0 AS DOUBLE), 'eve') AS hidden").first()
+    assert (r.ok, r.no, r.shown, r.hidden) == (True, False, 5.0, None)
