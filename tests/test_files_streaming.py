@@ -110,3 +110,10 @@ def test_bucketed_upsert_replay_is_idempotent(spark):
     assert rows(h.latest(spark).select("k", "a")) == rows(expected)
     # only the buckets a batch touches are rewritten: 8 bucket folders exist, untouched ones keep their files
     assert spark.read.parquet(h.path).select("__bucket").distinct().count() <= 8
+
+
+def test_replace_drops_partitions_the_result_no_longer_has(spark):
+    path = shared_dir(spark, "vanishing")
+    spark.createDataFrame([(i, f"s{i % 3}") for i in range(9)], "v int, src string").write.partitionBy("src").parquet(path)
+    replace_path(spark.read.parquet(path).filter("src <> 's2'"), path, partition_by=["src"])
+    assert sorted({r.src for r in spark.read.parquet(path).collect()}) == ["s0", "s1"]

@@ -97,7 +97,9 @@ def replace_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: S
     if expected_rows is not None and n != expected_rows:
         raise RuntimeError(f"staged {n} rows, expected {expected_rows}; target left untouched")
     back = spark.read.format(fmt).load(staged)
-    w = back.write.format(fmt).mode("overwrite")
+    # a replacement replaces everything, also partitions the new data no longer
+    # has (the session default is dynamic overwrite, used by silver loads)
+    w = back.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
