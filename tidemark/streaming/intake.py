@@ -119,7 +119,8 @@ class BucketedUpsert:
     def init(self, target: DataFrame) -> None:
         """Write the starting table, one folder per bucket."""
         self.key_types = {f.name: f.dataType for f in target.schema.fields if f.name in self.keys}
-        (self._bucket(target).write.mode("overwrite").partitionBy(self.BUCKET).parquet(self.path))
+        (self._bucket(target).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(self.BUCKET).parquet(self.path))
 
     def _read(self, spark: SparkSession) -> DataFrame:
         # batches may add columns to the buckets they rewrite
