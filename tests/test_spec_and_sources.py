@@ -203,3 +203,25 @@ def test_sql_policy_functions_escape_values(spark):
                   "tm_test_mask(CAST(5.0 AS DOUBLE), 'o''neil@x') AS shown, "
                   "tm_test_mask(CAST(5.0 AS DOUBLE), 'eve') AS hidden").first()
     assert (r.ok, r.no, r.shown, r.hidden) == (True, False, 5.0, None)
+
+
+def test_unknown_load_type_takes_incremental_path(spark):
+    from tidemark.operators.incremental import plan_loads
+
+    cfg = spark.createDataFrame([("a", "FULL", "ts", None), ("b", "incremental", "ts", None),
+                                 ("c", "BACKFILL", "ts", 3)],
+                                "table_name string, load_type string, watermark_column string, backfill_days int")
+    wm = spark.createDataFrame([("a", "2024-01-05 00:00:00"), ("b", "2024-01-05 00:00:00")],
+                               "table_name string, value string")
+    plan = {r.table_name: (r.lower_bound, r.inclusive) for r in plan_loads(cfg, wm, "2024-01-31").collect()}
+    assert plan["a"] == (None, False)
+    assert str(plan["b"][0]) == "2024-01-05 00:00:00" and plan["b"][1] is False
+    assert str(plan["c"][0]) == "2024-01-28 00:00:00" and plan["c"][1] is True
+
+
+def test_lineage_on_non_file_source(spark):
+    from tidemark.sinks.writers import with_lineage
+
+    out = with_lineage(spark.createDataFrame([(1,)], "v int"), source_name="s", ingest_date="2024-02-01")
+    r = out.first()
+    assert r._file_name is None and r.source_name == "s" and str(r._ingest_date) == "2024-02-01"

@@ -73,9 +73,13 @@ def plan_loads(config: DataFrame, watermarks: DataFrame, as_of) -> DataFrame:
     wm = watermarks.select("table_name", F.col("value").alias("watermark"))
     j = join_small(config, wm, "table_name", "left")
     lt = F.upper(F.col("load_type"))
-    lower = (F.when(lt == INCR, F.col("watermark").cast(TimestampNTZType()))
+    # FULL loads everything; everything else takes the incremental path, with
+    # BACKFILL re-reading its window (the load type is a two-way switch, so an
+    # unexpected value never silently becomes a full reload)
+    lower = (F.when(lt == FULL, F.lit(None).cast(TimestampNTZType()))
               .when(lt == BACKFILL, F.date_sub(_lit_date(as_of), F.col("backfill_days").cast("int"))
-                    .cast(TimestampNTZType())))
+                    .cast(TimestampNTZType()))
+              .otherwise(F.col("watermark").cast(TimestampNTZType())))
     return j.select("table_name", lt.alias("load_type"), "watermark_column", "backfill_days", "watermark",
                     lower.alias("lower_bound"), (lt == BACKFILL).alias("inclusive"))
 

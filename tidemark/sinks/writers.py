@@ -14,6 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
@@ -113,7 +114,11 @@ def with_lineage(df: DataFrame, source_name: str | None = None, ingest_date: dt.
     if source_name is not None:
         cols["source_name"] = F.lit(source_name)
     if "_file_name" not in df.columns:
-        cols["_file_name"] = F.col("_metadata.file_name")
+        try:  # file sources expose _metadata; tables and JDBC reads do not
+            df.select(F.col("_metadata.file_name")).schema
+            cols["_file_name"] = F.col("_metadata.file_name")
+        except AnalysisException:
+            cols["_file_name"] = F.lit(None).cast(StringType())
     cols["_ingest_date"] = (F.lit(str(ingest_date)).cast(DateType()) if ingest_date is not None
                             else F.current_date())
     cols["_load_id"] = F.lit(load_id or uuid.uuid4().hex)
