@@ -132,3 +132,15 @@ def test_scd2_aggregation_equals_joins(spark, d_rows, s_rows):
     by_join = scd2_apply(dim, src, ["id"], ["city"], "2024-06-01")
     by_agg = scd2_apply(dim, src, ["id"], ["city"], "2024-06-01", unique_keys=True)
     assert rows(by_agg) == rows(by_join)
+
+
+def test_long_fold_with_checkpoints_matches_single_aggregation(spark):
+    from tidemark.operators.merge import fold, merge_all
+
+    t = spark.createDataFrame([(i, f"t{i}", None) for i in range(10)], "k int, a string, b string")
+    srcs = []
+    for j in range(6):
+        rows_j = [(i, "" if (i + j) % 4 == 0 else f"s{j}_{i}", None if i % 3 else f"b{j}") for i in range(j, 12, 2)]
+        srcs.append((spark.createDataFrame(rows_j, "k int, a string, b string"), ["k"]))
+    chained = fold(t, srcs, stage_every=2)  # cuts lineage with reliable checkpoints twice
+    assert rows(chained) == rows(merge_all(t, srcs))
