@@ -117,7 +117,8 @@ def pending_dates(bookmarks: DataFrame, processed: DataFrame, as_of) -> DataFram
 
     ``bookmarks``: ``source_name, last_date``; ``processed``: ``source_name,
     business_date``. The calendar is generated per source (``sequence``), not
-    by a cross join.
+    by a cross join. A source without a bookmark yields no dates: it needs a
+    full load first (see :func:`plan_loads`).
     """
     cal = bookmarks.select(
         "source_name",

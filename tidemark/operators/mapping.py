@@ -130,6 +130,9 @@ def map_to_contract(df: DataFrame, contract: StructType, mappings: Sequence[Mapp
     source column maps to a target that is already filled, each adds one more
     block of rows holding only that target and the provenance columns (P13);
     all blocks come from one scan through ``inline(array(struct, ...))``.
+    Values are cast to the contract's types with Spark's (ANSI) casts, so a
+    value that cannot be converted fails the load instead of silently turning
+    into null; validate bronze first (:mod:`.quality`) when sources are dirty.
     """
     if mappings:
         rec_type = rec_type if rec_type is not None else mappings[0].rec_type
