@@ -201,3 +201,19 @@ def test_g1_g2_with_single_aggregation_merge(spark):
         by_join = standardize(spark, tgt, TARGET_SCHEMA, maps, lambda name: src)
         by_agg = standardize(spark, tgt, TARGET_SCHEMA, maps, lambda name: src, unique_keys=True)
         assert by_agg.columns == by_join.columns and rows(by_agg) == rows(by_join)
+
+
+def test_run_all_targets_unique_keys_path(spark):
+    from tidemark.operators.standardize import run_all_targets
+    from tidemark.session import shared_dir
+
+    src, tgt = _inputs(spark)
+    root = shared_dir(spark, "ukrun")
+    tgt.write.parquet(f"{root}/rake_schem_test/table_rak")
+    maps = collect_mappings(spec_from_dict(spark, spec(FOUR)))
+    reports = run_all_targets(spark, maps, lambda s, t: f"{root}/{s}/{t}", lambda s, t: TARGET_SCHEMA,
+                              lambda name: src, unique_keys=True)
+    assert [(r["schema"], r["target_table"], r["rows_loaded"]) for r in reports] == [
+        ("rake_schem_test", "table_rak", 2)]
+    stored = spark.read.parquet(f"{root}/rake_schem_test/table_rak")
+    assert rows(stored) == [("P1001", "POL-001", D(2023, 1, 1), "C001"), ("P1002", "POL-002", D(2023, 2, 15), "C002")]
