@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, suffix_dedup, token_count
+from . import chat, hyperminhash, langid, mixing, packing, suffix_dedup, token_count
 from .common import in_training, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), token_count.zipf_vocabulary(VOCABULARY))
 
 
+@query
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of the documents (3-word shingles, Jaccard 0.85)."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 400 bytes that start twice."""
