@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprint, hyperminhash, langid, mixing, packing, suffix_dedup, token_count
+from . import chat, fingerprint, hyperminhash, kneser_ney, langid, mixing, packing, suffix_dedup, token_count
 from .common import in_training, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~in_training("doc_id", 4)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney and add-one scores of every document; the training rows teach both."""
+    docs = table(spark, sf_dir, "documents")
+    found = kneser_ney.score(docs, kneser_ney.train(docs.where(in_training("doc_id", 7))))
+    return found.withColumn("held_out", ~in_training("doc_id", 7))
+
+
 @query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered."""
