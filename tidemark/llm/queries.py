@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprint, hyperminhash, kneser_ney, langid, mixing, packing, suffix_dedup, token_count
+from . import chat, fingerprint, hyperminhash, kneser_ney, langid, mixing, nn_descent, packing, suffix_dedup, token_count
 from .common import in_training, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of each vector whose id is divisible by 100."""
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by rank-order profiles learnt from the training rows."""
