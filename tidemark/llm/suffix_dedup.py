@@ -258,7 +258,8 @@ def without_repeats(docs: DataFrame, length: int, doc_id: str = "doc_id", text:
     """The documents, all columns, their texts without repeated strings (a character that
     loses one of its bytes goes whole) and ``n_chars`` counted anew. Null texts stay null."""
     work = _with_spans(docs, length, doc_id, text)
-    at, count, last = docs.columns.index(text), docs.columns.index(n_chars), len(docs.columns)
+    names = docs.columns
+    at, count, last = names.index(text), names.index(n_chars), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -271,6 +272,6 @@ def without_repeats(docs: DataFrame, length: int, doc_id: str = "doc_id", text:
             lengths = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(cols[count].type)
             cols[at] = pa.array(texts, cols[at].type)
             cols[count] = pc.if_else(changed, lengths, cols[count])
-            yield pa.RecordBatch.from_arrays(cols[:last], names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols[:last], names=names)
 
     return work.mapInArrow(run, docs.schema)
