@@ -39,7 +39,7 @@ from .common import staged
 from .hashing import BASES, BYTE_VALUES, flat_texts, inverse_powers, mix, powers
 from .ranges import repeats
 
-PIECE = 1 << 21  # bytes of text a task hashes at a time
+PIECE = 1 << 19  # bytes of text a task hashes at a time (about 100 bytes of arrays for each)
 BLOCK = 16  # windows of a block
 NO_ID = -(2 ** 63)  # stands for a null doc_id
 #: Rows of a side that is broadcast at most (a few dozen bytes each); beyond, a shuffle join.
