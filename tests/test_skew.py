@@ -53,7 +53,7 @@ def test_upsert_splits_hot_source_key(spark):
         target = spark.read.parquet(f"{SF01}/orders.parquet").select(
             F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
         src = hot_lines(spark)
-        out = upsert(target, src, ["k"])
+        out = upsert(target, src, ["k"], hot_keys="split")
         assert n_skew_joins(out) >= 2  # matched rows and source-only rows
         # brute force: every target key survives, fan-out per matched key, new keys appended
         n_t, n_s = target.count(), src.count()

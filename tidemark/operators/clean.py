@@ -60,7 +60,10 @@ def all_null_columns(df: DataFrame) -> list[str]:
     """
     if not df.columns:
         return []
-    row = df.agg(*[F.count(_c(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 *[F.count(_c(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    if row["n"] == 0:  # an empty frame says nothing about its columns: all stay
+        return []
     return [c for i, c in enumerate(df.columns) if row[f"c{i}"] == 0]
 
 

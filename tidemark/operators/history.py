@@ -14,11 +14,17 @@ match: a null-key source row is always new, a null-key dimension row is never
 closed. Those rows are routed around the join, which also keeps a hot null
 key from landing in one task.
 
-Plan shape: closed history rows never enter a shuffle; current rows and the
-source meet in an inner join (expire + insert) and two anti joins (untouched
-current rows, brand-new keys), all splittable by AQE's skew handling. The
-apply is a pure ``DataFrame -> DataFrame``; there is no MERGE in plain
-parquet, so the caller writes the new snapshot (staged, then swapped).
+A source may repeat a row; rows of one key that differ in what the dimension
+takes from them are refused, because only one of them can become the current
+version. So is a dimension with two current rows for one key.
+
+Plan shape: closed history rows and null-key rows never enter a shuffle.
+Current rows and source rows are stacked and grouped by key; partial
+aggregation collapses a hot key before the one shuffle, and there is no join.
+The apply is a pure ``DataFrame -> DataFrame``; there is no MERGE in plain
+parquet, so the caller writes the new snapshot (staged, then swapped). With
+the dimension partitioned by ``is_current`` only the open part needs rewriting
+and the newly closed rows are appended.
 """
 
 from __future__ import annotations
@@ -29,10 +35,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType
+from pyspark.sql.types import BooleanType, DateType, StructField, StructType
 
 from ..functions.columns import any_changed
-from .keys import equal, probe_keys, with_join_keys
 
 START, END, CURRENT = "start_date", "end_date", "is_current"
 
@@ -49,34 +54,7 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _parts(dim: DataFrame, src: DataFrame, keys: Sequence[str]):
-    cur = dim.filter(_c(CURRENT))
-    hist = dim.filter(~_c(CURRENT) | _c(CURRENT).isNull())
-    nonnull = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
-    ktypes = [dict((f.name, f.dataType) for f in dim.schema.fields)[k] for k in keys]
-    cur_k, names = with_join_keys(cur.filter(nonnull), keys, ktypes)
-    src_k, _ = with_join_keys(src.filter(nonnull), keys, ktypes)
-    cur_nullkey, src_nullkey = cur.filter(~nonnull), src.filter(~nonnull)
-    # DataFrame aliases instead of renamed copies: each side keeps one
-    # physical form, so its shuffle is shared by the inner and the anti join
-    cond = equal([F.col(f"__c.`{n}`") for n in names], [F.col(f"__s.`{n}`") for n in names])
-    return hist, cur_k, cur_nullkey, src_k, src_nullkey, cond, (names, ktypes)
-
-
-def _chg(tracked: Sequence[str]) -> Column:
-    return any_changed([(F.col(f"__c.`{a}`"), F.col(f"__s.`{a}`")) for a in tracked])
-
-
-def _anti(df: DataFrame, other: DataFrame, keys: Sequence[str], key_info, tag: str) -> DataFrame:
-    """Rows of ``df`` whose key ``other`` lacks; ``other``'s distinct keys are the
-    probe (a hot key there collapses map-side, one in ``df`` is split by AQE)."""
-    names, ktypes = key_info
-    probe, probe_cols = probe_keys(other, keys, ktypes, tag)
-    return df.join(probe, equal(names, probe_cols), "left_anti")
-
-
-def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: dict, as_of: Column,
-                 qualifier: str = "") -> list[Column]:
+def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: dict, as_of: Column) -> list[Column]:
     out = []
     for c in dim_cols:
         if c == START:
@@ -86,93 +64,70 @@ def _new_version(src_cols: Sequence[str], dim_cols: Sequence[str], dim_types: di
         elif c == CURRENT:
             out.append(F.lit(True).alias(CURRENT))
         elif c in src_cols:
-            out.append(F.col(f"{qualifier}`{c}`").cast(dim_types[c]).alias(c))
+            out.append(_c(c).cast(dim_types[c]).alias(c))
         else:
             out.append(F.lit(None).cast(dim_types[c]).alias(c))
     return out
 
 
-def _closed(dim_cols: Sequence[str], chg: Column, d: Column) -> list[Column]:
-    return [F.when(chg, d).otherwise(F.col(f"__c.`{END}`")).alias(END) if c == END else
-            F.when(chg, F.lit(False)).otherwise(F.col(f"__c.`{CURRENT}`")).alias(CURRENT) if c == CURRENT else
-            F.col(f"__c.`{c}`").alias(c)
-            for c in dim_cols]
+def _nullable(fields) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True) for f in fields])
 
 
-def _scd2_by_aggregation(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-                         d: Column) -> DataFrame:
-    """SCD2 apply as one aggregation, for one current row and one source row per key at most.
-
-    Current rows and source rows are stacked as (old version, new version)
-    structs and grouped by key; each group holds at most one of each, so the
-    aggregation is bounded per key and combined map-side. One shuffle, no join.
-    """
+def _versions(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str], d: Column):
+    """(history rows, null-key current rows, one row per key with __old and __new, its
+    change test, null-key source rows as new versions)."""
     dim_cols = dim.columns
     dim_types = {f.name: f.dataType for f in dim.schema.fields}
     cur = dim.filter(_c(CURRENT))
     hist = dim.filter(~_c(CURRENT) | _c(CURRENT).isNull())
     nonnull = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
-    old = F.struct(*[_c(c).alias(c) for c in dim_cols])
-    new = F.struct(*_new_version(src.columns, dim_cols, dim_types, d))
-    vtype = cur.select(old.alias("v")).schema["v"].dataType
-    cur_part = cur.filter(nonnull).select(*[_c(k) for k in keys], old.alias("__old"),
-                                          F.lit(None).cast(vtype).alias("__new"))
+    # both versions in one nullable type: a NOT NULL dimension column can be null
+    # in neither, but the side that is missing is
+    vtype = _nullable(dim.schema.fields)
+    old = F.struct(*[_c(c).alias(c) for c in dim_cols]).cast(vtype)
+    new = F.struct(*_new_version(src.columns, dim_cols, dim_types, d)).cast(vtype)
+    none = F.lit(None).cast(vtype)
+    cur_part = cur.filter(nonnull).select(*[_c(k) for k in keys], old.alias("__old"), none.alias("__new"))
     src_part = src.filter(nonnull).select(*[_c(k).cast(dim_types[k]).alias(k) for k in keys],
-                                          F.lit(None).cast(vtype).alias("__old"), new.cast(vtype).alias("__new"))
+                                          none.alias("__old"), new.alias("__new"))
     g = (cur_part.unionByName(src_part).groupBy(*[_c(k) for k in keys])
-         .agg(F.max("__old").alias("__old"), F.max("__new").alias("__new")))
-    o, n = F.col("__old"), F.col("__new")
-    chg = any_changed([(o[a], n[a]) for a in tracked])
-    closed = F.struct(*[(d.alias(END) if c == END else F.lit(False).alias(CURRENT) if c == CURRENT
-                         else o[c].alias(c)) for c in dim_cols])
-    versions = (F.when(o.isNull(), F.array(n)).when(n.isNull(), F.array(o))
-                 .when(chg, F.array(closed.cast(vtype), n)).otherwise(F.array(o)))
-    merged = g.select(F.inline(versions))
+         .agg(F.count("__old").alias("__n_old"), F.max("__old").alias("__old"),
+              F.min("__new").alias("__new_min"), F.max("__new").alias("__new")))
+    bad = (F.when(F.col("__n_old") > 1, F.lit(f"two current rows for one key of {list(keys)}"))
+            .when(F.col("__new_min") != F.col("__new"), F.lit(f"source rows of one key of {list(keys)} differ")))
+    g = g.filter(F.when(bad.isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(F.lit(True)))
+    chg = any_changed([(F.col("__old")[a], F.col("__new")[a]) for a in tracked])
     null_new = src.filter(~nonnull).select(_new_version(src.columns, dim_cols, dim_types, d))
-    return reduce(lambda a, b: a.unionByName(b),
-                  [hist.select(dim_cols), cur.filter(~nonnull).select(dim_cols), merged.select(dim_cols), null_new])
-
+    return hist.select(dim_cols), cur.filter(~nonnull).select(dim_cols), g, chg, null_new, vtype
 
-def scd2_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-               as_of: str | dt.date | Column | None = None, unique_keys: bool = False) -> DataFrame:
-    """Full SCD2 apply (H3, H4): the new dimension snapshot.
 
-    ``unique_keys=True`` (one current row and one source row per key, the
-    normal case) runs the apply as one aggregation instead of joins.
-    """
-    d = _date(as_of)
-    if unique_keys:
-        return _scd2_by_aggregation(dim, src, keys, tracked, d)
-    dim_cols = dim.columns
-    dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    hist, cur_k, cur_nullkey, src_k, src_nullkey, cond, key_info = _parts(dim, src, keys)
-    chg = _chg(tracked)
+def _closed(o: Column, dim_cols: Sequence[str], d: Column, vtype) -> Column:
+    return F.struct(*[(d.alias(END) if c == END else F.lit(False).alias(CURRENT) if c == CURRENT
+                       else o[c].alias(c)) for c in dim_cols]).cast(vtype)
 
-    joined = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner")
-    old_version = F.struct(*_closed(dim_cols, chg, d))
-    new_version = F.struct(*_new_version(src.columns, dim_cols, dim_types, d, "__s."))
-    versions = F.when(chg, F.array(old_version, new_version)).otherwise(F.array(old_version))
-    matched = joined.select(F.inline(versions))
 
-    untouched = _anti(cur_k, src_k, keys, key_info, "__sk")
-    brand_new = _anti(src_k, cur_k, keys, key_info, "__ck")
-    inserted = brand_new.select(_new_version(src.columns, dim_cols, dim_types, d))
-    null_new = src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))
-    return reduce(lambda a, b: a.unionByName(b),
-                  [hist.select(dim_cols), cur_nullkey.select(dim_cols), matched.select(dim_cols),
-                   untouched.select(dim_cols), inserted, null_new])
+def scd2_apply(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+               as_of: str | dt.date | Column | None = None) -> DataFrame:
+    """Full SCD2 apply (H3, H4): the new dimension snapshot."""
+    d = _date(as_of)
+    hist, nullkey, g, chg, null_new, vtype = _versions(dim, src, keys, tracked, d)
+    o, n = F.col("__old"), F.col("__new")
+    versions = (F.when(o.isNull(), F.array(n)).when(n.isNull(), F.array(o))
+                 .when(chg, F.array(_closed(o, dim.columns, d, vtype), n)).otherwise(F.array(o)))
+    merged = g.select(F.inline(versions)).select(dim.columns)
+    return reduce(lambda a, b: a.unionByName(b), [hist, nullkey, merged, null_new])
 
 
 def scd2_expire(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                 as_of: str | dt.date | Column | None = None) -> DataFrame:
     """Step 1 only (H1, J7): the dimension with changed current rows closed."""
     d = _date(as_of)
-    dim_cols = dim.columns
-    hist, cur_k, cur_nullkey, src_k, _src_nullkey, cond, key_info = _parts(dim, src, keys)
-    closed = cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").select(_closed(dim_cols, _chg(tracked), d))
-    untouched = _anti(cur_k, src_k, keys, key_info, "__sk")
-    return reduce(lambda a, b: a.unionByName(b),
-                  [hist.select(dim_cols), cur_nullkey.select(dim_cols), closed, untouched.select(dim_cols)])
+    hist, nullkey, g, chg, _, vtype = _versions(dim, src, keys, tracked, d)
+    o, n = F.col("__old"), F.col("__new")
+    kept = g.filter(o.isNotNull()).select(F.inline(F.array(
+        F.when(n.isNotNull() & chg, _closed(o, dim.columns, d, vtype)).otherwise(o))))
+    return reduce(lambda a, b: a.unionByName(b), [hist, nullkey, kept.select(dim.columns)])
 
 
 def scd2_new_rows(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -182,15 +137,10 @@ def scd2_new_rows(dim: DataFrame, src: DataFrame, keys: Sequence[str], tracked:
     Evaluated against the pre-expire snapshot, so "changed" is tested directly.
     """
     d = _date(as_of)
-    dim_cols = dim.columns
-    dim_types = {f.name: f.dataType for f in dim.schema.fields}
-    _hist, cur_k, _cur_nullkey, src_k, src_nullkey, cond, key_info = _parts(dim, src, keys)
-    changed_rows = (cur_k.alias("__c").join(src_k.alias("__s"), cond, "inner").filter(_chg(tracked))
-                    .select(_new_version(src.columns, dim_cols, dim_types, d, "__s.")))
-    brand_new = _anti(src_k, cur_k, keys, key_info, "__ck")
-    return reduce(lambda a, b: a.unionByName(b),
-                  [changed_rows, brand_new.select(_new_version(src.columns, dim_cols, dim_types, d)),
-                   src_nullkey.select(_new_version(src.columns, dim_cols, dim_types, d))])
+    _, _, g, chg, null_new, _ = _versions(dim, src, keys, tracked, d)
+    o, n = F.col("__old"), F.col("__new")
+    fresh = g.filter(n.isNotNull() & (o.isNull() | chg)).select(F.inline(F.array(n))).select(dim.columns)
+    return fresh.unionByName(null_new)
 
 
 def current_view(dim: DataFrame) -> DataFrame:

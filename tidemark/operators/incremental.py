@@ -2,8 +2,8 @@
 
 (I1-I7, J8-J10, A2, S8, S10, K7.) Every operator is a predicate or a join
 against a metadata-sized frame, so the big side (the table or the feed
-listing) is scanned once with its filter pushed into the scan, and the
-metadata side is broadcast after a size check.
+listing) is scanned once with its filter pushed into the scan; the planner
+decides from sizes whether the metadata side is broadcast.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType
 
-from ..functions.columns import date_from_file_name, dated_folder, glob_match, glob_to_regex, yn_to_bool
-from .joins import join_small
+from ..functions.columns import date_from_file_name, dated_folder, glob_match, yn_to_bool
 
 FULL, INCR, BACKFILL = "FULL", "INCR", "BACKFILL"
 
@@ -71,7 +70,7 @@ def plan_loads(config: DataFrame, watermarks: DataFrame, as_of) -> DataFrame:
     bookmark yet -> full); BACKFILL -> ``as_of`` minus N days, inclusive.
     """
     wm = watermarks.select("table_name", F.col("value").alias("watermark"))
-    j = join_small(config, wm, "table_name", "left")
+    j = config.join(wm, "table_name", "left")
     lt = F.upper(F.col("load_type"))
     # FULL loads everything; everything else takes the incremental path, with
     # BACKFILL re-reading its window (the load type is a two-way switch, so an
@@ -81,22 +80,21 @@ def plan_loads(config: DataFrame, watermarks: DataFrame, as_of) -> DataFrame:
                     .cast(TimestampNTZType()))
               .otherwise(F.col("watermark").cast(TimestampNTZType())))
     return j.select("table_name", lt.alias("load_type"), "watermark_column", "backfill_days", "watermark",
-                    lower.alias("lower_bound"), (lt == BACKFILL).alias("inclusive"))
+                    lower.alias("lower_bound"), lt.eqNullSafe(F.lit(BACKFILL)).alias("inclusive"))
 
 
 def apply_plan(rows: DataFrame, plan: DataFrame, table_col: str, ts_col: str) -> DataFrame:
     """Rows of many logical tables that their plan loads, in one pass.
 
-    The plan is config-sized and broadcast (after a size check), so the
-    rows are never shuffled by table name, however unevenly the tables are
-    sized.
+    The plan has one row per table: the planner broadcasts it from its size,
+    and AQE splits a hot table name if it doesn't.
     """
     p = plan.select(F.col("table_name").alias("__t"), F.col("load_type").alias("__lt"),
                     F.col("lower_bound").alias("__lb"), F.col("inclusive").alias("__inc"))
     ts = F.col(ts_col)
     keep = (F.col("__lb").isNull() | (F.col("__inc") & (ts >= F.col("__lb")))
             | (~F.col("__inc") & (ts > F.col("__lb"))))
-    j = join_small(rows, p, F.col(table_col) == F.col("__t"), "inner")
+    j = rows.join(p, F.col(table_col) == F.col("__t"), "inner")
     return j.filter(keep).drop("__t", "__lb", "__inc").withColumnRenamed("__lt", "load_type")
 
 
@@ -174,25 +172,16 @@ def file_business_date(listing: DataFrame, name_col: str = "file_name", out: str
 
 
 def files_matching(listing: DataFrame, config: DataFrame, name_col: str = "file_name",
-                   pattern_col: str = "file_pattern", source_col: str = "source_name",
-                   max_feeds: int = 500) -> DataFrame:
-    """Listed files that match their feed's configured glob, e.g. ``fuel_txn_*.json``.
+                   pattern_col: str = "file_pattern", source_col: str = "source_name") -> DataFrame:
+    """Listed files that match a configured glob of their feed, e.g. ``fuel_txn_*.json``.
 
-    The config has one row per feed: its patterns are collected (after a size
-    check) into one CASE of literal regexes, compiled once, so the listing is
-    filtered without a join. Partial uploads and stray files are left out.
+    A feed may have several patterns: a file that matches any of them is kept
+    once (left semi join on the feed with the glob as extra condition).
+    Partial uploads and stray files are left out.
     """
-    pats = config.select(source_col, pattern_col).limit(max_feeds + 1).collect()
-    if len(pats) <= max_feeds:
-        src, name = F.col(source_col), F.col(name_col)
-        cond = F.lit(False)
-        for r in pats:
-            if r[0] is not None and r[1] is not None:
-                cond = F.when(src == F.lit(r[0]), name.rlike(glob_to_regex(r[1]))).otherwise(cond)
-        return listing.filter(F.coalesce(cond, F.lit(False)))
-    p = config.select(F.col(source_col).alias("__src"), F.col(pattern_col).alias("__pat"))
-    j = join_small(listing, p, F.col(source_col) == F.col("__src"), "inner")
-    return j.filter(glob_match(F.col(name_col), F.col("__pat"))).drop("__src", "__pat")
+    p = config.select(F.col(source_col).alias("__src"), F.col(pattern_col).alias("__pat")).distinct()
+    return listing.join(p, (F.col(source_col) == F.col("__src")) & glob_match(F.col(name_col), F.col("__pat")),
+                        "left_semi")
 
 
 def log_processed(log: DataFrame, files: DataFrame, run_date, status: str = "SUCCESS") -> DataFrame:

@@ -1,65 +1,23 @@
-"""Size-checked broadcast joins against metadata-sized frames.
+"""Membership joins against metadata frames (config, watermark, policy, source names).
 
-Config, watermark, policy, membership and source-name frames are small by
-nature, but "small by nature" is not a proof. Before hinting a broadcast the
-side is counted up to ``max_rows + 1`` (a bounded job over an already small
-frame); beyond the bound the join is left to the planner, i.e. a shuffle join
-with AQE skew splitting. A broadcast therefore never grows with the data.
+They are ordinary semi and anti joins on the distinct values of the small
+side. Nothing is counted or collected while a query is built: whether a side
+is broadcast is decided by the planner and AQE from measured bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 200_000
 
-
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``big.join(small, on, how)``, broadcasting ``small`` only when its size is proven."""
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti", "leftsemi",
-                   "leftanti"):
-        return big.join(small, on, how)  # the small side is not broadcastable for this join type
-    side = F.broadcast(small) if is_bounded(small, max_rows) else small
-    return big.join(side, on, how)
-
-
-DEFAULT_MAX_VALUES = 10_000
-
-
-def bounded_values(df: DataFrame, column: str, max_values: int = DEFAULT_MAX_VALUES) -> list | None:
-    """Distinct values of ``column`` when there are at most ``max_values`` of them, else None.
-
-    For config-sized sets (source names, allowed departments) a literal IN
-    list beats any join: it needs no exchange and is pushed into the scan
-    (row-group statistics, partition pruning of a table partitioned by it).
-    """
-    rows = df.select(F.col(f"`{column}`")).distinct().limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        return None
-    return [r[0] for r in rows]
-
-
-def semi_by_values(big: DataFrame, column: str, values_df: DataFrame, values_column: str, anti: bool = False,
-                   max_values: int = DEFAULT_MAX_VALUES) -> DataFrame:
+def semi_by_values(big: DataFrame, column: str, values_df: DataFrame, values_column: str,
+                   anti: bool = False) -> DataFrame:
     """``big`` rows whose ``column`` is (``anti``: is not) among ``values_df``'s values.
 
-    Null never matches, as in a semi/anti join: a null ``column`` is dropped
-    by the semi form and kept by the anti form. Beyond ``max_values`` distinct
-    values it falls back to a join (broadcast when bounded, else shuffled).
+    Null never matches: a null ``column`` is dropped by the semi form and kept
+    by the anti form. The distinct values are aggregated map-side first, so a
+    value repeated on every row of ``values_df`` costs one row per task.
     """
-    vals = bounded_values(values_df, values_column, max_values)
-    if vals is None:
-        how = "left_anti" if anti else "left_semi"
-        keys = values_df.select(F.col(f"`{values_column}`").alias("__v")).distinct()
-        return join_small(big, keys, F.col(f"`{column}`") == F.col("__v"), how)
-    c = F.col(f"`{column}`")
-    present = [v for v in vals if v is not None]
-    hit = c.isin(present) if present else F.lit(False)
-    return big.filter(c.isNull() | ~hit) if anti else big.filter(c.isNotNull() & hit)
+    keys = values_df.select(F.col(f"`{values_column}`").alias("__v")).distinct()
+    return big.join(keys, F.col(f"`{column}`") == F.col("__v"), "left_anti" if anti else "left_semi")

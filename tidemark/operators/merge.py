@@ -13,27 +13,34 @@ is missing"):
   appended after the target's columns;
 * a key delivered ``n`` times by the source and held ``m`` times by the target
   gives ``n * m`` rows (join semantics, J5); ``on_duplicate="error"`` refuses
-  duplicate source keys instead.
-
-Plan shape. A full outer join cannot be split by AQE when one key is hot (null
-keys, a default customer, one customer holding a third of the orders). The
-same result is the union of three joins AQE *can* split:
+  duplicate source keys instead;
+* null keys match each other too (``null_keys="match"``); with many of them on
+  both sides that fans out, and ``null_keys="append"`` lets them match nothing:
+  null-key rows of both sides then pass by the join;
+* column names are compared as Spark resolves them: without regard to case,
+  unless ``spark.sql.caseSensitive`` is set. The target's spelling stays.
+
+Plan shape. One full outer join on never-null key columns: two exchanges, the
+target is read once, so a fold over many sources grows by the same amount for
+each. With unique keys (the usual standard table) :func:`merge_all` needs no
+join at all. A full outer join can't be split by AQE when one key is hot; for
+inputs whose keys do repeat a lot, ``hot_keys="split"`` computes the same rows
+as the union of three joins AQE *can* split:
 
     target INNER JOIN source           matched rows      (either side split)
     target LEFT ANTI JOIN source keys  target-only rows  (target side split)
     source LEFT ANTI JOIN target keys  source-only rows  (source side split)
 
-The full-width shuffle of each side is shared by its inner join and its anti
-join (Spark reuses the identical exchange); the anti joins' other side ships
-only its distinct keys, pre-aggregated map-side (a hot key there costs one
-row per map task). When a run's source is small, AQE turns the joins into
-broadcast joins from the measured shuffle size, so an incremental batch never
-re-shuffles a large target.
+There the full-width shuffle of each side is shared by its inner join and its
+anti join (Spark reuses the identical exchange), and the anti joins' other side
+ships only its distinct keys, pre-aggregated map-side. As it reads the target
+three times, a fold of this form writes every step to the checkpoint folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,23 +73,38 @@ def _check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"source repeats key {list(keys)}")
 
 
+def _named_like(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``source`` with the target's spelling of shared column names."""
+    if target.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true":
+        return source
+    spelling = {c.lower(): c for c in target.columns}
+    if all(spelling.get(c.lower(), c) == c for c in source.columns):
+        return source
+    return source.select([F.col(f"`{c}`").alias(spelling.get(c.lower(), c)) for c in source.columns])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
-           *, on_duplicate: str = "fanout", unique_keys: bool = False) -> DataFrame:
+           *, on_duplicate: str = "fanout", unique_keys: bool = False, null_keys: str = "match",
+           hot_keys: str = "plain") -> DataFrame:
     """Merge ``source`` into ``target``; see the module docstring.
 
     ``keys`` holds target key names, or ``(target_key, source_key)`` pairs when
     the source spells its key differently; the output uses the target's name.
-    ``unique_keys=True`` declares that both sides hold each key at most once;
-    the merge then runs as one aggregation (:func:`merge_all`): one shuffle,
-    no join, and no partition can be skewed by a key.
+    ``unique_keys=True`` states that both sides hold each key at most once; the
+    merge then runs as one aggregation (:func:`merge_all`), which checks that.
+    ``on_duplicate="error"`` counts the source's keys right away (one job).
     """
-    if unique_keys:
-        return merge_all(target, [(source, keys)], check_unique=(on_duplicate == "error"))
+    if on_duplicate not in ("fanout", "error"):
+        raise ValueError("on_duplicate must be 'fanout' or 'error'")
+    if null_keys not in ("match", "append"):
+        raise ValueError("null_keys must be 'match' or 'append'")
+    if hot_keys not in ("plain", "split"):
+        raise ValueError("hot_keys must be 'plain' or 'split'")
     pairs = [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
     if not pairs:
         raise ValueError("upsert needs at least one key")
-    if on_duplicate not in ("fanout", "error"):
-        raise ValueError("on_duplicate must be 'fanout' or 'error'")
+    if unique_keys and null_keys == "match":
+        return merge_all(target, [(source, keys)])
 
     # Rename the source's key to the target's spelling; the joins below refer to
     # the two sides through DataFrame aliases, so a source derived from the
@@ -90,14 +112,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     src_key_rename = {s: t for t, s in pairs if s != t}
     if src_key_rename:
         source = source.select([F.col(f"`{c}`").alias(src_key_rename.get(c, c)) for c in source.columns])
-    if on_duplicate == "error":
-        _check_unique(source, [t for t, _ in pairs])
-
-    tschema: StructType = target.schema
-    sschema: StructType = source.schema
-    ttypes = {f.name: f.dataType for f in tschema.fields}
-    stypes = {f.name: f.dataType for f in sschema.fields}
+    source = _named_like(source, target)
     key_names = [t for t, _ in pairs]
+    if on_duplicate == "error":
+        _check_unique(source, key_names)
+    if null_keys == "append":
+        some = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in key_names])
+        merged = upsert(target.filter(some), source.filter(some), key_names, unique_keys=unique_keys, hot_keys=hot_keys)
+        return (merged.unionByName(target.filter(~some), allowMissingColumns=True)
+                .unionByName(_added(source.filter(~some), target, key_names)))
+
+    ttypes = {f.name: f.dataType for f in target.schema.fields}
+    stypes = {f.name: f.dataType for f in source.schema.fields}
     source_only = [c for c in source.columns if c not in ttypes]
 
     # Null-safe matching through never-null join columns (see .keys): plain
@@ -105,10 +131,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     ktypes = [ttypes[k] for k in key_names]
     tn, names = with_join_keys(target, key_names, ktypes)
     sn, _ = with_join_keys(source, key_names, ktypes)
-
-    # Qualified references through DataFrame aliases: no renaming projection,
-    # so both sides keep one physical form and each side's shuffle is shared
-    # by its inner join and its anti join (ReusedExchange).
     t, s = tn.alias("__t"), sn.alias("__s")
 
     def tcol(c: str) -> Column:
@@ -117,62 +139,65 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     def scol(c: str) -> Column:
         return F.col(f"__s.`{c}`")
 
-    cond = equal([tcol(n) for n in names], [scol(n) for n in names])
-
-    # matched rows (inner join: AQE may split a hot key on either side)
-    m_cols = []
+    # The same columns serve matched, target-only and source-only rows: what a
+    # side lacks is null there.
+    cols = []
     for c in target.columns:
         if c in key_names:
-            # equal on matched rows; reading both keeps the source's exchange
-            # identical to the one its anti join uses, so it is shuffled once
-            m_cols.append(F.coalesce(tcol(c), _typed(scol(c), stypes[c], ttypes[c])).alias(c))
+            cols.append(F.coalesce(tcol(c), _typed(scol(c), stypes[c], ttypes[c])).alias(c))
         elif c in stypes:
             new = _typed(scol(c), stypes[c], ttypes[c])
-            m_cols.append(overwrite_if_present(new, tcol(c), ttypes[c]).alias(c))
+            cols.append(overwrite_if_present(new, tcol(c), ttypes[c]).alias(c))
         else:
-            m_cols.append(tcol(c).alias(c))
-    m_cols += [scol(c).alias(c) for c in source_only]
-    matched = t.join(s, cond, "inner").select(m_cols)
+            cols.append(tcol(c).alias(c))
+    cols += [scol(c).alias(c) for c in source_only]
+    cond = equal([tcol(n) for n in names], [scol(n) for n in names])
+    if hot_keys == "plain":
+        return t.join(s, cond, "full_outer").select(cols)
 
+    matched = t.join(s, cond, "inner").select(cols)
     # Anti joins probe the other side's distinct keys (see .keys): a hot key
     # on the probe side is split by AQE, one on the other side collapses.
-
-    # target-only rows: untouched, source-only columns null
     s_keys, s_key_cols = probe_keys(source, key_names, ktypes, "__sk")
     kept = tn.join(s_keys, equal(names, s_key_cols), "left_anti")
     kept = kept.select([F.col(f"`{c}`").alias(c) for c in target.columns]
                        + [F.lit(None).cast(stypes[c]).alias(c) for c in source_only])
-
-    # source-only rows
     t_keys, t_key_cols = probe_keys(target, key_names, ktypes, "__tk")
     only = sn.join(t_keys, equal(names, t_key_cols), "left_anti")
-    only_cols = []
-    for c in target.columns:
-        if c in key_names:
-            only_cols.append(_typed(F.col(f"`{c}`"), stypes[c], ttypes[c]).alias(c))
-        elif c in stypes:
-            v = _typed(F.col(f"`{c}`"), stypes[c], ttypes[c])
-            if isinstance(ttypes[c], StringType):
-                v = blank_to_null(v)
-            only_cols.append(v.alias(c))
-        else:
-            only_cols.append(F.lit(None).cast(ttypes[c]).alias(c))
-    only_cols += [F.col(f"`{c}`").alias(c) for c in source_only]
-    added = only.select(only_cols)
-    return matched.unionByName(kept).unionByName(added)
+    return matched.unionByName(kept).unionByName(_added(only, target, key_names, source.columns))
+
+
+def _added(rows: DataFrame, target: DataFrame, keys: Sequence[str], own: Sequence[str] | None = None) -> DataFrame:
+    """Source rows as new rows of the target: blank strings of shared columns become null."""
+    own = list(own if own is not None else rows.columns)
+    stypes = {f.name: f.dataType for f in rows.schema.fields}
+    cols = []
+    for f in target.schema.fields:
+        if f.name not in own:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        v = _typed(F.col(f"`{f.name}`"), stypes[f.name], f.dataType)
+        cols.append((blank_to_null(v) if f.name not in keys and isinstance(f.dataType, StringType) else v).alias(f.name))
+    have = set(target.columns)
+    return rows.select(cols + [F.col(f"`{c}`") for c in own if c not in have])
 
 
 def fold(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]], *,
-         stage_every: int = 4, on_duplicate: str = "fanout") -> DataFrame:
+         stage_every: int | None = None, on_duplicate: str = "fanout", null_keys: str = "match",
+         hot_keys: str = "plain") -> DataFrame:
     """Merge several sources in order, later wins.
 
-    Long folds grow the plan; every ``stage_every`` sources the intermediate
-    result is checkpointed to the shared checkpoint folder, which cuts lineage
-    and survives lost executors (reliable checkpoint, never a local one).
+    The plan grows by one join for each source. Every ``stage_every`` sources
+    the intermediate result is checkpointed to the shared checkpoint folder,
+    which cuts lineage and survives lost executors (a reliable checkpoint,
+    never a local one): by default never, and at each step with
+    ``hot_keys="split"``, whose joins read the target three times.
     """
+    if stage_every is None:
+        stage_every = 1 if hot_keys == "split" else 0
     out = target
     for i, (src, keys) in enumerate(sources, start=1):
-        out = upsert(out, src, keys, on_duplicate=on_duplicate)
+        out = upsert(out, src, keys, on_duplicate=on_duplicate, null_keys=null_keys, hot_keys=hot_keys)
         if stage_every and i % stage_every == 0 and i < len(sources):
             out = out.checkpoint(eager=True)
     return out
@@ -200,12 +225,10 @@ def key_pairs(mapping_rows: Sequence[dict]) -> list[tuple[str, str]]:
 
 
 
-def merge_all(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]], *,
-              check_unique: bool = False) -> DataFrame:
+def merge_all(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """The result of :func:`fold` in one aggregation, for inputs with unique keys.
 
-    A chain of upserts re-shuffles the growing target once per source. When
-    every input holds each key at most once, "later non-blank value wins"
+    When every input holds each key at most once, "later non-blank value wins"
     needs no join: the target (order 0) and the sources (order 1, 2, ...) are
     stacked, grouped by key (null keys form one group, as ``<=>`` matches
     them), and every column keeps the valid value with the highest order
@@ -213,33 +236,30 @@ def merge_all(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str
     total, whatever the number of sources. A value is valid when it is not
     null and, for a string column the table already had before that source,
     not ``''`` (the upsert's rule). Column order and types follow
-    :func:`fold`. With ``check_unique`` duplicate keys raise instead of being
-    merged (the join-based :func:`fold` keeps fan-out rows).
+    :func:`fold`. The same aggregation counts each input's rows per key: a key
+    that repeats makes the query fail instead of losing rows.
     """
     if not sources:
         return target
     keys = [k if isinstance(k, str) else k[0] for k in sources[0][1]]
-    renamed = []
+    inputs = [target]
     for src, ks in sources:
         pairs = [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in ks]
         if [t for t, _ in pairs] != keys:
             raise ValueError("merge_all needs the same target keys for every source")
         rn = {s: t for t, s in pairs if s != t}
-        renamed.append(src.select([F.col(f"`{c}`").alias(rn.get(c, c)) for c in src.columns]) if rn else src)
-    inputs = [target] + renamed
-    if check_unique:
-        for df in inputs:
-            _check_unique(df, keys)
+        src = src.select([F.col(f"`{c}`").alias(rn.get(c, c)) for c in src.columns]) if rn else src
+        for earlier in inputs:
+            src = _named_like(src, earlier)
+        inputs.append(src)
 
     out_types: dict = {}
-    order: list[str] = []
     introduced: dict[str, int] = {}
     for i, df in enumerate(inputs):
         for f in df.schema.fields:
-            if f.name not in out_types:
-                out_types[f.name] = f.dataType
-                order.append(f.name)
-                introduced[f.name] = i
+            out_types.setdefault(f.name, f.dataType)
+            introduced.setdefault(f.name, i)
+    order = list(out_types)
     payload = [c for c in order if c not in keys]
 
     stacked = []
@@ -257,10 +277,12 @@ def merge_all(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str
             else:
                 cell = F.lit(None).cast(f"struct<o:int,v:{t.simpleString()}>")
             cols.append(cell.alias(c))
-        stacked.append(df.select(cols))
-    union = stacked[0]
-    for df in stacked[1:]:
-        union = union.unionByName(df)
-    agg = union.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in payload])
+        stacked.append(df.select(*cols, F.lit(i).alias("__input")))
+    union = reduce(lambda a, b: a.unionByName(b), stacked)
+    rows = [F.sum(F.when(F.col("__input") == i, 1).otherwise(0)).alias(f"__n{i}") for i in range(len(inputs))]
+    agg = union.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in payload], *rows)
+    most = F.greatest(*[F.col(f"__n{i}") for i in range(len(inputs))])
+    message = F.lit(f"unique_keys was stated, but a key of {keys} repeats in one input")
+    agg = agg.filter(F.when(most > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     out = agg.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{c}`.v").alias(c) for c in payload])
     return out.select(*[F.col(f"`{c}`") for c in order])

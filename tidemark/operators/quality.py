@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -68,69 +68,63 @@ def _key_cols(rule: Rule) -> list[str]:
     return [rule.column]
 
 
+def check_rules(rules: Sequence[Rule]) -> None:
+    """Refuse an unknown check and a rule id that is given twice."""
+    seen: set[str] = set()
+    for r in rules:
+        if r.check not in ROW_CHECKS + SET_CHECKS:
+            raise ValueError(f"rule {r.rule_id}: unknown check {r.check!r}")
+        if r.rule_id in seen:
+            raise ValueError(f"rule id {r.rule_id} is given twice")
+        seen.add(r.rule_id)
+
+
+def _parent_keys(r: Rule, refs: dict[str, DataFrame]) -> DataFrame:
+    ref_name, ref_col = r.argument
+    return refs[ref_name].select(_c(ref_col).alias("__ref")).distinct()
+
+
 def _set_flags(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]) -> tuple[DataFrame, list]:
-    """Add one boolean column per set-level rule with a single full-width join.
-
-    The flags are computed on the distinct key combinations of all set-level
-    rules together (a grouped count with partial aggregation, so a hot key
-    collapses before the shuffle): ``unique`` from the counts, ``referential``
-    by joining the key frame with the parent's distinct keys. The rows meet
-    that key frame once, through never-null key columns; the key frame
-    reaches the join through its own exchange, so AQE can split a hot key on
-    the row side. However many set-level rules there are, the rows are
-    shuffled at most once (not at all when the failing keys are few enough
-    to broadcast).
+    """Add one boolean column per set-level rule.
+
+    Each rule has its own narrow frame of *failing* keys: the keys counted more
+    than once (``unique``), or the values the parent lacks (``referential``).
+    Both are grouped first, so a hot key or value collapses map-side. Rows of
+    rules on the same columns meet their frames in one join; the frame reaches
+    it through its own exchange, so AQE can split a hot key on the row side, or
+    broadcast the frame when few keys fail.
     """
-    if not rules:
-        return df, []
     types = {f.name: f.dataType for f in df.schema.fields}
-    keys_u: list[str] = []
-    for r in rules:
-        for k in (_key_cols(r) if r.check == "unique" else [r.column]):
-            if k not in keys_u:
-                keys_u.append(k)
-    kf = df.groupBy(*[_c(k) for k in keys_u]).agg(F.count(F.lit(1)).alias("__n"))
-    flags = []
-    for r in rules:
-        flag = f"__fail_{r.rule_id}"
-        if r.check == "unique":
-            ks = _key_cols(r)
-            if set(ks) == set(keys_u):
+    original, out, flags = df.columns, df, []
+    by_keys: dict[tuple[str, ...], list[tuple[Rule, str]]] = {}
+    for i, r in enumerate(rules):
+        ks = tuple(sorted(_key_cols(r))) if r.check == "unique" else (r.column,)
+        by_keys.setdefault(ks, []).append((r, f"__fail{i}"))
+    for n, (ks, group) in enumerate(by_keys.items()):
+        kf = df.groupBy(*[_c(k) for k in ks]).agg(F.count(F.lit(1)).alias("__n"))
+        for r, flag in group:
+            if r.check == "unique":
                 kf = kf.withColumn(flag, F.col("__n") > 1)
-            else:  # coarser key: sum the counts of the finer combinations
-                sub = kf.groupBy(*[_c(k) for k in ks]).agg(F.sum("__n").alias("__m"))
-                sub_k, sub_names = with_join_keys(sub.select([_c(k).alias(f"__s_{k}") for k in ks] + ["__m"]),
-                                                  [f"__s_{k}" for k in ks], [types[k] for k in ks], "__sq")
-                kf_k, kf_names = with_join_keys(kf, ks, [types[k] for k in ks], "__kq")
-                kf = (kf_k.join(sub_k, equal(kf_names, sub_names), "left")
-                      .withColumn(flag, F.col("__m") > 1)
-                      .drop(*kf_names, *sub_names, "__m", *[f"__s_{k}" for k in ks]))
-        elif r.check == "referential":
-            ref_name, ref_col = r.argument
-            parent = refs[ref_name].select(_c(ref_col).alias("__ref")).distinct()
-            kf = (kf.join(parent, _c(r.column) == F.col("__ref"), "left")
-                  .withColumn(flag, _c(r.column).isNotNull() & F.col("__ref").isNull()).drop("__ref"))
-        else:
-            continue
-        flags.append((r, flag))
-    ktypes = [types[k] for k in keys_u]
-    key_alias = [f"__kf{i}" for i in range(len(keys_u))]
-    # only failing key combinations need to meet the rows (the join is a left
-    # join defaulting to "passes"); in real data that set is usually small
-    # enough for AQE to broadcast it
-    failing = reduce(lambda x, y: x | y, [F.col(f) for _, f in flags])
-    probe = kf.filter(failing).select([_c(k).alias(a) for k, a in zip(keys_u, key_alias)]
-                                      + [F.col(f) for _, f in flags])
-    probe_k, probe_names = with_join_keys(probe, key_alias, ktypes, "__pq")
-    rows_k, row_names = with_join_keys(df, keys_u, ktypes, "__rq")
-    out = (rows_k.join(probe_k, equal(row_names, probe_names), "left")
-           .select(*[_c(c) for c in df.columns],
-                   *[F.coalesce(F.col(f), F.lit(False)).alias(f) for _, f in flags]))
+            else:
+                kf = (kf.join(_parent_keys(r, refs), _c(r.column) == F.col("__ref"), "left")
+                      .withColumn(flag, _c(r.column).isNotNull() & F.col("__ref").isNull()).drop("__ref"))
+        bad = reduce(lambda x, y: x | y, [F.col(f) for _, f in group])
+        alias = [f"__kf{n}_{i}" for i in range(len(ks))]
+        ktypes = [types[k] for k in ks]
+        probe = kf.filter(bad).select([_c(k).alias(a) for k, a in zip(ks, alias)] + [F.col(f) for _, f in group])
+        probe_k, probe_names = with_join_keys(probe, alias, ktypes, f"__pq{n}_")
+        # an exchange of its own on the join columns keeps the join splittable (see .keys)
+        rows_k, row_names = with_join_keys(out, ks, ktypes, f"__rq{n}_")
+        out = (rows_k.join(probe_k, equal(row_names, probe_names), "left")
+               .select(*[_c(c) for c in original], *[F.col(f) for _, f in flags],
+                       *[F.coalesce(F.col(f), F.lit(False)).alias(f) for _, f in group]))
+        flags += group
     return out, [(r, F.col(f)) for r, f in flags]
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame] | None = None) -> DataFrame:
     """``df`` plus ``failed_rules``: ids of broken rules in rule order, '' if none (Q4)."""
+    check_rules(rules)
     refs = refs or {}
     original = df.columns
     row_rules = [(r, failing(r)) for r in rules if r.check in ROW_CHECKS]
@@ -160,7 +154,11 @@ SUMMARY_SCHEMA = StructType([
 
 
 def dq_summary(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Failed-row count per rule (Q4). Row rules: one scan, one aggregation."""
+    """Failed-row count per rule (Q4). Row rules: one scan, one aggregation. An empty
+    table gives zeros; no rules give no rows."""
+    check_rules(rules)
+    if not rules:
+        return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
     refs = refs or {}
     parts = []
     row_rules = [r for r in rules if r.check in ROW_CHECKS]
@@ -179,8 +177,7 @@ def dq_summary(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]
             part = g.agg(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).cast(LongType()).alias("n_failed"),
                          F.sum("n").cast(LongType()).alias("n_rows"))
         elif r.check == "referential":
-            ref_name, ref_col = r.argument
-            parent = refs[ref_name].select(_c(ref_col).alias("__ref")).distinct()
+            parent = _parent_keys(r, refs)
             # count per value first: a hot value is one row before it meets the parent keys
             per_value = df.groupBy(_c(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
             j = per_value.join(parent, F.col("__v") == F.col("__ref"), "left")
@@ -193,7 +190,8 @@ def dq_summary(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]
         parts.append(part.select(F.lit(r.rule_id).alias("rule_id"), F.lit(r.check).alias("rule_check"),
                                  F.lit(r.column).alias("column_name"), "n_failed", "n_rows"))
     out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA.fields])
+    return out.select([(F.coalesce(F.col(f.name), F.lit(0)) if f.name.startswith("n_") else F.col(f.name))
+                       .cast(f.dataType).alias(f.name) for f in SUMMARY_SCHEMA.fields])
 
 
 def dq_rejects(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -280,17 +278,24 @@ def frame_schema_rows(spark: SparkSession, frames: dict[str, DataFrame]) -> Data
     return spark.createDataFrame(rows, "table_name string, column_name string, type string")
 
 
-def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped")) -> DataFrame:
+def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped"),
+               max_named: int = 1000) -> DataFrame:
     """Per source: PASS, or BLOCK silver with the drifting fields (Q2).
 
-    Bronze always lands; the gate only decides whether silver is loaded.
+    Bronze always lands; the gate only decides whether silver is loaded. The
+    list names the first ``max_named`` drifting fields of a source by name (keys
+    that come from the data can be any number); ``n_drift_fields`` counts all.
     """
     bad = F.col("kind").isin(list(block_kinds))
-    return drift.groupBy("source_name").agg(
+    near = Window.partitionBy("source_name").orderBy("kind", "field")
+    fields = drift.filter(bad).select("source_name", "kind", "field").distinct()
+    named = fields.withColumn("r", F.row_number().over(near)).filter(F.col("r") <= max_named).groupBy("source_name").agg(
+        F.concat_ws(",", F.array_sort(F.collect_list(F.concat("kind", F.lit(":"), "field")))).alias("drift"))
+    counted = drift.groupBy("source_name").agg(
         F.sum(F.when(bad, 1).otherwise(0)).cast(LongType()).alias("n_drift_fields"),
-        F.concat_ws(",", F.array_sort(F.collect_set(F.when(bad, F.concat("kind", F.lit(":"), "field")))))
-         .alias("drift"),
-    ).withColumn("status", F.when(F.col("n_drift_fields") > 0, "BLOCK").otherwise("PASS"))
+    )
+    joined = counted.join(named, "source_name", "left").withColumn("drift", F.coalesce("drift", F.lit("")))
+    return joined.withColumn("status", F.when(F.col("n_drift_fields") > 0, "BLOCK").otherwise("PASS"))
 
 
 def apply_gate(df: DataFrame, gate: DataFrame, source_col: str = "source_name") -> tuple[DataFrame, DataFrame]:
@@ -307,15 +312,11 @@ class DriftError(RuntimeError):
     """Raised by :func:`enforce_gate` in strict mode."""
 
 
-def enforce_gate(gate: DataFrame, strict: bool = False, max_sources: int = 100_000) -> list[str]:
-    """Blocked sources (a small list); raise in strict mode."""
-    # one row per source at most; the bound keeps the collect provably small
-    rows = gate.filter(F.col("status") == "BLOCK").select("source_name").limit(max_sources + 1).collect()
-    if len(rows) > max_sources:
-        raise DriftError(f"more than {max_sources} blocked sources")
-    blocked = [r["source_name"] for r in rows]
-    if blocked and strict:
-        raise DriftError(f"schema drift blocks silver for {blocked}")
+def enforce_gate(gate: DataFrame, strict: bool = False) -> DataFrame:
+    """The blocked sources, one row each. ``strict`` raises if there is any (one job)."""
+    blocked = gate.filter(F.col("status") == "BLOCK").select("source_name")
+    if strict and (first := blocked.orderBy("source_name").first()) is not None:
+        raise DriftError(f"schema drift blocks silver for {first['source_name']!r} (and perhaps others)")
     return blocked
 
 

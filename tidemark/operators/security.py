@@ -2,33 +2,40 @@
 
 Open-source Spark has no ``SET ROW FILTER`` / ``SET MASK`` and no
 ``is_member()``; policies are therefore data (policy and membership tables)
-and a secured *view* is built from them. The allowed values of a viewer are
-a config-sized list: after a size check they become an IN filter that reaches
-the scan, so the protected table is never joined or shuffled by its
-(typically few, hence hot) policy column. Deny is the default: a viewer
-matched by no policy sees no rows and masked values.
+and a secured *view* is built from them. Policies are part of the view's plan,
+as a semi join and a scalar subquery, and so is the viewer
+(``current_user()`` unless one is named): they are evaluated when the view is
+read, so a policy that is revoked later takes effect. Deny is the default: a
+viewer matched by no policy sees no rows and masked values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import semi_by_values
 
 
-def viewer_name(spark: SparkSession, user: str | None = None) -> str:
-    """The given viewer, else the session user (``current_user()``)."""
-    if user is not None:
-        return user
-    return spark.sql("SELECT current_user() AS u").first()["u"]
+def viewer(user: str | None = None) -> Column:
+    """The named viewer, else the session user at the time the plan runs."""
+    return F.current_user() if user is None else F.lit(user)
 
 
-def groups_of(membership: DataFrame, user: str) -> DataFrame:
+def groups_of(membership: DataFrame, user: str | None = None) -> DataFrame:
     """Groups of one user: the open-source stand-in for ``is_member``."""
-    return membership.filter(F.col("user") == F.lit(user)).select("group")
+    return membership.filter(F.col("user") == viewer(user)).select("group")
+
+
+def _allowed_by_group(policy: DataFrame, membership: DataFrame, user: str | None) -> DataFrame:
+    return policy.join(groups_of(membership, user), "group", "left_semi").select("value")
+
+
+def _allowed_by_user(policy: DataFrame, user: str | None) -> DataFrame:
+    return policy.filter(F.col("user") == viewer(user)).select("value")
 
 
 def rls_group(df: DataFrame, column: str, policy: DataFrame, membership: DataFrame,
@@ -37,43 +44,35 @@ def rls_group(df: DataFrame, column: str, policy: DataFrame, membership: DataFra
 
     ``policy``: ``group, value``; ``membership``: ``user, group``.
     """
-    u = viewer_name(df.sparkSession, user)
-    allowed = policy.join(groups_of(membership, u), "group", "left_semi").select("value")
-    return semi_by_values(df, column, allowed, "value")
+    return semi_by_values(df, column, _allowed_by_group(policy, membership, user), "value")
 
 
 def rls_user(df: DataFrame, column: str, policy: DataFrame, user: str | None = None) -> DataFrame:
     """Rows whose ``column`` value the viewer may see (R2); ``policy``: ``user, value``."""
-    u = viewer_name(df.sparkSession, user)
-    allowed = policy.filter(F.col("user") == F.lit(u)).select("value")
-    return semi_by_values(df, column, allowed, "value")
+    return semi_by_values(df, column, _allowed_by_user(policy, user), "value")
 
 
-def _masked(df: DataFrame, columns: Sequence[str], visible: bool) -> DataFrame:
+def _masked(df: DataFrame, columns: Sequence[str], visible: Column) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    # a literal condition: Catalyst folds it to the column or a typed null
-    return df.withColumns({c: F.when(F.lit(visible), F.col(f"`{c}`")).otherwise(F.lit(None).cast(types[c]))
-                           for c in columns})
+    return df.withColumns({c: F.when(visible, F.col(f"`{c}`")).otherwise(F.lit(None).cast(types[c])) for c in columns})
 
 
-def is_member(membership: DataFrame, user: str, groups: Iterable[str]) -> bool:
-    """Whether ``user`` belongs to any of ``groups`` (a bounded lookup)."""
-    m = membership.filter((F.col("user") == F.lit(user)) & F.col("group").isin(list(groups)))
-    return m.limit(1).count() > 0
+def is_member(membership: DataFrame, groups: Iterable[str], user: str | None = None) -> Column:
+    """Whether the viewer belongs to any of ``groups``: a scalar subquery of the plan."""
+    m = membership.filter((F.col("user") == viewer(user)) & F.col("group").isin(list(groups)))
+    return m.agg((F.count(F.lit(1)) > 0).alias("member")).scalar()
 
 
 def mask_group(df: DataFrame, columns: Sequence[str], allowed_groups: Iterable[str], membership: DataFrame,
                user: str | None = None) -> DataFrame:
     """Null the columns unless the viewer is in an allowed group."""
-    u = viewer_name(df.sparkSession, user)
-    return _masked(df, columns, is_member(membership, u, allowed_groups))
+    return _masked(df, columns, is_member(membership, allowed_groups, user))
 
 
 def mask_user(df: DataFrame, columns: Sequence[str], allowed_users: Iterable[str],
               user: str | None = None) -> DataFrame:
     """Null the columns unless the viewer is an allowed user."""
-    u = viewer_name(df.sparkSession, user)
-    return _masked(df, columns, u in set(allowed_users))
+    return _masked(df, columns, viewer(user).isin(list(allowed_users)))
 
 
 def secured_view(df: DataFrame, name: str, *, row_column: str | None = None, group_policy: DataFrame | None = None,
@@ -82,24 +81,21 @@ def secured_view(df: DataFrame, name: str, *, row_column: str | None = None, gro
     """Bind row and column policies to a table as a temporary view.
 
     Rows are visible when a group policy *or* a user policy allows them (no
-    policy given: all rows); ``masks`` maps column -> allowed groups.
+    policy given: all rows); ``masks`` maps column -> allowed groups. A group
+    policy or mask without a membership table allows nobody.
     """
     spark = df.sparkSession
-    u = viewer_name(spark, user)
     out = df
     if row_column is not None and (group_policy is not None or user_policy is not None):
         parts = []
         if group_policy is not None and membership is not None:
-            parts.append(group_policy.join(groups_of(membership, u), "group", "left_semi").select("value"))
+            parts.append(_allowed_by_group(group_policy, membership, user))
         if user_policy is not None:
-            parts.append(user_policy.filter(F.col("user") == F.lit(u)).select("value"))
-        allowed = parts[0]
-        for p in parts[1:]:
-            allowed = allowed.unionByName(p)
-        out = semi_by_values(out, row_column, allowed, "value")
+            parts.append(_allowed_by_user(user_policy, user))
+        out = (semi_by_values(out, row_column, reduce(lambda a, b: a.unionByName(b), parts), "value") if parts
+               else out.filter(F.lit(False)))
     for col_name, groups in (masks or {}).items():
-        ok = membership is not None and is_member(membership, u, groups)
-        out = _masked(out, [col_name], ok)
+        out = _masked(out, [col_name], F.lit(False) if membership is None else is_member(membership, groups, user))
     out.createOrReplaceTempView(name)
     return spark.table(name)
 
@@ -113,21 +109,17 @@ def register_row_filter_function(spark: SparkSession, name: str, policy_rows: Se
     """SQL function ``name(value, viewer) -> boolean`` from (user, value) policy rows.
 
     A SQL-bodied temporary function: the analyzer inlines its CASE, so it
-    runs as an ordinary expression (no Python). Policy lists are config-sized
-    and checked before being written into the function body.
+    runs as an ordinary expression (no Python). The policy is written into the
+    function body: for short lists; :func:`rls_user` takes a policy table.
     """
-    if len(policy_rows) > 10_000:
-        raise ValueError("policy too large to inline; use rls_user with a policy table")
     whens = " ".join(f"WHEN viewer = {_sql_str(u)} AND v = {_sql_str(val)} THEN TRUE" for u, val in policy_rows)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(v {value_type}, viewer STRING) RETURNS BOOLEAN "
-              f"RETURN CASE {whens} ELSE FALSE END")
+              f"RETURN {f'CASE {whens} ELSE FALSE END' if whens else 'FALSE'}")
 
 
 def register_mask_function(spark: SparkSession, name: str, allowed_users: Sequence[str],
                            value_type: str = "DOUBLE") -> None:
     """SQL function ``name(value, viewer)`` returning the value for allowed viewers, else null."""
-    if len(allowed_users) > 10_000:
-        raise ValueError("allow-list too large to inline")
     users = ", ".join(_sql_str(u) for u in allowed_users) or "NULL"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(v {value_type}, viewer STRING) RETURNS {value_type} "
               f"RETURN CASE WHEN viewer IN ({users}) THEN v ELSE NULL END")

@@ -27,7 +27,7 @@ def relational_sources(mappings: dict[str, list[Mapping]]) -> list[str]:
 
 def standardize(spark: SparkSession, target: DataFrame | None, contract: StructType,
                 mappings: dict[str, list[Mapping]], read: Callable[[str], DataFrame], *,
-                clean: bool = True, stage_every: int = 4, unique_keys: bool = False) -> DataFrame:
+                clean: bool = True, stage_every: int | None = None, unique_keys: bool = False) -> DataFrame:
     """Run every source of a spec into the standard table.
 
     ``target``: the existing table or ``None`` (first run: an empty frame of
@@ -35,7 +35,8 @@ def standardize(spark: SparkSession, target: DataFrame | None, contract: StructT
     are cleaned once (NaN -> null, trim) and reused by both flows (D20).
     ``unique_keys=True`` declares that the target and every relational source
     hold each key at most once; the relational sources are then merged in one
-    aggregation (:func:`.merge.merge_all`) instead of one join per source.
+    aggregation (:func:`.merge.merge_all`), which checks that, instead of one
+    join per source.
     """
     if target is None:
         target = spark.createDataFrame([], contract)
@@ -73,13 +74,10 @@ def run_standardization(spark: SparkSession, target_location: str, contract: Str
     """
     from ..sinks.writers import replace_path
     from ..sources.target import read_target
-    from .clean import drop_all_null_columns
 
     target = read_target(spark, target_location, contract, fmt)
     result = standardize(spark, target, contract, mappings, read, unique_keys=unique_keys)
-    if drop_null_columns:
-        result = drop_all_null_columns(result)
-    n = replace_path(result, target_location, fmt)
+    n = replace_path(result, target_location, fmt, drop_null_columns=drop_null_columns)
     first = next(iter(mappings.values()))[0] if mappings else None
     return {"target_table": first.target_table if first else None,
             "schema": first.target_schema if first else None, "rows_loaded": n}

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import semi_by_values
 from .mapping import FILENAME
 
 
@@ -48,6 +47,13 @@ def split_by_source(df: DataFrame, source: str, column: str = FILENAME) -> DataF
     return df.filter(F.col(column) == F.lit(source))
 
 
+def _flagged(df: DataFrame, column: str, other: DataFrame) -> DataFrame:
+    """``df`` with ``__shared``: whether ``other`` has rows of the row's source (null: no)."""
+    names = other.select(F.col(f"`{column}`").alias("__v")).filter("__v is not null").distinct()
+    return df.join(names, F.col(f"`{column}`") == F.col("__v"), "left").withColumn(
+        "__shared", F.col("__v").isNotNull()).drop("__v")
+
+
 def per_source_upsert(base: DataFrame, new: DataFrame, column: str = FILENAME,
                       keys: Sequence[str] | None = None) -> DataFrame:
     """Per-source refresh of a standard table without a driver loop.
@@ -58,14 +64,13 @@ def per_source_upsert(base: DataFrame, new: DataFrame, column: str = FILENAME,
       ``keys``, old rows whose key is re-delivered are dropped first, which
       turns "union" into "update" (the intent stated by the reference).
 
-    The source-name lists are tiny: they become IN-list filters after a size
-    check, so no join runs and the filter reaches the scan.
+    Each side is scanned once more for its distinct source names, which are
+    aggregated map-side and met by one left join; the flag then routes the rows.
     """
-    # source names are config-sized: IN-list filters, no joins (bounded, see .joins)
-    untouched = semi_by_values(base, column, new, column, anti=True)
-    old_rows = semi_by_values(base, column, new, column)
-    fresh_in_base = semi_by_values(new, column, base, column)
-    appended = semi_by_values(new, column, base, column, anti=True)
+    here = _flagged(base, column, new)
+    there = _flagged(new, column, base)
+    untouched, old_rows = here.filter("not __shared").drop("__shared"), here.filter("__shared").drop("__shared")
+    appended, fresh_in_base = there.filter("not __shared").drop("__shared"), there.filter("__shared").drop("__shared")
     if keys:
         old_rows = old_rows.join(fresh_in_base.select(column, *keys).distinct(), [column, *keys], "left_anti")
     refreshed = old_rows.unionByName(fresh_in_base, allowMissingColumns=True).distinct()

@@ -2,13 +2,16 @@
 
 Dimension: every customer open since 2024-01-01 (city = market segment, null
 for every 11th key, band from the balance); every 4th key also carries an
-older closed version. Source: every customer, every 6th key re-keyed to a new
+older closed version. Source: every customer (every 10th twice, every 13th
+without a key), every 6th key re-keyed to a new
 negative key, city 'MOVED' for every 5th key and null for every 7th, band
 'VIP' for every 9th. Applied as of 2024-06-01.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -37,13 +40,14 @@ def dimension(spark, sf_dir, with_band: bool = False):
 def source(spark, sf_dir, with_band: bool = False):
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    cols = [F.when(k % 6 == 5, -k).otherwise(k).alias("customer_id"),
+    cols = [F.when(k % 13 == 12, F.lit(None)).when(k % 6 == 5, -k).otherwise(k).alias("customer_id"),
             F.when(k % 5 == 0, F.lit("MOVED")).when(k % 7 == 0, F.lit(None).cast("string"))
              .otherwise(F.col("c_mktsegment")).alias("city")]
     if with_band:
         cols.append(F.when(k % 9 == 0, F.lit("VIP"))
                     .when(F.col("c_acctbal") > 5000, F.lit("HIGH")).otherwise(F.lit("LOW")).alias("band"))
-    return c.select(cols)
+    # every 10th row comes twice, every 13th has no key
+    return c.withColumn("twice", F.explode(F.when(k % 10 == 9, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).select(cols)
 
 
 def _sql_inputs(with_band: bool) -> str:
@@ -60,10 +64,11 @@ dim AS (
   SELECT c_custkey, 'OLDCITY'{b_old}, DATE '2023-01-01', DATE '2024-01-01', false
   FROM customer WHERE c_custkey % 4 = 0),
 src AS (
-  SELECT CASE WHEN c_custkey % 6 = 5 THEN -c_custkey ELSE c_custkey END AS customer_id,
+  SELECT CASE WHEN c_custkey % 13 = 12 THEN NULL WHEN c_custkey % 6 = 5 THEN -c_custkey ELSE c_custkey END AS customer_id,
          CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS city
          {b_src}
-  FROM customer),
+  FROM customer, (VALUES (1), (2)) v(copy)
+  WHERE copy = 1 OR (c_custkey % 10 = 9 AND c_custkey % 13 = 12)),
 cur AS (SELECT * FROM dim WHERE is_current)"""
 
 
@@ -134,6 +139,7 @@ def q_scd2_asof(spark, sf_dir):
 
 @register("scd2_merge_once", _full_sql(False))
 def q_scd2_merge_once(spark, sf_dir):
-    """``scd2_full`` as one aggregation (one current row and one source row per key)."""
-    return scd2_apply(dimension(spark, sf_dir), source(spark, sf_dir), ["customer_id"], ["city"], AS_OF,
-                      unique_keys=True)
+    """``scd2_full`` on a dimension with NOT NULL columns."""
+    dim = dimension(spark, sf_dir).withColumns({"start_date": F.coalesce("start_date", F.lit(dt.date(1970, 1, 1))),
+                                                "is_current": F.coalesce("is_current", F.lit(False))})
+    return scd2_apply(dim, source(spark, sf_dir), ["customer_id"], ["city"], AS_OF)

@@ -10,7 +10,7 @@ RULES = {
     "ingest_active": IngestionRule("parquet", "orders", "landing_orders_active",
                                    ("o_orderkey", "o_orderdate", "o_totalprice"), "o_orderstatus = 'F'"),
     "ingest_amount": IngestionRule("parquet", "orders", "landing_orders_amount",
-                                   ("o_orderkey", "o_custkey", "o_totalprice"), "o_totalprice > 1000"),
+                                   ("o_orderkey", "o_custkey", "o_totalprice"), "o_totalprice > 250000"),
 }
 
 
@@ -25,7 +25,7 @@ def q_ingest_active(spark, sf_dir):
     return apply_rule(table(spark, sf_dir, rule.source_table), rule)
 
 
-@register("ingest_amount", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 1000")
+@register("ingest_amount", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 250000")
 def q_ingest_amount(spark, sf_dir):
     rule = RULES["ingest_amount"]
     return apply_rule(table(spark, sf_dir, rule.source_table), rule)

@@ -7,6 +7,8 @@ work grows with the table; only the per-table load config is a fixed list.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
@@ -28,6 +30,8 @@ from ..operators.incremental import (
     watermark_advance,
     watermark_max,
 )
+from ..operators.runs import run_table_loads
+from ..session import shared_dir
 from .registry import register, table
 
 AS_OF = "2024-01-31"
@@ -259,7 +263,9 @@ landing AS (
          CASE WHEN n_records % 7 = 0 THEN replace(file_name, '.json', '.json.tmp') ELSE file_name END AS file_name,
          business_date, arrival_date, n_records
   FROM ({_LISTING_BODY}) l)
-SELECT l.* FROM landing l JOIN cfg c ON l.source_name = c.source_name WHERE l.file_name GLOB c.file_pattern""")
+SELECT l.* FROM landing l WHERE EXISTS (
+  SELECT 1 FROM cfg c WHERE c.source_name = l.source_name AND l.file_name GLOB c.file_pattern)
+  OR (l.source_name = 'click' AND (l.file_name GLOB 'click_2024010*.tmp' OR l.file_name GLOB 'click_2024*'))""")
 def q_feed_file_match(spark, sf_dir):
     """Files in the landing folders, some still partial uploads (``.tmp``), matched
     against each feed's configured pattern."""
@@ -267,4 +273,31 @@ def q_feed_file_match(spark, sf_dir):
     landing = listing.withColumn(
         "file_name", F.when(F.col("n_records") % 7 == 0, F.concat("file_name", F.lit(".tmp")))
         .otherwise(F.col("file_name")))
-    return files_matching(landing, feed_config(spark, sf_dir))
+    config = feed_config(spark, sf_dir).select("source_name", "file_pattern")
+    # a feed may have several patterns, and a file may match more than one
+    more = spark.createDataFrame([("click", "click_2024010*.tmp"), ("click", "click_2024*")], config.schema)
+    return files_matching(landing, config.unionByName(more))
+
+
+@register("table_load_run", f"""
+SELECT event_id, event_type AS table_name FROM events
+WHERE event_type IN ('click', 'purchase') OR (event_type = 'view' AND ts >= CAST(DATE '{AS_OF}' - 10 AS TIMESTAMP))""")
+def q_table_load_run(spark, sf_dir):
+    """Full, incremental and backfill loads, run twice into the same folder; a table whose
+    source can't be read is logged and the others finish."""
+    ev = events(spark, sf_dir)
+    root = shared_dir(spark, "tables")
+    config = [dict(zip(("table_name", "load_type", "watermark_column", "backfill_days"), c)) for c in (
+        ("click", "FULL", "ts", None), ("gone", "INCR", "ts", None), ("purchase", None, "ts", None),
+        ("view", "BACKFILL", "ts", 10))]
+
+    def read(name):
+        if name == "gone":
+            raise FileNotFoundError(name)
+        return ev.filter(F.col("event_type") == name)
+
+    for run_id in ("run-1", "run-2"):
+        run_table_loads(spark, config, read, root, as_of=AS_OF, run_id=run_id)
+    loaded = [spark.read.parquet(f"{root}/{c['table_name']}").select("event_id", F.lit(c["table_name"]).alias("table_name"))
+              for c in config if c["table_name"] != "gone"]
+    return reduce(lambda a, b: a.unionByName(b), loaded)

@@ -211,32 +211,32 @@ def q_failure_alerts(spark, sf_dir):
     return failure_alerts(run_log(spark, sf_dir))
 
 
-# Fixed spec for the purchase feed (a JSON source whose columns are only known
-# from its records) and the contract it loads into.
-PURCHASE_SPEC = {"purchase": {"type": "sale", "schema": "sdm", "tablename": "sale_std", "relational": "False",
-                                   "mapping": [
+# Fixed spec of every JSON feed (their columns are only known from the records) and the
+# contract they load into. The coupon column is in no record, its target in no contract.
+FEEDS = ("click", "error", "purchase", "signup", "view")
+FEED_SPEC = {feed: {"type": "sale", "schema": "sdm", "tablename": "sale_std", "relational": "False", "mapping": [
     {"source_column": "event_id", "target_column": "sale.SaleId", "source_key": "event_id", "target_key": "SaleId"},
     {"source_column": "ts", "target_column": "sale.SoldAt", "source_key": "event_id", "target_key": "SaleId"},
     {"source_column": "value", "target_column": "sale.Amount", "source_key": "event_id", "target_key": "SaleId"},
     {"source_column": "coupon", "target_column": "sale.Coupon", "source_key": "event_id", "target_key": "SaleId"},
-]}}
+]} for feed in FEEDS}
 SALE_CONTRACT = StructType([StructField("SaleId", LongType()), StructField("SoldAt", TimestampNTZType()),
                             StructField("Amount", DoubleType())])
 
 
 @register("mapping_audit", f"""WITH {_RAW_FEED_SQL},
-seen AS (SELECT DISTINCT source_name, unnest(json_keys(record)) AS field FROM raw WHERE source_name = 'purchase'),
-spec AS (SELECT * FROM (VALUES ('event_id', 'SaleId'), ('ts', 'SoldAt'), ('value', 'Amount'), ('coupon', 'Coupon'))
+seen AS (SELECT DISTINCT source_name, unnest(json_keys(record)) AS field FROM raw),
+spec AS (SELECT f.source, m.* FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) f(source),
+         (VALUES ('event_id', 'SaleId'), ('ts', 'SoldAt'), ('value', 'Amount'), ('coupon', 'Coupon'))
          m(source_column, target_column))
-SELECT 'purchase' AS source, 'missing_source' AS kind, source_column AS "column" FROM spec
-WHERE source_column NOT IN (SELECT field FROM seen)
+SELECT source, 'missing_source' AS kind, source_column AS "column" FROM spec
+WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.source_name = spec.source AND seen.field = spec.source_column)
 UNION
-SELECT 'purchase', 'missing_target', target_column FROM spec
+SELECT source, 'missing_target', target_column FROM spec
 WHERE lower(target_column) NOT IN ('saleid', 'soldat', 'amount')""")
 def q_mapping_audit(spark, sf_dir):
-    """Spec source columns never seen in any purchase record, and spec targets
-    the contract lacks (A3)."""
-    seen = (observed_fields(raw_feed(spark, sf_dir).filter(F.col("source_name") == "purchase"), "record",
-                            "source_name")
+    """Spec source columns never seen in any record of their feed, and spec targets the
+    contract lacks (A3)."""
+    seen = (observed_fields(raw_feed(spark, sf_dir), "record", "source_name")
             .select(F.col("source_name").alias("source_table"), F.col("field").alias("column")).distinct())
-    return mapping_audit(spark, spec_from_dict(spark, PURCHASE_SPEC), seen, SALE_CONTRACT)
+    return mapping_audit(spark, spec_from_dict(spark, FEED_SPEC), seen, SALE_CONTRACT)

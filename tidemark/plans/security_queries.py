@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators.security import (
@@ -38,25 +40,41 @@ _EMP = "SELECT c_custkey AS emp_id, c_name AS name, c_mktsegment AS dept, c_acct
 
 @register("rls_group", f"SELECT * FROM ({_EMP}) e WHERE dept IN ('HOUSEHOLD', 'MACHINERY')")
 def q_rls_group(spark, sf_dir):
-    return rls_group(employees(spark, sf_dir), "dept", policy_frame(spark, GROUP_POLICY),
-                     membership_frame(spark, MEMBERSHIP), user="cy@example.com")
+    """An allowed viewer and one whom no policy names (and who sees nothing)."""
+    policy, members = policy_frame(spark, GROUP_POLICY), membership_frame(spark, MEMBERSHIP)
+    seen = [rls_group(employees(spark, sf_dir), "dept", policy, members, user=u) for u in ("cy@example.com", "eve@example.com")]
+    return seen[0].unionByName(seen[1])
 
 
 @register("rls_user", f"SELECT * FROM ({_EMP}) e WHERE dept = 'AUTOMOBILE'")
 def q_rls_user(spark, sf_dir):
-    return rls_user(employees(spark, sf_dir), "dept", policy_frame(spark, USER_POLICY, "user"),
-                    user="ana@example.com")
+    """An allowed viewer and one whom no policy names (and who sees nothing)."""
+    policy = policy_frame(spark, USER_POLICY, "user")
+    seen = [rls_user(employees(spark, sf_dir), "dept", policy, user=u) for u in ("ana@example.com", "eve@example.com")]
+    return seen[0].unionByName(seen[1])
+
+
+def _by_viewer(frame_of, *users):
+    """The same table as each viewer sees it."""
+    return reduce(lambda a, b: a.unionByName(b), [frame_of(u).withColumn("viewer", F.lit(u)) for u in users])
+
+
+_MASKED = f"""
+SELECT emp_id, name, dept, CAST(NULL AS DOUBLE) AS salary, 'ana@example.com' AS viewer FROM ({_EMP}) e
+UNION ALL SELECT emp_id, name, dept, salary, 'ben@example.com' FROM ({_EMP}) e"""
 
 
-@register("mask_group", f"SELECT emp_id, name, dept, CAST(NULL AS DOUBLE) AS salary FROM ({_EMP}) e")
+@register("mask_group", _MASKED)
 def q_mask_group(spark, sf_dir):
-    return mask_group(employees(spark, sf_dir), ["salary"], SALARY_GROUPS, membership_frame(spark, MEMBERSHIP),
-                      user="ana@example.com")
+    members = membership_frame(spark, MEMBERSHIP)
+    return _by_viewer(lambda u: mask_group(employees(spark, sf_dir), ["salary"], SALARY_GROUPS, members, user=u),
+                      "ana@example.com", "ben@example.com")
 
 
-@register("mask_user", f"SELECT * FROM ({_EMP}) e")
+@register("mask_user", _MASKED)
 def q_mask_user(spark, sf_dir):
-    return mask_user(employees(spark, sf_dir), ["salary"], SALARY_USERS, user="ben@example.com")
+    return _by_viewer(lambda u: mask_user(employees(spark, sf_dir), ["salary"], SALARY_USERS, user=u),
+                      "ana@example.com", "ben@example.com")
 
 
 @register("secured_view", f"""

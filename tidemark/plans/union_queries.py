@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.mapping import map_to_contract
 from ..operators.merge import upsert
-from ..operators.union import choose_result, per_source_upsert, rows_once_only, union_distinct, union_sources
+from ..operators.union import choose_result, per_source_upsert, rows_once_only, split_by_source, union_distinct, union_sources
 from ..sources.spec import collect_mappings, spec_from_dict
 from .mapping_queries import CLIENT_CONTRACT, _m
 from .registry import register, table
@@ -43,10 +43,16 @@ def q_union_distinct(spark, sf_dir):
 
 
 @register("rows_once_only", """
-SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1
+SELECT l_orderkey, l_linenumber FROM (
+  SELECT l_orderkey, l_linenumber FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') b
+GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1
 """)
 def q_rows_once_only(spark, sf_dir):
-    return rows_once_only(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Base minus the rows that a second frame delivers again."""
+    base = table(spark, sf_dir, "lineitem")
+    again = base.filter("l_returnflag = 'R'").select("l_orderkey", "l_linenumber")
+    return rows_once_only(base.select("l_orderkey", "l_linenumber"), again)
 
 
 def _base_and_new(spark, sf_dir):
@@ -87,6 +93,24 @@ def q_per_source_upsert(spark, sf_dir):
     return per_source_upsert(base, new)
 
 
+@register("per_source_update", """
+WITH base AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, lower(c_mktsegment) AS filename
+              FROM customer),
+new AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name || '*' ELSE c_name END AS name,
+               c_acctbal AS balance, lower(c_mktsegment) AS filename
+        FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
+        UNION ALL
+        SELECT s_suppkey, s_name, s_acctbal, 'supplier' FROM supplier)
+SELECT * FROM base b WHERE filename = 'automobile'
+  AND NOT EXISTS (SELECT 1 FROM new n WHERE n.filename = b.filename AND n.id = b.id)
+UNION SELECT * FROM new WHERE filename = 'automobile'
+""")
+def q_per_source_update(spark, sf_dir):
+    """Refresh by key (re-delivered keys replace their old rows); one source of the result."""
+    base, new = _base_and_new(spark, sf_dir)
+    return split_by_source(per_source_upsert(base, new, keys=["id"]), "automobile")
+
+
 VENDOR_SPEC = {"supplier.csv": {
     "type": "vendor", "schema": "sdm", "tablename": "client_std", "relational": False,
     "mapping": [

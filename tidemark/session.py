@@ -54,8 +54,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a private folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session
+    (one JVM, as in tests) may leave it unset and gets a private folder; on a
+    cluster each executor would write its own disk, so that is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -79,6 +82,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_shared(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder of :func:`shared_dir`; anything outside that folder is refused."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(base + "/") or ".." in path:
+        raise ValueError(f"{path} is not below {base}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme for Python-side listing in tests."""
     if uri.startswith("file:"):

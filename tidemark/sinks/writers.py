@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
-from ..session import shared_dir
+from ..session import drop_shared, shared_dir
 
 # Text formats (JSON/CSV) write timestamps with millisecond precision by
 # default; these options keep the microseconds Spark and parquet hold.
@@ -82,28 +82,39 @@ def load_report(spark: SparkSession, rows: Sequence[tuple[str, str, int]]) -> Da
 
 
 def replace_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                 expected_rows: int | None = None) -> int:
+                 expected_rows: int | None = None, drop_null_columns: bool = False) -> int:
     """Safely replace the data at ``path`` with ``df``, even when ``df`` reads ``path`` (K2).
 
     The result is written to a staged folder in the shared checkpoint folder
-    (counted on the way), checked, then copied over the target from the staged
-    copy, so the target is never read and truncated by the same job. If the
-    copy fails, the staged folder still holds the complete result and the copy
-    can be repeated from it.
+    (counted on the way), read back and counted again, then copied over the
+    target from the staged copy, so the target is never read and truncated by
+    the same job. The staged copy is deleted after the replacement; if the copy
+    fails, it stays and holds the complete result. A reader of a plain folder
+    may meet it half-written while it is copied: where that matters, readers
+    should go through a table or a pointer that is switched afterwards.
+    ``drop_null_columns`` leaves out columns without any value (P11), counted in
+    the staging pass; an empty result keeps all columns.
     """
     spark = df.sparkSession
     staged = shared_dir(spark, "staged")
-    m = write_observed(df, staged, fmt, "overwrite", partition_by)
+    filled = {f"c{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(df.columns)} if drop_null_columns else {}
+    m = write_observed(df, staged, fmt, "overwrite", partition_by, filled)
     n = int(m["rows_loaded"])
     if expected_rows is not None and n != expected_rows:
         raise RuntimeError(f"staged {n} rows, expected {expected_rows}; target left untouched")
-    back = spark.read.format(fmt).load(staged)
+    back = spark.read.format(fmt).schema(df.schema).load(staged)
+    found = back.count()
+    if found != n:
+        raise RuntimeError(f"staged {n} rows but {found} read back; target left untouched")
+    if drop_null_columns and n > 0:  # counted while the staged copy was written
+        back = back.select([F.col(f"`{c}`") for i, c in enumerate(df.columns) if m[f"c{i}"] > 0])
     # a replacement replaces everything, also partitions the new data no longer
     # has (the session default is dynamic overwrite, used by silver loads)
     w = back.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+    drop_shared(spark, staged)
     return n
 
 
@@ -133,8 +144,21 @@ def land_bronze(df: DataFrame, root: str, fmt: str = "parquet") -> dict:
 def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                  mode: str = "overwrite") -> dict:
     """Silver write with dynamic partition overwrite (K5): only the partitions
-    present in ``df`` are replaced when ``partition_by`` is given."""
-    return write_observed(df, path, "parquet", mode, partition_by)
+    present in ``df`` are replaced when ``partition_by`` is given (set on the
+    writer, so it holds in any session)."""
+    return write_observed(df, path, "parquet", mode, partition_by,
+                          partitionOverwriteMode="dynamic" if partition_by else "static")
+
+
+def replace_load(df: DataFrame, path: str, load_id: str, partition_by: Sequence[str] = ()) -> dict:
+    """Land rows under their load id so that a retried load replaces itself (K4).
+
+    The folder is partitioned by ``_load_id`` first; dynamic overwrite of that
+    one partition removes what an earlier attempt of the same load has left.
+    """
+    rows = df.withColumn("_load_id", F.lit(load_id))
+    return write_observed(rows, path, "parquet", "overwrite", ["_load_id", *partition_by],
+                          partitionOverwriteMode="dynamic")
 
 
 def append_log(log_rows: DataFrame, path: str) -> dict:

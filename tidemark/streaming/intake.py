@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.merge import upsert
-from ..session import shared_dir
+from ..session import drop_shared, shared_dir
 from ..sources.files import format_name
 
 
@@ -38,7 +38,7 @@ def feed_stream(spark: SparkSession, kind: str, path: str, schema: StructType,
 
 def file_intake(spark: SparkSession, kind: str, source: str, schema: StructType, sink: str, checkpoint: str,
                 partition_by: Sequence[str] | None = None, max_files_per_trigger: int | None = None,
-                timeout_s: float | None = 600, **options) -> StreamingQuery:
+                timeout_s: float | None = None, **options) -> StreamingQuery:
     """Land every new file of a feed into a parquet sink exactly once (I8).
 
     The parquet sink's commit log plus the source offsets in ``checkpoint``
@@ -71,7 +71,6 @@ class SnapshotUpsert:
     def __init__(self, root: str, keys: Sequence[str]):
         self.root = root.rstrip("/")
         self.keys = list(keys)
-        self.last_batch: int | None = None
 
     def snapshot(self, n: int) -> str:
         return f"{self.root}/snap-{n:08d}"
@@ -84,11 +83,17 @@ class SnapshotUpsert:
         spark = batch.sparkSession
         current = spark.read.parquet(self.snapshot(batch_id))
         upsert(current, batch, self.keys).write.mode("overwrite").parquet(self.snapshot(batch_id + 1))
-        self.last_batch = batch_id
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        n = 0 if self.last_batch is None else self.last_batch + 1
-        return spark.read.parquet(self.snapshot(n))
+        """The newest complete snapshot in storage (its job wrote ``_SUCCESS``), so a
+        handler rebuilt after a restart sees what earlier runs have merged."""
+        jvm = spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/snap-*/_SUCCESS")
+        store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        done = sorted(s.getPath().getParent().toString() for s in store.globStatus(pattern))
+        if not done:
+            raise FileNotFoundError(f"no complete snapshot below {self.root}")
+        return spark.read.parquet(done[-1])
 
 
 class BucketedUpsert:
@@ -106,20 +111,28 @@ class BucketedUpsert:
 
     BUCKET = "__bucket"
 
-    def __init__(self, path: str, keys: Sequence[str], buckets: int = 256):
+    def __init__(self, path: str, keys: Sequence[str], buckets: int = 256, files_per_bucket: int = 1):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = int(buckets)
+        self.files_per_bucket = int(files_per_bucket)
         self.key_types: dict = {}
 
     def _bucket(self, df: DataFrame) -> DataFrame:
         ks = [F.col(f"`{k}`").cast(self.key_types[k]) for k in self.keys]
         return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(*ks), F.lit(self.buckets)).cast("int"))
 
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows of one bucket in ``files_per_bucket`` tasks, so a write makes that many
+        files a bucket, not one per task and bucket."""
+        ks = [F.col(f"`{k}`").cast(self.key_types[k]) for k in self.keys]
+        salt = F.pmod(F.hash(*ks), F.lit(self.files_per_bucket))
+        return df.repartition(self.buckets * self.files_per_bucket, F.col(self.BUCKET), salt)
+
     def init(self, target: DataFrame) -> None:
         """Write the starting table, one folder per bucket."""
         self.key_types = {f.name: f.dataType for f in target.schema.fields if f.name in self.keys}
-        (self._bucket(target).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (self._dealt(self._bucket(target)).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(self.BUCKET).parquet(self.path))
 
     def _read(self, spark: SparkSession) -> DataFrame:
@@ -139,15 +152,16 @@ class BucketedUpsert:
         merged = upsert(current, incoming, self.keys)
         staged = shared_dir(spark, f"bucket-stage-{batch_id}")
         merged.write.mode("overwrite").parquet(staged)
-        (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._dealt(spark.read.parquet(staged)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
+        drop_shared(spark, staged)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         return self._read(spark).drop(self.BUCKET)
 
 
 def stream_upsert(spark: SparkSession, kind: str, source: str, schema: StructType, handler,
-                  checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = 600,
+                  checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = None,
                   **options) -> StreamingQuery:
     """Run the feed through a ``foreachBatch`` upsert handler until caught up."""
     stream = feed_stream(spark, kind, source, schema, max_files_per_trigger, **options)
