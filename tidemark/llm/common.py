@@ -33,3 +33,15 @@ def in_training(column, modulus: int, held: int = 2):
     """True for rows whose crc32 of the id as text, modulo ``modulus``, isn't ``held``;
     a null id counts as the text ''."""
     return F.expr(f"crc32(cast(coalesce(cast({column} as string), '') as binary)) % {modulus}") != held
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

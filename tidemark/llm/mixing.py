@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import free_names
+
 
 def whole_units(weights: dict, period: int) -> dict:
     """Weights as whole units of one period, by largest remainder; each positive weight
@@ -129,8 +131,7 @@ def mixed_documents(docs: DataFrame, weights: dict, **options) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plan = mix(docs, weights, **options).groupBy("doc_id", "source").agg(
         F.min(F.struct("slot", "place")).alias("at"))  # repeated rows share the first place
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("at").alias("__at"))
-    joined = docs.join(plan, docs[doc_id].eqNullSafe(plan["__id"])
-                       & docs[source].cast("string").eqNullSafe(plan["__source"]))
-    ordered = joined.repartitionByRange(n, "__at", "__id").sortWithinPartitions("__at", "__id")
-    return ordered.drop("__id", "__source", "__at")
+    id_, source_, at = free_names(docs, "mix_id", "mix_source", "mix_at")
+    plan = plan.select(F.col("doc_id").alias(id_), F.col("source").alias(source_), F.col("at").alias(at))
+    joined = docs.join(plan, docs[doc_id].eqNullSafe(plan[id_]) & docs[source].cast("string").eqNullSafe(plan[source_]))
+    return joined.repartitionByRange(n, at, id_).sortWithinPartitions(at, id_).drop(id_, source_, at)

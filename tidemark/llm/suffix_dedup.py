@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import free_names, staged
 from .hashing import BASES, BYTE_VALUES, flat_texts, inverse_powers, mix, powers
 from .ranges import repeats
 
@@ -214,11 +214,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
 
 
 def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
-    """The documents, all columns, and ``__spans`` (null: nothing repeated)."""
+    """The documents, all columns, and the spans as last column (null: nothing repeated)."""
+    id_, mark, spans_ = free_names(docs, "span_id", "span_mark", "span_list")
     spans = staged(repeated_spans(docs, length, doc_id, text), "spans").select(
-        F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    on = (F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)) == F.col("__id")) & (F.hash(docs[text]).cast("long") == F.col("__mark"))
-    return docs.join(small_side(spans), on, "left").drop("__id", "__mark")
+        F.col("id").alias(id_), F.col("mark").alias(mark), F.col("spans").alias(spans_))
+    on = (F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)) == F.col(id_)) & (F.hash(docs[text]).cast("long") == F.col(mark))
+    return docs.join(small_side(spans), on, "left").drop(id_, mark)
 
 
 def _kept(text: memoryview, spans: list[dict] | None) -> bytes:
