@@ -28,6 +28,8 @@ HEADLINE = [
     "gold_profitability",
     "per_source_upsert",
     "dq_rejects",
+    "multi_source_fold",
+    "standardize_run",
 ]
 
 

@@ -208,3 +208,17 @@ def test_no_jobs_while_plain_queries_are_built(spark):
         stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
         assert len(stages) == len(jobs) and len(jobs) <= 8, (name, jobs)  # single-stage schema reads
     spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_profitability_splits_a_hot_item(spark):
+    from pyspark.sql import functions as F
+    from test_skew import hot_lines, n_skew_joins, skew_session
+
+    from tidemark.operators.gold import profitability
+
+    with skew_session(spark):
+        revenue = hot_lines(spark).select(F.col("l_partkey").alias("contract"), "k", F.lit(1.0).alias("r"))
+        cost = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", F.lit(0.5).alias("c"))
+        out = profitability(revenue, "contract", "k", "r", cost, "o_orderkey", "c")
+        assert n_skew_joins(out) >= 1
+        assert out.agg(F.sum("revenue")).first()[0] == revenue.count()

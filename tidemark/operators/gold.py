@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
+from .keys import equal, with_join_keys
+
 
 def _ratio(num: Column, den: Column) -> Column:
     return num / F.when(den != 0, den)
@@ -56,7 +58,12 @@ def profitability(revenue_rows: DataFrame, key: str, item_key: str, revenue: Col
     c = F.col(cost) if isinstance(cost, str) else cost
     r = F.col(revenue) if isinstance(revenue, str) else revenue
     per_item = cost_rows.groupBy(F.col(cost_key).alias("__ck")).agg(F.sum(to_units(c, scale)).alias("__cost"))
-    j = revenue_rows.join(per_item, F.col(item_key) == F.col("__ck"), "left")
+    # never-null join columns derived after the aggregation give its side an exchange of
+    # its own, so AQE can split a hot item on the revenue side (see .keys)
+    kinds = [revenue_rows.schema[item_key].dataType]
+    rows, left = with_join_keys(revenue_rows, [item_key], kinds, "__rk")
+    costs, right = with_join_keys(per_item.where("__ck is not null"), ["__ck"], kinds, "__pk")
+    j = rows.join(costs, equal(left, right), "left")
     g = j.groupBy(key).agg(F.sum(to_units(r, scale)).alias("__rev"),
                            F.coalesce(F.sum("__cost"), F.lit(0).cast(LongType())).alias("__cst"))
     rev = from_units(F.col("__rev"), scale)
