@@ -94,6 +94,10 @@ def test_near_duplicates_of_messy_rows(spark, messy):
 def test_near_duplicates_of_the_small_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert near_rows(QUERIES["op3_hyperminhash"](spark, SMALL)) == near_brute(rows, 3, 85)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    want = con.execute(ORACLE["op3_hyperminhash"]).fetchall()
+    assert sorted(((True, d), n, (True, c)) for d, n, c, _ in want) == near_brute(rows, 3, 85)
 
 
 def test_jaccard_estimate_is_close():
@@ -243,6 +247,14 @@ def test_neighbours_recall(spark):
         assert all(abs(s - np.linalg.norm(np.float64(np.float32(x[v])) - np.float64(np.float32(x[q])))) < 1e-12 for v, s in found)
 
 
+def test_neighbours_of_the_small_table_match_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
+    want = con.execute(ORACLE["op5_nn_descent"]).fetchall()
+    got = QUERIES["op5_nn_descent"](spark, SMALL).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_neighbours_of_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [1.0, None]), (6, [inf, 0.0]),

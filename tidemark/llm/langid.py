@@ -122,7 +122,7 @@ def train_profiles(docs: DataFrame, profile: int = 400, text: str = "text", lang
 
 
 class Profiles:
-    """The ranks of all languages in one table: row 0 is code-independent 'not listed'."""
+    """The ranks of all languages in one table by n-gram code; -1 is not listed."""
 
     def __init__(self, rows: list[tuple[str, int, int]], profile: int):
         self.names = sorted({r[0] for r in rows})

@@ -203,6 +203,15 @@ def build_graph(nodes: DataFrame, k: int = 20, reverse: int = 12, rounds: int =
     return graph
 
 
+def distances(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision, the squares added component by component."""
+    total = np.zeros(len(rows))
+    for j in range(rows.shape[1]):
+        apart = rows[:, j] - one[j]
+        total += apart * apart
+    return np.sqrt(total)
+
+
 def _pooled(rows: DataFrame, pool: int) -> DataFrame:
     """New state of each query from rows (q, kind, u, vec, us, ds, done): kind 0 is the state
     so far with the query's vector, kind 1 a candidate with its vector."""
@@ -221,7 +230,7 @@ def _pooled(rows: DataFrame, pool: int) -> DataFrame:
                 x = x[first]
                 fresh = ~np.isin(c, u) & (c != state["q"])
                 c, x = c[fresh], x[fresh]
-                apart = np.sqrt(((x - np.asarray(state["vec"], dtype=np.float32).astype(np.float64)) ** 2).sum(axis=1))
+                apart = distances(x, np.asarray(state["vec"], dtype=np.float32).astype(np.float64))
                 u, d, done = np.concatenate([u, c]), np.concatenate([d, apart]), np.concatenate([done, np.zeros(len(c), bool)])
                 order = np.lexsort((u, d))[:pool]
                 u, d, done = u[order], d[order], done[order]
