@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import free_names, staged
 from .components import components
 from .hashing import chunks, combine, flat_texts, mix, shingles, token_hashes
 from .ranges import repeats
@@ -171,9 +171,27 @@ def _band_rows(classes: DataFrame, bands: int) -> DataFrame:
     return classes.select("id", "regs").mapInArrow(run, "core long, u1 long, u2 long, key long, id long")
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node it reaches) that connect what the edges (a, b) connect."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[:len(a)], at[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        before = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], least)
+        np.minimum.at(label, label[j], least)
+        label = label[label]
+        if (label == before).all():
+            break
+    far = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[far], nodes[label[far]]
+
+
 def _ties(shared: DataFrame, buckets: int, tight: float, loose: float) -> DataFrame:
-    """Loose ties (a, b) of members to leaders in each band bucket; the leaders of keys
-    that may go on in a neighbouring range bucket come as (key, leader), b null."""
+    """Loose ties of members to leaders in each band bucket (kind 0), as a forest for each
+    task: never more rows than members. The leaders of keys that may go on in a neighbouring
+    range bucket come as (key, leader), kind 1."""
     ranged = shared.repartitionByRange(buckets, "key", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +205,7 @@ def _ties(shared: DataFrame, buckets: int, tight: float, loose: float) -> DataFr
         key, ids, regs = key[order], ids[order], regs[order]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.concatenate([starts[1:], [len(key)]])
-        a, b, kind = [], [], []
+        ties, border = ([], []), ([], [])
         for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True):
             outer = lo == 0 or hi == len(key)
             left = np.ones(hi - lo, dtype=bool)
@@ -195,19 +213,16 @@ def _ties(shared: DataFrame, buckets: int, tight: float, loose: float) -> DataFr
                 leader = int(np.argmax(left))
                 near = jaccard_estimate(regs[lo + leader], regs[lo:hi])
                 tied = np.flatnonzero(near >= loose)
-                a.append(ids[lo + tied])
-                b.append(np.full(len(tied), ids[lo + leader]))
-                kind.append(np.zeros(len(tied), dtype=np.int64))
+                ties[0].append(ids[lo + tied])
+                ties[1].append(np.full(len(tied), ids[lo + leader]))
                 if outer:
-                    a.append(key[lo:lo + 1])
-                    b.append(ids[lo + leader:lo + leader + 1])
-                    kind.append(np.ones(1, dtype=np.int64))
+                    border[0].append(key[lo])
+                    border[1].append(ids[lo + leader])
                 left &= near < tight
                 left[leader] = False
-        a, b, kind = np.concatenate(a), np.concatenate(b), np.concatenate(kind)
-        tie = (kind == 1) | (a != b)
-        found = np.unique(np.stack([a[tie], b[tie], kind[tie]]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "kind"])
+        a, b = forest(np.concatenate(ties[0]), np.concatenate(ties[1]))
+        for x, y, kind in ((a, b, 0), (np.array(border[0], np.int64), np.array(border[1], np.int64), 1)):
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), kind))], names=["a", "b", "kind"])
 
     return ranged.mapInArrow(run, "a long, b long, kind long")
 
@@ -309,6 +324,7 @@ def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80, rows:
                        doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns, one of each group of near-duplicates (rows that repeat
     the kept doc_id stay)."""
+    (name,) = free_names(docs, "gone_id")
     gone = staged(near_duplicates(docs, words, percent, rows, bands, doc_id, text).where(
-        "not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(small_side(gone), docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
+        "not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(small_side(gone), docs[doc_id].cast("long") == F.col(name), "left_anti")
