@@ -20,12 +20,23 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def staged(df: DataFrame, name: str, batch_rows: int = 1000) -> DataFrame:
     """Write a frame below the shared folder and read it back: cuts lineage so that a
-    lost executor costs a re-read, not a recomputation of all earlier steps."""
+    lost executor costs a re-read, not a recomputation of all earlier steps.
+
+    For the time of the write, Arrow batches have ``batch_rows`` rows: with whole texts in
+    them, the default of 10,000 takes tens of MB several times over.
+    """
     spark = df.sparkSession
-    path = stage_dir(spark, name)
-    df.write.parquet(path)
+    path, before = stage_dir(spark, name), spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

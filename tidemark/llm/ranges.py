@@ -81,6 +81,8 @@ def repeats(df: DataFrame, payload: list[str], buckets: int) -> DataFrame:
         for lo in range(0, len(keep), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 100_000]) for x in out],
                                              names=[*cols, "same", "whole", "open", "border"])
+        del got, t, arrays, keys, out
+        pa.default_memory_pool().release_unused()
 
     schema = ", ".join(f"{c} long" for c in cols) + ", same boolean, whole boolean, open boolean, border boolean"
     found = staged(ranged.mapInArrow(run, schema), "repeats")

@@ -39,7 +39,7 @@ from .common import free_names, staged
 from .hashing import BASES, BYTE_VALUES, flat_texts, inverse_powers, mix, powers
 from .ranges import repeats
 
-PIECE = 1 << 19  # bytes of text a task hashes at a time (about 100 bytes of arrays for each)
+PIECE = 1 << 18  # bytes of text a task hashes at a time (about 100 bytes of arrays for each)
 BLOCK = 16  # windows of a block
 NO_ID = -(2 ** 63)  # stands for a null doc_id
 #: Rows of a side that is broadcast at most (a few dozen bytes each); beyond, a shuffle join.
@@ -147,6 +147,7 @@ def _anchored(keyed: DataFrame, length: int) -> DataFrame:
                 rows = np.array([g[0] for g in group])[piece]
                 shift = (np.array([g[1] for g in group]) - borders[:-1])[piece] - offsets[rows]
                 yield _batch(_Hasher(part), first, n, anchor, (anchor, anchor + length // 2), length, rows, ids, marks, shift)
+        pa.default_memory_pool().release_unused()
 
     return keyed.mapInArrow(run, SPAN)
 
@@ -222,6 +223,14 @@ def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFra
     return docs.join(small_side(spans), on, "left").drop(id_, mark)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller parts, as each part's texts are held twice."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def _kept(text: memoryview, spans: list[dict] | None) -> bytes:
     if not spans:
         return bytes(text)
@@ -238,7 +247,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     work = _with_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), length, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             data, offsets = flat_texts(b.column(1))
             spans = b.column(2).to_pylist()
             kept = [_kept(memoryview(data[lo:hi]), s) for lo, hi, s in zip(offsets[:-1], offsets[1:], spans, strict=True)]
@@ -263,7 +272,7 @@ def without_repeats(docs: DataFrame, length: int, doc_id: str = "doc_id", text:
     at, count, last = names.index(text), names.index(n_chars), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             cols = list(b.columns)
             texts = b.column(at).to_pylist()
             for i, spans in enumerate(b.column(last).to_pylist()):
