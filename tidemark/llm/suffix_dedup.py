@@ -42,13 +42,16 @@ from .ranges import repeats
 PIECE = 1 << 18  # bytes of text a task hashes at a time (about 100 bytes of arrays for each)
 BLOCK = 16  # windows of a block
 NO_ID = -(2 ** 63)  # stands for a null doc_id
-#: Rows of a side that is broadcast at most (a few dozen bytes each); beyond, a shuffle join.
-BROADCAST_ROWS = 1_000_000
+#: Rows and array elements of a side that is broadcast at most (a few dozen bytes each);
+#: beyond, the same join is shuffled.
+BROADCAST_ITEMS = 1_000_000
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a staged frame) with a broadcast hint if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, arrays: str | None = None) -> DataFrame:
+    """``df`` (a staged frame of numbers) with a broadcast hint if its rows, and the elements
+    of its column ``arrays``, are at most BROADCAST_ITEMS."""
+    items = F.count(F.lit(1)) if arrays is None else F.coalesce(F.sum(F.size(arrays) + 1), F.lit(0))
+    return F.broadcast(df) if df.agg(items).first()[0] <= BROADCAST_ITEMS else df
 
 
 def _pieces(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -156,7 +159,7 @@ def _cut(keyed: DataFrame, spans: DataFrame, size: int, length: int) -> DataFram
     """Unsettled spans cut into spans of ``size`` windows, aligned at their anchors."""
     per_text = staged(spans.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("spans")), "unsettled")
     k = per_text.select(F.col("id").alias("k_id"), F.col("mark").alias("k_mark"), "spans")
-    work = keyed.join(small_side(k), (F.col("id") == F.col("k_id")) & (F.col("mark") == F.col("k_mark"))).select(
+    work = keyed.join(small_side(k, "spans"), (F.col("id") == F.col("k_id")) & (F.col("mark") == F.col("k_mark"))).select(
         "id", "mark", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +223,7 @@ def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFra
     spans = staged(repeated_spans(docs, length, doc_id, text), "spans").select(
         F.col("id").alias(id_), F.col("mark").alias(mark), F.col("spans").alias(spans_))
     on = (F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)) == F.col(id_)) & (F.hash(docs[text]).cast("long") == F.col(mark))
-    return docs.join(small_side(spans), on, "left").drop(id_, mark)
+    return docs.join(small_side(spans, spans_), on, "left").drop(id_, mark)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
