@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices, staged
 from .hashing import chunks, flat_texts
 
 BLANK = 0
@@ -37,6 +38,7 @@ SYMBOL[97:123] = np.arange(1, 27)
 SYMBOL[128:256] = np.arange(27, 155)
 RADIX = 155
 GRAMS = RADIX ** 3
+PIECE = 1 << 18  # bytes of text handled at a time (about 100 bytes of arrays for each)
 
 
 def gram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +94,10 @@ def train_profiles(docs: DataFrame, profile: int = 400, text: str = "text", lang
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             langs = np.asarray(b.column(0).to_pylist(), dtype=object)
             data, offsets = _lowered(b.column(1))
-            for lo, hi, part, off in chunks(data, offsets):
+            for lo, hi, part, off in chunks(data, offsets, PIECE):
                 codes, owners = gram_codes(part, off)
                 for name in sorted(set(langs[lo:hi])):
                     mine = (langs[lo:hi] == name)[owners]
@@ -116,6 +118,7 @@ def train_profiles(docs: DataFrame, profile: int = 400, text: str = "text", lang
                 names=["lang", "code", "n"])
 
     counted = src.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counted = staged(counted, "grams")
     # at most RADIX**3 codes for a language, whatever the size of the data
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     return counted.withColumn("rank", F.row_number().over(w) - 1).where(F.col("rank") < profile).select("lang", "code", "rank")
@@ -165,7 +168,7 @@ def predict_batch(model: Profiles, column: pa.Array) -> tuple[list[str], np.ndar
     has = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
     data, offsets = _lowered(text)
     best, score = np.full(len(text), -1, dtype=np.int64), np.zeros(len(text))
-    for lo, hi, part, off in chunks(data, offsets, 1 << 20):
+    for lo, hi, part, off in chunks(data, offsets, PIECE):
         best[lo:hi], score[lo:hi] = model.predict(part, off)
     best[~has], score[best < 0] = -1, 0.0
     score[~has] = 0.0
@@ -188,7 +191,7 @@ def identify(docs: DataFrame, profiles: DataFrame, profile: int = 400, doc_id: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(shared.value, profile)
-        for b in batches:
+        for b in slices(batches):
             names, score = predict_batch(model, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(score)],
                                              names=["doc_id", "lang_pred", "score"])
@@ -206,7 +209,7 @@ def keep_identified(docs: DataFrame, profiles: DataFrame, least_score: float = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(shared.value, profile)
-        for b in batches:
+        for b in slices(batches):
             names, score = predict_batch(model, b.column(at))
             keep = [x != "und" and s >= least_score for x, s in zip(names, score, strict=True)]
             yield b.filter(pa.array(keep, pa.bool_()))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_names, staged
+from .common import free_names, slices, staged
 from .hashing import BASES, BYTE_VALUES, flat_texts, inverse_powers, mix, powers
 from .ranges import repeats
 
@@ -226,14 +226,6 @@ def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFra
     return docs.join(small_side(spans, spans_), on, "left").drop(id_, mark)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller parts, as each part's texts are held twice."""
-    for b in batches:
-        for lo in range(0, b.num_rows, rows):
-            yield b.slice(lo, rows)
-    pa.default_memory_pool().release_unused()
-
-
 def _kept(text: memoryview, spans: list[dict] | None) -> bytes:
     if not spans:
         return bytes(text)
@@ -250,7 +242,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     work = _with_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), length, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in slices(batches):
             data, offsets = flat_texts(b.column(1))
             spans = b.column(2).to_pylist()
             kept = [_kept(memoryview(data[lo:hi]), s) for lo, hi, s in zip(offsets[:-1], offsets[1:], spans, strict=True)]
@@ -275,7 +267,7 @@ def without_repeats(docs: DataFrame, length: int, doc_id: str = "doc_id", text:
     at, count, last = names.index(text), names.index(n_chars), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in slices(batches):
             cols = list(b.columns)
             texts = b.column(at).to_pylist()
             for i, spans in enumerate(b.column(last).to_pylist()):
