@@ -100,6 +100,30 @@ def test_near_duplicates_of_the_small_table(spark):
     assert sorted(((True, d), n, (True, c)) for d, n, c, _ in want) == near_brute(rows, 3, 85)
 
 
+@pytest.mark.parametrize(("n", "percent", "rows", "bands"), [(3, 85, 6, 32), (5, 80, 5, 40)])
+def test_near_duplicates_one_word_apart_at_every_size(spark, n, percent, rows, bands):
+    texts = []
+    for size in range(16, 34):
+        for copy in range(4):
+            w = [f"t{size}x{copy}x{i}" for i in range(size)]
+            texts += [" ".join(w), " ".join([*w, "more"]) if copy % 2 else " ".join(w[:-1])]
+    docs = list(enumerate(texts))
+    want = near_brute(docs, n, percent)
+    assert len({c for _, _, c in want}) == len(docs) // 2
+    assert near_rows(hyperminhash.near_duplicates(frame(spark, docs), n, percent, rows, bands)) == want
+
+
+def test_registers_of_neighbouring_sizes_agree():
+    rng = np.random.default_rng(11)
+    for n in (1, 5, 12, 20, 23, 24, 30):
+        equal = []
+        for _ in range(40):
+            pool = rng.integers(0, 2**64, n + 1, dtype=np.uint64)
+            regs = hyperminhash.sketch(np.concatenate([np.sort(pool[:n]), np.sort(pool)]), np.array([n, n + 1]), 192)
+            equal.append(hyperminhash.jaccard_estimate(regs[0], regs[1:])[0])
+        assert abs(np.mean(equal) - n / (n + 1)) < 0.03
+
+
 def test_jaccard_estimate_is_close():
     rng = np.random.default_rng(5)
     for n, shared in ((40, 36), (400, 300), (3000, 1000)):

@@ -1,8 +1,9 @@
 """Near-duplicate documents by HyperMinHash, confirmed on full shingle sets.
 
 1. A text's distinct word shingles fill ``rows * bands`` registers (fast similarity
-   sketching: rounds of hashing into buckets until none is empty, so short texts have
-   full sketches too). A register keeps the leading-zero count of its smallest hash (5
+   sketching: rounds of hashing into buckets until none is empty, then each shingle into
+   each bucket that is still empty; the same for all sizes, so sets of any two sizes
+   compare). A register keeps the leading-zero count of its smallest hash (5
    bits), the next 8 bits as mantissa and the round (3 bits): 16 bits.
 2. Equal sets are one class, found by a 128-bit set hash with map-side combining.
 3. The classes' compressed registers are banded; range buckets of the band keys bring
@@ -43,7 +44,6 @@ from .ranges import repeats
 from .suffix_dedup import NO_ID, small_side
 
 ROUNDS = 32
-DENSE = 24  # texts with fewer shingles hash each of them for each register
 BLOCK_SHINGLES = 2_000_000
 BUCKET_ROWS = 40_000
 #: Chance that registers of different minima are equal: 8 mantissa bits, zeros and round alike.
@@ -73,19 +73,18 @@ def sketch(hashes: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
     owner = np.repeat(np.arange(n), counts)
     empty = np.iinfo(np.uint64).max
     best = np.full(n * k, empty, dtype=np.uint64)
-    active = counts >= DENSE
+    left = np.where(counts > 0, k, 0)  # registers still empty
     for turn in range(ROUNDS):
-        at = np.flatnonzero(active[owner])
+        at = np.flatnonzero(left[owner])
         if not len(at):
             break
         x = mix(hashes[at] ^ _seed(turn))
         slot = owner[at] * k + ((x >> np.uint64(32)) % np.uint64(k)).astype(np.int64)
-        now = np.full(n * k, empty, dtype=np.uint64)
-        np.minimum.at(now, slot, x & np.uint64(0xFFFFFFFF))
-        fresh = np.flatnonzero((best == empty) & (now != empty))
-        best[fresh] = now[fresh]
-        regs.reshape(-1)[fresh] = _compress(now[fresh], turn)
-        active &= (best.reshape(n, k) == empty).any(axis=1)
+        free = np.flatnonzero(best[slot] == empty)
+        np.minimum.at(best, slot[free], x[free] & np.uint64(0xFFFFFFFF))
+        fresh = np.unique(slot[free])
+        regs.reshape(-1)[fresh] = _compress(best[fresh], turn)
+        left -= np.bincount(fresh // k, minlength=n)
     slots = np.array([_seed(1000 + j) for j in range(k)], dtype=np.uint64)
     holes = best.reshape(n, k) == empty
     for d in np.flatnonzero(holes.any(axis=1) & (counts > 0)):
