@@ -192,6 +192,18 @@ def test_json_kinds_and_drift(spark):
     assert ("b", "ok", 2) in drift
 
 
+def test_drift_gate_names_every_field(spark):
+    from tidemark.operators.quality import drift_gate
+
+    names = [f"k{i:05d}" for i in range(2500)]
+    drift = spark.createDataFrame([("feed", n, "new") for n in names] + [("feed", "a", "ok"), ("calm", "a", "ok")],
+                                  "source_name string, field string, kind string")
+    got = {r.source_name: r for r in drift_gate(drift).collect()}
+    assert got["feed"].drift == ",".join(f"new:{n}" for n in names)
+    assert (got["feed"].n_drift_fields, got["feed"].status) == (2500, "BLOCK")
+    assert (got["calm"].n_drift_fields, got["calm"].drift, got["calm"].status) == (0, "", "PASS")
+
+
 def test_sql_policy_functions_escape_values(spark):
     from tidemark.operators.security import register_mask_function, register_row_filter_function
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -278,18 +278,16 @@ def frame_schema_rows(spark: SparkSession, frames: dict[str, DataFrame]) -> Data
     return spark.createDataFrame(rows, "table_name string, column_name string, type string")
 
 
-def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped"),
-               max_named: int = 1000) -> DataFrame:
+def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped")) -> DataFrame:
     """Per source: PASS, or BLOCK silver with the drifting fields (Q2).
 
     Bronze always lands; the gate only decides whether silver is loaded. The
-    list names the first ``max_named`` drifting fields of a source by name (keys
-    that come from the data can be any number); ``n_drift_fields`` counts all.
+    list names every drifting field of a source once, in one string as in the
+    oracle; a feed whose keys come from the data makes that string as long.
     """
     bad = F.col("kind").isin(list(block_kinds))
-    near = Window.partitionBy("source_name").orderBy("kind", "field")
     fields = drift.filter(bad).select("source_name", "kind", "field").distinct()
-    named = fields.withColumn("r", F.row_number().over(near)).filter(F.col("r") <= max_named).groupBy("source_name").agg(
+    named = fields.groupBy("source_name").agg(
         F.concat_ws(",", F.array_sort(F.collect_list(F.concat("kind", F.lit(":"), "field")))).alias("drift"))
     counted = drift.groupBy("source_name").agg(
         F.sum(F.when(bad, 1).otherwise(0)).cast(LongType()).alias("n_drift_fields"),
