@@ -86,6 +86,16 @@ def test_fingerprints_of_messy_rows(spark, messy):
     assert alone.near_next == 1.0 and alone.edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
 
 
+def test_fingerprints_of_repeated_rows_count_once(spark):
+    text, other = "one line of words\nand another line", "some other text here"
+    rows = [(1, text), (2, text), (3, other)]
+    want = sorted(map(tuple, fingerprint.fingerprints(frame(spark, rows)).collect()))
+    got = fingerprint.fingerprints(frame(spark, [(1, text)] * 2 + [(2, text)] * 3 + [(3, other)])).collect()
+    assert sorted(map(tuple, got)) == want
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].fingerprint == by_id[2].fingerprint and by_id[2].near_next == 1.0
+
+
 def test_fingerprints_add_and_subtract(spark):
     a, b = "first line here\nsecond one", "third line\nsecond one"
     df = spark.createDataFrame([(0, a), (1, b), (2, a + "\n" + b), (3, "second one\nthird line\nsecond one\nfirst line here")],

@@ -144,7 +144,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.col("to_id").alias("id"), F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.col("cut")).alias("tail"))
     sent = sent.groupBy("id", "h").agg(F.first("tail").alias("tail"))
     n = F.char_length("text")
-    edited = texts.join(sent, ["id", "h"]).withColumn(
+    # repeated rows are one document: their paragraphs count once (the join has dealt and sorted by the keys)
+    once = texts.join(sent, ["id", "h"]).groupBy("id", "h").agg(F.first("text").alias("text"), F.first("tail").alias("tail"))
+    edited = once.withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), F.col("tail")))
 
     both = edited.select("id", "h", F.explode(F.array(
