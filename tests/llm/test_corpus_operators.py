@@ -271,6 +271,18 @@ def test_neighbours_recall(spark):
         assert all(abs(s - np.linalg.norm(np.float64(np.float32(x[v])) - np.float64(np.float32(x[q])))) < 1e-12 for v, s in found)
 
 
+def test_neighbours_recall_beside_a_very_long_vector(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((30, 24))[rng.integers(0, 30, 3000)] + 0.6 * rng.standard_normal((3000, 24))
+    x[1] *= 1e8
+    rows = [(i, [float(np.float32(v)) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found_neighbours(nn_descent.nearest(df, F.col("vec_id") % 50 == 0))
+    want = nearest_brute(rows, lambda i: i % 50 == 0, 10)
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.95
+
+
 def test_neighbours_of_the_small_table_match_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")

@@ -79,7 +79,8 @@ def _top(owner: np.ndarray, other: np.ndarray, dist: np.ndarray, k: int) -> tupl
 
 
 def _edges(owner: np.ndarray, other: np.ndarray, dist: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(owner), pa.array(other), pa.array(dist.astype(np.float32))], names=["v", "u", "d"])
+    dist = np.minimum(dist, np.finfo(np.float32).max).astype(np.float32)
+    return pa.RecordBatch.from_arrays([pa.array(owner), pa.array(other), pa.array(dist)], names=["v", "u", "d"])
 
 
 def _merged(edges: DataFrame, k: int, parts: int) -> DataFrame:
@@ -152,8 +153,8 @@ def _descend(graph: DataFrame, nodes: DataFrame, k: int, reverse: int, parts: in
     listed = listed.withColumn("r", F.row_number().over(near)).where(F.col("r") <= reverse).select("v", "u")
     meet = pairs.select("v", "u").unionByName(listed).distinct()
     reach = graph.select(F.col("v").alias("u"), F.element_at("ds", -1).alias("reach"), F.size("ds").alias("n"))
-    told = nodes.select(F.col("v").alias("u"), "half").join(reach, "u")
-    rows = meet.join(told, "u").select("v", "u", "half", F.when(F.col("n") < k, F.lit(float("inf"))).otherwise(F.col("reach")).alias("reach"))
+    told = nodes.select(F.col("v").alias("u"), "vec").join(reach, "u")
+    rows = meet.join(told, "u").select("v", "u", "vec", F.when(F.col("n") < k, F.lit(float("inf"))).otherwise(F.col("reach")).alias("reach"))
     rows = rows.repartition(parts, "v").sortWithinPartitions("v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, k: int, reverse: int, parts: in
             u = t.column("u").to_numpy()
             if len(u) < 2:
                 continue
-            x = np.frombuffer(b"".join(t.column("half").to_pylist()), dtype=np.float16).reshape(len(u), -1).astype(np.float32)
+            x = _matrix(t.column("vec")).astype(np.float64)
             sq = (x * x).sum(axis=1)
             dist = np.sqrt(np.maximum(0, sq[:, None] + sq[None, :] - 2 * (x @ x.T)))
             np.fill_diagonal(dist, np.inf)
@@ -186,20 +187,10 @@ def build_graph(nodes: DataFrame, k: int = 20, reverse: int = 12, rounds: int =
     head = nodes.select(F.size("vec").alias("d")).first()
     count = nodes.count()
     dim = head["d"] if head else 1
-    top = nodes.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] or 1.0
-
-    def halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = (_matrix(b.column(1)) / np.float32(top)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["v", "half"])
-
-    # only the graph is built on half precision (scaled); results use the vectors themselves
-    half = staged(nodes.select("v", "vec").mapInArrow(halved, "v long, half binary"), "half")
     first = _first_edges(nodes.select("v", "vec"), dim, count, parts, seed)
-    first = first.withColumn("d", (F.col("d") / F.lit(float(top))).cast("float"))
     graph = staged(_merged(first, k, parts), "graph")
     for _ in range(rounds):
-        graph = staged(_descend(graph, half, k, reverse, parts), "graph")
+        graph = staged(_descend(graph, nodes, k, reverse, parts), "graph")
     return graph
 
 
