@@ -35,23 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_names, slices, staged
+from .common import free_names, slices, small_side, staged
 from .hashing import BASES, BYTE_VALUES, flat_texts, inverse_powers, mix, powers
 from .ranges import repeats
 
 PIECE = 1 << 18  # bytes of text a task hashes at a time (about 100 bytes of arrays for each)
 BLOCK = 16  # windows of a block
 NO_ID = -(2 ** 63)  # stands for a null doc_id
-#: Rows and array elements of a side that is broadcast at most (a few dozen bytes each);
-#: beyond, the same join is shuffled.
-BROADCAST_ITEMS = 1_000_000
-
-
-def small_side(df: DataFrame, arrays: str | None = None) -> DataFrame:
-    """``df`` (a staged frame of numbers) with a broadcast hint if its rows, and the elements
-    of its column ``arrays``, are at most BROADCAST_ITEMS."""
-    items = F.count(F.lit(1)) if arrays is None else F.coalesce(F.sum(F.size(arrays) + 1), F.lit(0))
-    return F.broadcast(df) if df.agg(items).first()[0] <= BROADCAST_ITEMS else df
 
 
 def _pieces(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int, int]]]:
