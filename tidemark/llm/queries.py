@@ -64,8 +64,10 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
 
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of strings of 400 bytes that start twice."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    """Every document without the bytes of strings of 400 bytes that start twice; ``text`` is
+    what is left (a character that loses one of its bytes shows as U+FFFD)."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query
