@@ -38,8 +38,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences in optimal length buckets and token-budget batches."""
-    return packing.pack(docs)
+    """Sequences in optimal length buckets and token-budget batches, which form in the order
+    of the mix, so that every stretch of a bucket's batches follows the target weights."""
+    ordered, place = packing.numbered(docs)
+    return packing.pack(ordered, order=place)
 
 
 STAGES = [("language", language), ("near_dedup", near_dedup), ("passage_dedup", passage_dedup), ("mix", mix), ("pack", pack)]
