@@ -68,16 +68,17 @@ def run_standardization(spark: SparkSession, target_location: str, contract: Str
 
     Reads the current table (or starts from an empty frame of the contract
     when it does not exist yet), standardises every source of the spec, drops
-    columns that are null on every row, replaces the table through a staged
-    copy (the result reads the table it replaces) and returns the load
-    response ``{target_table, schema, rows_loaded}``.
+    columns that are null on every row, commits the result as the table's next
+    snapshot (it reads the one before, and is written once) and returns the load
+    response ``{target_table, schema, rows_loaded}``. Read the table with
+    :func:`..sources.target.read_target`.
     """
-    from ..sinks.writers import replace_path
+    from ..sinks.snapshots import SnapshotTable
     from ..sources.target import read_target
 
     target = read_target(spark, target_location, contract, fmt)
     result = standardize(spark, target, contract, mappings, read, unique_keys=unique_keys)
-    n = replace_path(result, target_location, fmt, drop_null_columns=drop_null_columns)
+    n = SnapshotTable(spark, target_location, fmt).replace(result, drop_null_columns=drop_null_columns).rows_loaded
     first = next(iter(mappings.values()))[0] if mappings else None
     return {"target_table": first.target_table if first else None,
             "schema": first.target_schema if first else None, "rows_loaded": n}

@@ -31,6 +31,7 @@ from ..operators.incremental import (
     watermark_max,
 )
 from ..operators.runs import run_table_loads
+from ..sources.target import read_target
 from ..session import shared_dir
 from .registry import register, table
 
@@ -298,6 +299,6 @@ def q_table_load_run(spark, sf_dir):
 
     for run_id in ("run-1", "run-2"):
         run_table_loads(spark, config, read, root, as_of=AS_OF, run_id=run_id)
-    loaded = [spark.read.parquet(f"{root}/{c['table_name']}").select("event_id", F.lit(c["table_name"]).alias("table_name"))
+    loaded = [read_target(spark, f"{root}/{c['table_name']}", ev.schema).select("event_id", F.lit(c["table_name"]).alias("table_name"))
               for c in config if c["table_name"] != "gone"]
     return reduce(lambda a, b: a.unionByName(b), loaded)

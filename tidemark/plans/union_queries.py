@@ -178,9 +178,10 @@ SELECT s_suppkey, s_name, CAST(NULL AS VARCHAR), s_acctbal, 'vendor', 'supplier'
 def q_standardize_run(spark, sf_dir):
     """A full run into a stored table: relational client changes merged in,
     vendors stacked, all-null contract columns (Phone, Country) dropped, the
-    table replaced through a staged copy; returns the stored table."""
+    table replaced by its next snapshot; returns the stored table."""
     from ..operators.standardize import run_standardization
     from ..session import shared_dir
+    from ..sources.target import read_target
 
     cust = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -197,4 +198,4 @@ def q_standardize_run(spark, sf_dir):
     }
     maps = collect_mappings(spec_from_dict(spark, {**CHANGES_SPEC, **VENDOR_SPEC}))
     run_standardization(spark, location, CLIENT_CONTRACT, maps, sources.__getitem__)
-    return spark.read.parquet(location)
+    return read_target(spark, location, CLIENT_CONTRACT)
