@@ -15,7 +15,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ..operators.history import as_of_view, scd2_apply, scd2_expire, scd2_new_rows
+from ..operators.history import as_of_view, merged_versions, scd2_apply, scd2_expire, scd2_insert, scd2_new_rows, scd2_store
+from ..session import shared_dir
+from ..sinks.snapshots import SnapshotTable
 from .registry import register, table
 
 AS_OF = "2024-06-01"
@@ -143,3 +145,47 @@ def q_scd2_merge_once(spark, sf_dir):
     dim = dimension(spark, sf_dir).withColumns({"start_date": F.coalesce("start_date", F.lit(dt.date(1970, 1, 1))),
                                                 "is_current": F.coalesce("is_current", F.lit(False))})
     return scd2_apply(dim, source(spark, sf_dir), ["customer_id"], ["city"], AS_OF)
+
+
+@register("scd2_late", """
+WITH d AS (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date, max(o_orderpriority) AS priority
+           FROM orders GROUP BY 1, 2),
+n AS (SELECT *, lag(priority) OVER w AS before FROM d WINDOW w AS (PARTITION BY customer_id ORDER BY start_date)),
+v AS (SELECT * FROM n WHERE before IS NULL OR before <> priority)
+SELECT customer_id, priority, start_date, lead(start_date) OVER w AS end_date, lead(start_date) OVER w IS NULL AS is_current
+FROM v WINDOW w AS (PARTITION BY customer_id ORDER BY start_date)
+""")
+def q_scd2_late(spark, sf_dir):
+    """Each customer's order priority over time, delivered in three batches out of order:
+    every version ends up at its own date."""
+    days = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("day")).agg(F.max("o_orderpriority").alias("priority"))
+    dim = SnapshotTable(spark, shared_dir(spark, "priority_dim"))
+    dim.replace(spark.createDataFrame([], "customer_id long, priority string, start_date date, end_date date, is_current boolean"))
+    batch = F.pmod(F.dayofmonth("day") * 7 + F.col("customer_id"), F.lit(3))
+    for late in (1, 0, 2):
+        dim.replace(scd2_insert(dim.read(), days.filter(batch == late), ["customer_id"], "day"))
+    return merged_versions(dim.read(), ["customer_id"], ["priority"])
+
+
+@register("scd2_stored", f"""WITH {_sql_inputs(False)},
+open1 AS (SELECT DISTINCT customer_id, city, DATE '2024-03-01' AS start_date, CAST(NULL AS DATE) AS end_date, true AS is_current FROM src),
+s2 AS (SELECT c_custkey AS customer_id, c_mktsegment AS city FROM customer)
+SELECT o.customer_id, o.city, o.start_date,
+       CASE WHEN s.customer_id IS NOT NULL AND o.city IS DISTINCT FROM s.city THEN DATE '{AS_OF}' END AS end_date,
+       s.customer_id IS NULL OR o.city IS NOT DISTINCT FROM s.city AS is_current
+FROM open1 o LEFT JOIN s2 s ON s.customer_id = o.customer_id
+UNION ALL
+SELECT s.customer_id, s.city, DATE '{AS_OF}', NULL, true
+FROM s2 s LEFT JOIN open1 o ON s.customer_id = o.customer_id WHERE o.customer_id IS NULL OR o.city IS DISTINCT FROM s.city
+""")
+def q_scd2_stored(spark, sf_dir):
+    """A stored dimension: two sources, each applied twice; the second time changes nothing,
+    also for rows without a key."""
+    path = shared_dir(spark, "customer_dim")
+    dim = SnapshotTable(spark, path)
+    second = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("city"))
+    for src, day in ((source(spark, sf_dir), "2024-03-01"), (second, AS_OF)):
+        for _ in range(2):
+            scd2_store(dim, src, ["customer_id"], ["city"], day)
+    return dim.read()
