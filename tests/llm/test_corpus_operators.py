@@ -332,6 +332,20 @@ def test_chats_of_messy_turns(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_neighbours_in_double_precision(spark):
+    """Distances beyond single precision, and values beyond its range on both sides."""
+    near = [(0, [1.0, 1.0]), (1, [1.0 + 1e-9, 1.0]), (2, [1.0 + 2e-9, 1.0]), (3, [1.0 + 2e-9, 1.0]), (4, [5.0, 0.0])]
+    is_query = F.col("vec_id") == 0
+    for scale in (1.0, 1e100, 1e-100):
+        df = spark.createDataFrame([(i, [x * scale for x in v]) for i, v in near], "vec_id long, embedding array<double>")
+        got = [(r.rank, r.vec_id, r.score) for r in nn_descent.nearest(df, is_query).orderBy("rank").collect()]
+        assert [g[:2] for g in got] == [(1, 1), (2, 2), (3, 3), (4, 4)]
+        a = np.array(near[0][1]) * scale
+        for (_, i, score), (_, v) in zip(got, near[1:], strict=True):
+            apart = np.array([x * scale for x in v]) - a
+            assert score == np.sqrt(apart[0] * apart[0] + apart[1] * apart[1]), i
+
+
 # ---------------------------------------------------------------- packing
 
 def test_bounds_are_optimal():

@@ -13,7 +13,7 @@ matter, and a paragraph is put in or taken out by adding or subtracting its vect
   multiset difference, whence `likeness`.
 
 Defined cases: a null text is empty, and an empty text is one empty paragraph; rows that
-repeat (doc_id, text) are one document; rows that share a doc_id with other texts are
+repeat (doc_id, text) are one document, whose result each of them gets; rows that share a doc_id with other texts are
 documents of their own, ordered by text hash; a null doc_id comes last in descending
 order; a single document follows itself; the empty table gives no rows; other
 columns are ignored.
@@ -108,14 +108,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def followers(docs: DataFrame) -> DataFrame:
-    """id, h, n and the document that follows in descending (id, h): next_id, next_h.
+    """id, h, n, copies (rows) and the document that follows in descending (id, h): next_id, next_h.
 
     Range partitions give the order; a partition's last document is followed by the first
     of the next partition (one row for each partition meets in one task), the last of all
     by the first.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.groupBy("id", "h").agg(F.max("n").alias("n"))
+    ids = docs.groupBy("id", "h").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     ranged = staged(ids.repartitionByRange(n, F.desc("id"), F.desc("h")).withColumn("part", F.spark_partition_id()), "order")
     down = Window.partitionBy("part").orderBy(F.desc("id"), F.desc("h"))
     inner = ranged.withColumn("next", F.lead(F.struct("id", "h")).over(down))
@@ -124,7 +124,8 @@ def followers(docs: DataFrame) -> DataFrame:
     border = first.select(F.col("part").alias("p"), F.coalesce(
         F.lead("first").over(by_part), F.first("first").over(by_part.rowsBetween(Window.unboundedPreceding, 0))).alias("border"))
     return inner.join(F.broadcast(border), F.col("part") == F.col("p")).withColumn(
-        "next", F.coalesce("next", "border")).select("id", "h", "n", F.col("next.id").alias("next_id"), F.col("next.h").alias("next_h"))
+        "next", F.coalesce("next", "border")).select(
+        "id", "h", "n", "copies", F.col("next.id").alias("next_id"), F.col("next.h").alias("next_h"))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -161,7 +162,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                               likeness(F.col("a.v"), F.col("b.v")).alias("near_edited")), "vectors")
     follow = own.join(order, ["id", "h"])
     after = own.select(F.col("id").alias("next_id"), F.col("h").alias("next_h"), F.col("v").alias("next_v"))
-    return follow.join(after, ["next_id", "next_h"]).select(
+    # a row for each copy, a thousand at a time, so that no array holds them all
+    whole = follow.join(after, ["next_id", "next_h"]).withColumn("thousand", F.explode(F.sequence(F.lit(0), F.expr("cast((copies - 1) div 1000 as int)"))))
+    whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(1000), F.col("copies") - F.col("thousand") * 1000).cast("int"))))
+    return whole.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"), "edited_sha256",
         as_text(F.col("v")).alias("fingerprint"), "edited_fingerprint", "near_edited",
         likeness(F.col("v"), F.col("next_v")).alias("near_next"))
