@@ -102,6 +102,18 @@ def test_standardisation_writes_the_table_once(spark, tmp_path, monkeypatch):
     assert out["rows_loaded"] == 0 and len(written) == 1
 
 
+def test_an_ordinary_folder_stays_one_until_it_is_adopted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(path)
+    contract = spark.createDataFrame([], "a int, b string").schema
+    assert run_standardization(spark, path, contract, {}, lambda _: None)["rows_loaded"] == 1
+    assert rows_of(spark.read.parquet(path)) == [(1, "x")] and not SnapshotTable(spark, path).exists()
+    SnapshotTable(spark, path).adopt("a")
+    assert SnapshotTable(spark, path).commit().high == "1" and rows_of(read_target(spark, path, contract)) == [(1, "x")]
+    assert run_standardization(spark, path, contract, {}, lambda _: None)["rows_loaded"] == 1
+    assert SnapshotTable(spark, path).commit().number == 2
+
+
 # --- table loads -----------------------------------------------------------------------------
 
 CONFIG = [{"table_name": "inc", "load_type": "INCR", "watermark_column": "ts", "backfill_days": None},
@@ -142,6 +154,9 @@ def test_incremental_loads_go_on_from_their_commit(spark, tmp_path):
     root = str(tmp_path / "r")
     for n, run_id in ((4, "a"), (4, "b"), (9, "c")):
         run_table_loads(spark, CONFIG[:1], lambda _, n=n: source(spark, n), root, as_of="2024-01-10", run_id=run_id)
+    source(spark, 3).write.parquet(f"{root}/old/inc")  # an ordinary folder is taken over
+    run_table_loads(spark, CONFIG[:1], lambda _: source(spark), f"{root}/old", as_of="2024-01-10", run_id="d")
+    assert sorted(r.id for r in SnapshotTable(spark, f"{root}/old/inc").read().collect()) == list(range(10))
     table = SnapshotTable(spark, f"{root}/inc")
     assert Counter(r._load_id for r in table.read().collect()) == {"a": 4, "c": 5}
     assert table.commit().high == "2024-01-09 00:00:00"

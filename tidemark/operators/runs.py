@@ -173,7 +173,8 @@ def run_table_loads(spark: SparkSession, config: Sequence[dict], read: Callable[
     FULL replaces the table; BACKFILL replaces its window; anything else appends what lies
     after the bookmark (no bookmark: everything). A table's bookmark is the high mark of its
     latest commit and moves with the rows. Up to ``side_by_side`` tables load at a time; audit rows
-    are kept in ``root/_audit``. Read the tables with :func:`..sources.target.read_target`.
+    are kept in ``root/_audit``. A table that is an ordinary folder is taken over by its first
+    load here. Read the tables with :func:`..sources.target.read_target`.
     """
     root = root.rstrip("/")
 
@@ -182,7 +183,7 @@ def run_table_loads(spark: SparkSession, config: Sequence[dict], read: Callable[
         kind = (c["load_type"] or "").upper()
         try:
             rows, table = read(name), SnapshotTable(spark, path)
-            before = table.commit()
+            before = table.adopt(column) if kind not in (FULL, BACKFILL) and table.plain() else table.commit()
             high = before.high if before else None
             if kind == FULL:
                 n = table.replace(rows, run_id, high=high).rows_loaded

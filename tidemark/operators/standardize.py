@@ -71,14 +71,21 @@ def run_standardization(spark: SparkSession, target_location: str, contract: Str
     columns that are null on every row, commits the result as the table's next
     snapshot (it reads the one before, and is written once) and returns the load
     response ``{target_table, schema, rows_loaded}``. Read the table with
-    :func:`..sources.target.read_target`.
+    :func:`..sources.target.read_target`. A target that is an ordinary folder stays
+    one, since others may read it as such: it is replaced through a staged copy.
+    ``SnapshotTable.adopt`` turns it into a snapshot table.
     """
     from ..sinks.snapshots import SnapshotTable
+    from ..sinks.writers import replace_path
     from ..sources.target import read_target
 
     target = read_target(spark, target_location, contract, fmt)
     result = standardize(spark, target, contract, mappings, read, unique_keys=unique_keys)
-    n = SnapshotTable(spark, target_location, fmt).replace(result, drop_null_columns=drop_null_columns).rows_loaded
+    table = SnapshotTable(spark, target_location, fmt)
+    if table.plain():
+        n = replace_path(result, target_location, fmt, drop_null_columns=drop_null_columns)
+    else:
+        n = table.replace(result, drop_null_columns=drop_null_columns).rows_loaded
     first = next(iter(mappings.values()))[0] if mappings else None
     return {"target_table": first.target_table if first else None,
             "schema": first.target_schema if first else None, "rows_loaded": n}

@@ -181,14 +181,15 @@ def q_standardize_run(spark, sf_dir):
     table replaced by its next snapshot; returns the stored table."""
     from ..operators.standardize import run_standardization
     from ..session import shared_dir
+    from ..sinks.snapshots import SnapshotTable
     from ..sources.target import read_target
 
     cust = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     location = shared_dir(spark, "client_std")
-    cust.select(k.alias("ClientId"), F.col("c_name").alias("ClientName"), F.col("c_mktsegment").alias("Segment"),
+    SnapshotTable(spark, location).replace(cust.select(k.alias("ClientId"), F.col("c_name").alias("ClientName"), F.col("c_mktsegment").alias("Segment"),
                 F.col("c_acctbal").alias("Balance"), F.lit(None).cast("string").alias("Phone"),
-                F.lit(None).cast("string").alias("Country")).write.parquet(location)
+                F.lit(None).cast("string").alias("Country")))
     sources = {
         "client_changes": cust.select(
             F.when(k % 2 == 0, k).otherwise(-k - 1).alias("c_custkey"),

@@ -98,6 +98,18 @@ class SnapshotTable:
     def exists(self) -> bool:
         return bool(self.numbers())
 
+    def plain(self) -> bool:
+        """The path is an ordinary folder of files, which no write through this class has touched."""
+        folder, fs = self._hadoop("")
+        return bool(fs.exists(folder)) and not self.begun()
+
+    def adopt(self, mark: str | None = None) -> Commit:
+        """Make an ordinary folder a snapshot table, by one copy of its rows; ``mark``: the column whose
+        greatest value becomes the high mark. Plain readers of the folder go on to see the old files."""
+        rows = self.spark.read.format(self.fmt).load(self.path)
+        high = rows.agg(F.max(F.col(mark)).cast("string").alias("high")).first()["high"] if mark else None
+        return self.replace(rows, high=high)
+
     def begun(self) -> bool:
         """A write has begun, whether or not it was ever committed."""
         folder, fs = self._hadoop("_snapshots")
