@@ -23,8 +23,13 @@ is missing"):
 Plan shape. One full outer join on never-null key columns: two exchanges, the
 target is read once, so a fold over many sources grows by the same amount for
 each. With unique keys (the usual standard table) :func:`merge_all` needs no
-join at all. A full outer join can't be split by AQE when one key is hot; for
-inputs whose keys do repeat a lot, ``hot_keys="split"`` computes the same rows
+join at all. A full outer join can't be split by AQE when one key is hot.
+``hot_keys="auto"``, the default, looks for such keys (see :mod:`.hotkeys`) as
+soon as the planner expects a side above the session's limit for a skewed
+partition: one job over the key columns while the query is built. Without hot
+keys the plan is the plain join; with them it still is one join, in which the
+rows of those keys alone are dealt over a grid of cells. ``"plain"`` never
+looks. ``hot_keys="split"`` looks for nothing either and computes the same rows
 as the union of three joins AQE *can* split:
 
     target INNER JOIN source           matched rows      (either side split)
@@ -47,6 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.columns import blank_to_null, overwrite_if_present
+from .hotkeys import frequent_keys, grid, in_cells, joint, may_skew
 from .keys import equal, probe_keys, with_join_keys
 
 
@@ -85,7 +91,7 @@ def _named_like(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[tuple[str, str]],
            *, on_duplicate: str = "fanout", unique_keys: bool = False, null_keys: str = "match",
-           hot_keys: str = "plain") -> DataFrame:
+           hot_keys: str = "auto", found: tuple[DataFrame | None, DataFrame | None] | None = None) -> DataFrame:
     """Merge ``source`` into ``target``; see the module docstring.
 
     ``keys`` holds target key names, or ``(target_key, source_key)`` pairs when
@@ -93,13 +99,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     ``unique_keys=True`` states that both sides hold each key at most once; the
     merge then runs as one aggregation (:func:`merge_all`), which checks that.
     ``on_duplicate="error"`` counts the source's keys right away (one job).
+    ``found`` hands over hot keys of target and source that are known already.
     """
     if on_duplicate not in ("fanout", "error"):
         raise ValueError("on_duplicate must be 'fanout' or 'error'")
     if null_keys not in ("match", "append"):
         raise ValueError("null_keys must be 'match' or 'append'")
-    if hot_keys not in ("plain", "split"):
-        raise ValueError("hot_keys must be 'plain' or 'split'")
+    if hot_keys not in ("auto", "plain", "split"):
+        raise ValueError("hot_keys must be 'auto', 'plain' or 'split'")
     pairs = [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
     if not pairs:
         raise ValueError("upsert needs at least one key")
@@ -118,7 +125,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
         _check_unique(source, key_names)
     if null_keys == "append":
         some = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in key_names])
-        merged = upsert(target.filter(some), source.filter(some), key_names, unique_keys=unique_keys, hot_keys=hot_keys)
+        merged = upsert(target.filter(some), source.filter(some), key_names, unique_keys=unique_keys,
+                        hot_keys=hot_keys, found=found)
         return (merged.unionByName(target.filter(~some), allowMissingColumns=True)
                 .unionByName(_added(source.filter(~some), target, key_names)))
 
@@ -131,6 +139,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
     ktypes = [ttypes[k] for k in key_names]
     tn, names = with_join_keys(target, key_names, ktypes)
     sn, _ = with_join_keys(source, key_names, ktypes)
+    cells = None
+    if hot_keys == "auto":
+        if found is None and (may_skew(target) or may_skew(source)):
+            found = _hot(tn, target, names), _hot(sn, source, names)
+        cells = grid(*found, names) if found is not None else None
+    if cells is not None:
+        tn, sn = in_cells(tn, names, cells, True), in_cells(sn, names, cells, False)
     t, s = tn.alias("__t"), sn.alias("__s")
 
     def tcol(c: str) -> Column:
@@ -152,7 +167,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | Sequence[
             cols.append(tcol(c).alias(c))
     cols += [scol(c).alias(c) for c in source_only]
     cond = equal([tcol(n) for n in names], [scol(n) for n in names])
-    if hot_keys == "plain":
+    if cells is not None:
+        # A row sent to several cells is unmatched in some; its key is hot, hence present, on the
+        # other side, so it is matched in another and these are no rows of the result.
+        cond = cond & equal([tcol("__line"), tcol("__col")], [scol("__line"), scol("__col")])
+        spare = ((scol("__met").isNull() & F.coalesce(tcol("__met"), F.lit(False)))
+                 | (tcol("__met").isNull() & F.coalesce(scol("__met"), F.lit(False))))
+        return t.join(s, cond, "full_outer").filter(~spare).select(cols)
+    if hot_keys != "split":
         return t.join(s, cond, "full_outer").select(cols)
 
     matched = t.join(s, cond, "inner").select(cols)
@@ -184,7 +206,7 @@ def _added(rows: DataFrame, target: DataFrame, keys: Sequence[str], own: Sequenc
 
 def fold(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]], *,
          stage_every: int | None = None, on_duplicate: str = "fanout", null_keys: str = "match",
-         hot_keys: str = "plain") -> DataFrame:
+         hot_keys: str = "auto") -> DataFrame:
     """Merge several sources in order, later wins.
 
     The plan grows by one join for each source. Every ``stage_every`` sources
@@ -192,17 +214,51 @@ def fold(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]],
     which cuts lineage and survives lost executors (a reliable checkpoint,
     never a local one): by default never, and at each step with
     ``hot_keys="split"``, whose joins read the target three times.
+
+    With ``hot_keys="auto"`` each input is looked at once: a key survives every
+    step, so what is hot in an earlier input is there in the merged table.
+    Sources that merge on different keys give no such knowledge; their joins are plain.
     """
     if stage_every is None:
         stage_every = 1 if hot_keys == "split" else 0
+    known = _hot_by_input(target, sources) if hot_keys == "auto" else None
+    if hot_keys == "auto" and known is None:
+        hot_keys = "plain"
+    so_far = known[0] if known else None
     out = target
     for i, (src, keys) in enumerate(sources, start=1):
-        out = upsert(out, src, keys, on_duplicate=on_duplicate, null_keys=null_keys, hot_keys=hot_keys)
+        found = (so_far, known[i]) if known else None
+        out = upsert(out, src, keys, on_duplicate=on_duplicate, null_keys=null_keys, hot_keys=hot_keys, found=found)
+        if known:
+            so_far = joint(so_far, known[i], [f"__k{j}" for j in range(2 * len(keys))])
         if stage_every and i % stage_every == 0 and i < len(sources):
             out = out.checkpoint(eager=True)
     return out
 
 
+def _hot_by_input(target: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> list | None:
+    """Hot keys of the target and of each source; ``None`` if no input is large enough to have
+    any that matter, or the sources merge on different keys."""
+    named = [[(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys] for _, keys in sources]
+    if len({tuple(t for t, _ in pairs) for pairs in named}) != 1:
+        return None
+    inputs = [(target, [t for t, _ in named[0]])] + [(s, [k for _, k in pairs]) for (s, _), pairs in zip(sources, named)]
+    if not any(may_skew(df) for df, _ in inputs):
+        return None
+    types = [target.schema[t].dataType for t, _ in named[0]]
+    out = []
+    for df, keys in inputs:
+        keyed, names = with_join_keys(df.select(*[F.col(f"`{k}`") for k in keys]), keys, types)
+        out.append(_hot(keyed, df, names))
+    return out
+
+
+def _hot(keyed: DataFrame, side: DataFrame, names: Sequence[str]) -> DataFrame | None:
+    """Hot keys of a side that is large enough for them to matter: a small one isn't worth
+    dealing out, as that repeats the other side's rows."""
+    return frequent_keys(keyed, names) if may_skew(side) else None
+
+
 def first_run(contract: StructType, source: DataFrame, keys: Sequence[str], spark=None) -> DataFrame:
     """Load into an absent target: merge into an empty frame of the contract (S6 + J1)."""
     spark = spark or source.sparkSession
