@@ -159,13 +159,16 @@ class SnapshotTable:
         return got
 
     def replace(self, df: DataFrame, load_id: str | None = None, *, drop_null_columns: bool = False,
-                high: str | None = None, partition_by: list[str] | None = None, expected_rows: int | None = None) -> Commit:
+                high: str | None = None, partition_by: list[str] | None = None, expected_rows: int | None = None,
+                kind: str = "", after: Commit | None = None) -> Commit:
         """The table becomes ``df``, which may read the table. One write.
 
+        ``after``: the commit that ``df`` was made from; refused if another one has come since.
+
         ``drop_null_columns`` leaves columns without any value out of the table's columns (P11),
         counted while writing; an empty table keeps all.
         """
-        before = self.commit()
+        before = self._since(after)
         folder = load_id = load_id or uuid.uuid4().hex
         folder = f"{folder}-{uuid.uuid4().hex[:8]}"
         counts = {f"c{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(df.columns)} if drop_null_columns else {}
@@ -175,15 +178,23 @@ class SnapshotTable:
             raise RuntimeError(f"wrote {n} rows, expected {expected_rows}; the table is unchanged")
         fields = [f for i, f in enumerate(df.schema.fields) if not counts or n == 0 or got[f"c{i}"] > 0]
         return self._publish(Commit(before.number + 1 if before else 1, StructType(fields).json(),
-                                    (Part(folder, n, load_id),) if n else (), load_id, n, high))
+                                    (Part(folder, n, load_id, kind),) if n else (), load_id, n, high,
+                                    before.loads if before else {}))
 
-    def append(self, df: DataFrame, load_id: str | None = None, *, mark: str | None = None) -> Commit:
+    def _since(self, after: Commit | None) -> Commit | None:
+        before = self.commit()
+        if after is not None and before != after:
+            raise CommitConflict(f"{self.path}: another writer has committed since commit {after.number}")
+        return before
+
+    def append(self, df: DataFrame, load_id: str | None = None, *, mark: str | None = None, kind: str = "",
+               loads: dict[str, int] | None = None, after: Commit | None = None) -> Commit:
         """Add ``df``; with ``mark``, a column, the high mark moves to its greatest value.
 
         New columns join the table's columns; rows written before have null there. A load without
         rows changes nothing and returns the latest commit.
         """
-        before = self.commit()
+        before = self._since(after)
         load_id = load_id or uuid.uuid4().hex
         folder = f"{load_id}-{uuid.uuid4().hex[:8]}"
         got = self._write(df, folder, {"high": F.max(F.col(mark)).cast("string")} if mark else {}, None)
@@ -198,8 +209,9 @@ class SnapshotTable:
             elif known[f.name.lower()].dataType != f.dataType:
                 raise ValueError(f"{self.path}: column {f.name} is {known[f.name.lower()].dataType.simpleString()}, not {f.dataType.simpleString()}")
         highs = [h for h in (before.high if before else None, got.get("high")) if h is not None]
-        parts = (before.parts if before else ()) + ((Part(folder, n, load_id),) if n else ())
-        return self._publish(Commit(before.number + 1 if before else 1, schema.json(), parts, load_id, n, max(highs, default=None)))
+        parts = (before.parts if before else ()) + ((Part(folder, n, load_id, kind),) if n else ())
+        return self._publish(Commit(before.number + 1 if before else 1, schema.json(), parts, load_id, n,
+                                    max(highs, default=None), {**(before.loads if before else {}), **(loads or {})}))
 
     def restate(self, df: DataFrame, by: str, replaced: list[str], load_id: str | None = None) -> Commit:
         """Write ``df`` in one pass into one part for each value of the string column ``by``, and
@@ -215,7 +227,7 @@ class SnapshotTable:
         new = tuple(Part(f"{folder}/{by}={k}", n, load_id, k) for k, n in sorted(counts.items()))
         kept = tuple(p for p in before.parts if p.kind not in replaced) if before else ()
         return self._publish(Commit(before.number + 1 if before else 1, rows.schema.json(), kept + new, load_id,
-                                    sum(counts.values()), before.high if before else None))
+                                    sum(counts.values()), before.high if before else None, before.loads if before else {}))
 
     def retain(self, commits: int = 2) -> int:
         """Forget all but the latest ``commits`` commits and delete the folders that none of
