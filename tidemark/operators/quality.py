@@ -285,15 +285,22 @@ def drift_gate(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing",
     list names every drifting field of a source once, in one string as in the
     oracle; a feed whose keys come from the data makes that string as long.
     """
-    bad = F.col("kind").isin(list(block_kinds))
-    fields = drift.filter(bad).select("source_name", "kind", "field").distinct()
-    named = fields.groupBy("source_name").agg(
+    named = drifting_fields(drift, block_kinds).groupBy("source_name").agg(
         F.concat_ws(",", F.array_sort(F.collect_list(F.concat("kind", F.lit(":"), "field")))).alias("drift"))
-    counted = drift.groupBy("source_name").agg(
-        F.sum(F.when(bad, 1).otherwise(0)).cast(LongType()).alias("n_drift_fields"),
-    )
-    joined = counted.join(named, "source_name", "left").withColumn("drift", F.coalesce("drift", F.lit("")))
-    return joined.withColumn("status", F.when(F.col("n_drift_fields") > 0, "BLOCK").otherwise("PASS"))
+    joined = gate_status(drift, block_kinds).join(named, "source_name", "left")
+    return joined.select("source_name", "n_drift_fields", F.coalesce("drift", F.lit("")).alias("drift"), "status")
+
+
+def drifting_fields(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped")) -> DataFrame:
+    """The drifting fields as rows ``source_name, kind, field`` (Q2), however many a source has."""
+    return drift.filter(F.col("kind").isin(list(block_kinds))).select("source_name", "kind", "field").distinct()
+
+
+def gate_status(drift: DataFrame, block_kinds: Sequence[str] = ("new", "missing", "retyped")) -> DataFrame:
+    """Per source the number of drift rows, and PASS or BLOCK (Q2): one small row a source."""
+    bad = F.col("kind").isin(list(block_kinds))
+    counted = drift.groupBy("source_name").agg(F.sum(F.when(bad, 1).otherwise(0)).cast(LongType()).alias("n_drift_fields"))
+    return counted.withColumn("status", F.when(F.col("n_drift_fields") > 0, "BLOCK").otherwise("PASS"))
 
 
 def apply_gate(df: DataFrame, gate: DataFrame, source_col: str = "source_name") -> tuple[DataFrame, DataFrame]:

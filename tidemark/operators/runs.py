@@ -44,7 +44,7 @@ from .incremental import (
     replace_window,
     unprocessed_files,
 )
-from .quality import AUDIT_SCHEMA, Rule, apply_gate, audit_row, drift_gate, json_field_drift, validate
+from .quality import AUDIT_SCHEMA, Rule, apply_gate, audit_row, gate_status, json_field_drift, validate
 
 LOG_SCHEMA = StructType([StructField("source_name", StringType()), StructField("file_name", StringType()),
                          StructField("processed_date", DateType()), StructField("status", StringType())])
@@ -95,7 +95,8 @@ def open_intents(spark: SparkSession, zones: Zones) -> list[tuple[str, str]]:
 
 def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zones: Zones, *,
                       source_of: Column, date_of: Column, schema: StructType, registry: DataFrame,
-                      rules: Sequence[Rule], run_id: str, run_date: str, since: str) -> DataFrame:
+                      rules: Sequence[Rule], run_id: str, run_date: str, since: str,
+                      drift_of: Callable[..., DataFrame] = json_field_drift) -> DataFrame:
     """One run over a landing folder of JSON feeds; returns the missing-file alerts.
 
     Finishes what an earlier run began; then lists the files, keeps those that match their feed's
@@ -104,11 +105,12 @@ def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zone
     a rule to quarantine and the others to silver, and logs the files. ``source_of`` and
     ``date_of`` give a file's feed and business date from the column ``file_path``. Zones:
     intents, bronze, silver, quarantine, log, audit. Every load adds an audit row, also one that
-    fails (its files stay unlogged); a run without new files adds one for itself.
+    fails (its files stay unlogged); a run without new files adds one for itself. ``drift_of``:
+    how a feed is held against ``registry``; ``nested_drift.json_path_drift`` looks below the top.
     """
     def load(source: str, load_id: str) -> DataFrame:
         try:
-            n = _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date)
+            n = _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of)
             return audit_row(spark, run_id, source, landing, "SUCCESS", n)
         except Exception as e:  # logged; the other feeds go on
             return audit_row(spark, run_id, source, landing, "FAILED", None, f"{type(e).__name__}: {str(e)[:400]}")
@@ -132,7 +134,7 @@ def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zone
     return alerts
 
 
-def _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date) -> int:
+def _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of) -> int:
     """Load the files of one intent; its last step is the log partition, which commits it."""
     files = read_target(spark, zones.intents, INTENT_SCHEMA).filter(F.col("_load_id") == load_id).select("file_path", "file_name")
     # whole folders are read and met with the file set: the driver holds folders, not files
@@ -149,7 +151,7 @@ def _load_files(spark, source, load_id, landing, zones, source_of, schema, regis
     raw = only_wanted(spark.read.text(folders).select("value", F.col("_metadata.file_path").alias("file_path")), "file_path")
     raw = raw.select(F.col("value").alias("record"), source_of.alias("source_name"))
     held = [shared_dir(spark, "gate"), shared_dir(spark, "checked")]
-    drift_gate(json_field_drift(raw, "record", "source_name", registry), ("new", "retyped")).write.parquet(held[0])
+    gate_status(drift_of(raw, "record", "source_name", registry), ("new", "retyped")).write.parquet(held[0])
     gate = spark.read.parquet(held[0])  # one row a feed: the records are parsed for it once
     landed = spark.read.parquet(f"{zones.bronze}/_load_id={load_id}").withColumn("_load_id", F.lit(load_id))
     passing, blocked = apply_gate(landed, gate)

@@ -40,6 +40,7 @@ def load_all() -> None:
     """Import every query module so that its ``register`` calls run."""
     from . import (  # noqa: F401
         clean_queries,
+        drift_queries,
         file_queries,
         gold_queries,
         history_queries,
