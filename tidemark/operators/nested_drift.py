@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from ..session import ensure_checkpoint_dir
-from .quality import DRIFT_SCHEMA, json_value_kind
+from .quality import DRIFT_SCHEMA
 
 _STRINGS = r'"(?:[^"\\]|\\.)*+"'
 
@@ -35,10 +35,18 @@ def _quoted(name: Column) -> Column:
     return F.when(name.rlike(r"[.\[\]`]"), F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))).otherwise(name)
 
 
+def _kind(value: Column) -> Column:
+    """As ``json_value_kind``, with the type asked for once a value."""
+    names = {"STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "OBJECT": "object", "ARRAY": "array"}
+    kinds = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.try_element_at(kinds, F.substring_index(F.schema_of_variant(value), "<", 1)), F.lit("number"))
+
+
 def _held(path: Column, value: Column) -> Column:
-    """``array<struct<path,kind,value>>`` of what an object or array holds; null for other values."""
+    """``array<struct<path,kind,value>>`` of what an object or array holds; null for other values.
+    The kind comes later, in generated code; in here it would be interpreted for each element."""
     def cell(where: Column, what: Column) -> Column:
-        return F.struct(where.alias("path"), json_value_kind(what).alias("kind"), what.alias("value"))
+        return F.struct(where.alias("path"), F.lit(None).cast("string").alias("kind"), what.alias("value"))
 
     fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
     items = F.try_variant_get(value, "$", "array<variant>")
@@ -56,12 +64,13 @@ def observed_paths(raw: DataFrame, json_col: str, source_col: str) -> DataFrame:
     levels = depth(raw, json_col)
     root = F.try_parse_json(F.col(f"`{json_col}`"))
     rows = raw.select(F.col(f"`{source_col}`").alias("source_name"), F.lit("").alias("path"),
-                      json_value_kind(root).alias("kind"), root.alias("value"))
+                      _kind(root).alias("kind"), root.alias("value"))
+    kind = F.coalesce("kind", _kind(F.col("value"))).alias("kind")
     for _ in range(levels):
         itself = F.array(F.struct("path", "kind", F.lit(None).cast("variant").alias("value")))
         held = F.when(F.col("kind").isin("object", "array"), _held(F.col("path"), F.col("value")))
         rows = rows.select("source_name", F.inline(F.concat(itself, F.coalesce(held, F.array().cast(
-            "array<struct<path:string,kind:string,value:variant>>")))))
+            "array<struct<path:string,kind:string,value:variant>>"))))).select("source_name", "path", kind, "value")
     return (rows.filter(F.col("path") != "").groupBy("source_name", "path", "kind")
             .agg(F.count(F.lit(1)).alias("n_values")))
 
