@@ -125,6 +125,38 @@ def q_bronze_evolve(spark, sf_dir):
     return read_evolving(spark, "PARQUET", [p1, p2])
 
 
+@register("bronze_evolve_types", """
+SELECT l_orderkey, l_linenumber, l_shipdate,
+       CAST(CASE WHEN l_shipdate < DATE '1995-01-01' THEN floor(l_quantity) ELSE l_quantity END AS DOUBLE)
+         AS l_quantity,
+       CASE WHEN l_shipdate < DATE '1995-01-01' THEN CAST(l_suppkey AS VARCHAR)
+            ELSE 'S' || CAST(l_suppkey AS VARCHAR) END AS supplier,
+       CAST(CASE WHEN l_shipdate < DATE '1997-01-01' THEN l_partkey
+            ELSE l_partkey + 0.25 END AS DECIMAL(21,2)) AS part,
+       CASE WHEN l_shipdate >= DATE '1997-01-01' THEN l_linestatus END AS l_linestatus
+FROM lineitem
+""")
+def q_bronze_evolve_types(spark, sf_dir):
+    """Three batches of one feed: quantity turns from int to double, the supplier from a number to
+    text, the part from bigint to decimal, and a column comes in with the last batch."""
+    li = table(spark, sf_dir, "lineitem")
+    day, kind = F.col("l_shipdate"), li.schema["l_shipdate"].dataType
+    early, late = day < F.lit("1995-01-01").cast(kind), day >= F.lit("1997-01-01").cast(kind)
+    common = ["l_orderkey", "l_linenumber", "l_shipdate"]
+    as_text = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    batches = [
+        (early, [F.floor("l_quantity").cast("int").alias("l_quantity"), F.col("l_suppkey").cast("int").alias("supplier"),
+                 F.col("l_partkey").cast("long").alias("part")]),
+        (~early & ~late, [F.col("l_quantity"), as_text.alias("supplier"), F.col("l_partkey").cast("long").alias("part")]),
+        (late, [F.col("l_quantity"), as_text.alias("supplier"),
+                (F.col("l_partkey") + F.lit("0.25").cast("decimal(3,2)")).cast("decimal(14,2)").alias("PART"), F.col("l_linestatus")])]
+    paths = []
+    for rows, columns in batches:
+        paths.append(shared_dir(spark, "evolving"))
+        li.filter(rows).select(*common, *columns).write.parquet(paths[-1])
+    return read_evolving(spark, "PARQUET", paths)
+
+
 # Fixed silver rules for the event feeds.
 SILVER_RULES = [Rule("v1", "value", "range", (0, 400)), Rule("v2", "user_id", "not_null")]
 

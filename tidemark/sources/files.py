@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .evolve import conform_frame, join_schemas, read_widened
+
 FORMATS = {"CSV": "csv", "JSON": "json", "PARQUET": "parquet", "ORC": "orc", "TEXT": "text", "AVRO": "avro"}
 
 
@@ -93,18 +96,20 @@ def dated_paths_between(root: str, start: dt.date | str, end: dt.date | str) ->
 
 
 def read_evolving(spark: SparkSession, kind: str, paths: Iterable[str], schema: StructType | None = None,
-                  **options) -> DataFrame:
-    """Permissive bronze read of batches whose columns drift (Q3).
+                  exact: bool = False, **options) -> DataFrame:
+    """Permissive bronze read of batches whose columns drift, in number and in type (Q3).
 
-    Parquet merges footers (``mergeSchema``); other formats are read per batch
-    and stacked by name with missing columns as nulls.
+    Parquet and ORC batches are read in groups of one schema and widened to the join of
+    their types (:mod:`.evolve`). JSON is inferred once over all batches, by the same kind of join.
+    Other formats are read per batch (a CSV header holds for its batch only), widened and
+    stacked by name with missing columns as nulls. ``exact``: no number loses digits.
     """
     paths = list(paths)
     fmt = format_name(kind)
-    if fmt == "parquet" and schema is None:
-        return spark.read.option("mergeSchema", "true").parquet(*paths)
+    if fmt in ("parquet", "orc") and schema is None:
+        return read_widened(spark, fmt, paths, exact, **options)
+    if fmt == "json" and schema is None:
+        return read_source(spark, kind, paths, **options)
     frames = [read_source(spark, kind, p, schema, **options) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    want = join_schemas([f.schema for f in frames], exact)
+    return reduce(DataFrame.unionAll, [conform_frame(f, want) for f in frames])
