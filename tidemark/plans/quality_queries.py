@@ -10,6 +10,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZT
 from ..operators.mapping import mapping_audit
 from ..operators.merge import duplicate_keys
 from ..operators.quality import observed_fields
+from ..operators.rule_table import check_table, flag_rows, load_rules, rejected, summarize
 from ..sources.spec import spec_from_dict
 from ..operators.quality import (
     Rule,
@@ -20,7 +21,7 @@ from ..operators.quality import (
     failure_alerts,
     json_field_drift,
 )
-from .registry import register, table
+from .registry import ORACLE, register, table
 
 # Fixed rule set for lineitem (rule id, column, check, argument).
 LINEITEM_RULES = [
@@ -84,6 +85,50 @@ def q_dq_rejects(spark, sf_dir):
     return dq_rejects(li, LINEITEM_RULES, refs)
 
 
+# The same rules as rows of a rules table, with those of another table beside them.
+RULE_ROWS = [
+    ("lineitem", "r1", "l_orderkey", "not_null", None),
+    ("lineitem", "r2", "l_quantity", "range", '{"min": 1, "max": 45}'),
+    ("lineitem", "r3", "l_returnflag", "in_set", '["A", "N"]'),
+    ("lineitem", "r4", "l_linestatus", "regex", '"^[OF]$"'),
+    ("lineitem", "r5", "l_discount", "range", '{"min": 0.0, "max": 0.08}'),
+    ("lineitem", "r6", "l_orderkey", "unique", '["l_orderkey", "l_linenumber"]'),
+    ("lineitem", "r7", "l_orderkey", "referential", '{"table": "orders", "column": "o_orderkey"}'),
+    ("orders", "o1", "o_custkey", "not_null", None),
+]
+
+
+def rules_frame(spark):
+    return spark.createDataFrame(RULE_ROWS, "table_name string, rule_id string, column_name string, check string, argument string")
+
+
+@register("dq_rules_summary", ORACLE["dq_summary"])
+def q_dq_rules_summary(spark, sf_dir):
+    li, refs = _inputs(spark, sf_dir)
+    rules = load_rules(rules_frame(spark), "lineitem")
+    return summarize(flag_rows(li, rules, refs), rules)
+
+
+@register("dq_rules_rejects", ORACLE["dq_rejects"])
+def q_dq_rules_rejects(spark, sf_dir):
+    li, refs = _inputs(spark, sf_dir)
+    return rejected(flag_rows(li, load_rules(rules_frame(spark), "lineitem"), refs))
+
+
+@register("dq_rules_zones", ORACLE["dq_rejects"].replace("SELECT * FROM v WHERE failed_rules <> ''", """
+SELECT CASE WHEN failed_rules = '' THEN 'silver' ELSE 'quarantine' END AS zone, l_returnflag, count(*) AS n_rows,
+       CAST(sum(l_linenumber) AS BIGINT) AS lines
+FROM v GROUP BY ALL"""))
+def q_dq_rules_zones(spark, sf_dir):
+    """Silver and quarantine from one staged evaluation of the rules table."""
+    li, refs = _inputs(spark, sf_dir)
+    checked = check_table(li, rules_frame(spark), refs, "lineitem")
+    zones = [(checked.silver, "silver"), (checked.quarantine, "quarantine")]
+    parts = [df.groupBy(F.lit(zone).alias("zone"), "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").cast(LongType()).alias("lines")) for df, zone in zones]
+    return parts[0].unionAll(parts[1])
+
+
 @register("duplicate_keys", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
