@@ -284,6 +284,30 @@ def test_hot_words_before_are_spread(spark, monkeypatch):
     assert all(close(got[w[0]], w) for w in kneser_ney_scores(rows)[0])
 
 
+def test_model_that_tasks_carry_does_not_grow_with_the_ranges(spark, monkeypatch):
+    import pickle
+
+    rows = [(i, " ".join(f"w{i}-{j}" for j in range(200))) for i in range(100)]
+    docs, sizes, bits, scores = frame(spark, rows), [], [], []
+    for range_bytes in (1 << 25, 1_000):
+        monkeypatch.setattr(kneser_ney, "RANGE_BYTES", range_bytes)
+        model = kneser_ney.train(docs)
+        sizes.append(len(pickle.dumps(model)))
+        bits.append(model.bits)
+        scores.append(sorted(tuple(r) for r in kneser_ney.score(docs, model).collect()))
+        for name, length in (("offsets", (1 << model.bits) + 1), ("filled", 2 << model.bits)):
+            kind = np.int64 if name == "offsets" else np.bool_
+            assert len(kneser_ney.mapped(f"{model.folder}/{name}", kind)) == length
+    assert bits[0] == 0 and bits[1] >= 7 and abs(sizes[0] - sizes[1]) < 100
+    assert all(close(x[:6], y[:6]) for x, y in zip(*scores, strict=True))
+
+
+def test_each_range_is_a_task_of_its_own(spark):
+    df = spark.range(64).select((F.col("id") % 16).cast("int").alias("part")).repartitionById(16, F.col("part"))
+    per_task = df.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("part").alias("n")).collect()
+    assert len(per_task) == 16 and all(r.n == 1 for r in per_task)
+
+
 def test_packed_runs_round_trip():
     from tidemark.llm.shared_files import pack, unpack
 

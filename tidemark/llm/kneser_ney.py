@@ -4,7 +4,9 @@ Tokens are the words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased, then one end.
 Spark: a task counts its texts and hands over sorted, compressed runs of (key, count),
 split by key range; one task merges each range and writes it as sorted arrays into the
 shared folder. Workers map these files and look tokens up by binary search, so neither
-the driver nor a worker holds the model.
+the driver nor a worker holds the model. Each range is a task of its own. What says where a
+range begins, which words are spread and which ranges hold anything is mapped too: the driver
+computes these arrays (some 70 bytes a range), and no task's closure grows with the text.
 
 * vocabulary: 64-bit token hashes, ascending, in ranges of their top bits, with counts;
   a token's number is its rank;
@@ -50,10 +52,8 @@ class Model:
 
     folder: str
     bits: int  # 2**bits ranges
-    offsets: tuple[int, ...]  # first token number of each vocabulary range, then V
+    size: int  # V
     tokens: int  # N
-    hot: tuple[int, ...]  # numbers of the words before that are spread
-    bigram_parts: frozenset[int]  # bigram ranges that hold any
     discounts: tuple[float, float, float]
     lower_discounts: tuple[float, float, float]
     lower_total: int  # different bigrams
@@ -62,8 +62,30 @@ class Model:
     start_rest: float
 
     @property
-    def size(self) -> int:
-        return self.offsets[-1]
+    def hot(self) -> np.ndarray:
+        return _spread(self.folder)
+
+
+def _offsets(folder: str) -> np.ndarray:
+    """First token number of each vocabulary range, then V."""
+    return mapped(f"{folder}/offsets", np.int64)
+
+
+def _spread(folder: str) -> np.ndarray:
+    """Numbers of the words before that are spread, ascending; the start is one of them."""
+    return mapped(f"{folder}/spread", np.int64)
+
+
+def _runs_of(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(range, first, end) of each run of equal range numbers."""
+    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])).tolist() if len(part) else []
+    for lo, hi in zip(cut, cut[1:], strict=False):
+        yield int(part[lo]), lo, hi
+
+
+def _range_of_number(offsets: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Vocabulary range of each token number; the start, V, is beyond the last one."""
+    return np.searchsorted(offsets, numbers, side="right") - 1
 
 
 def _numbered(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -100,10 +122,9 @@ def _counted(batches: Iterator[pa.RecordBatch], keys_of: Callable, range_of: Cal
         part = range_of(k)
         order = np.argsort(part, kind="stable")
         k, c, part = k[order], c[order], part[order]
-        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(k) else []
-        for lo, hi in zip(cut, [*cut[1:], len(k)], strict=True):
+        for p, lo, hi in _runs_of(part):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(part[lo])], pa.int64()), pa.array([pack(k[lo:hi], True)], pa.binary()),
+                [pa.array([p], pa.int32()), pa.array([pack(k[lo:hi], True)], pa.binary()),
                  pa.array([pack(c[lo:hi])], pa.binary())], names=["part", "keys", "counts"])
 
     for b in batches:
@@ -135,35 +156,33 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
         yield (part, *_merge(keys, counts))
 
 
-RUN = "part long, keys binary, counts binary"
+RUN = "part int, keys binary, counts binary"
 
 
 class _Vocabulary:
     """Token numbers from the mapped ranges."""
 
-    def __init__(self, folder: str, bits: int, offsets: tuple[int, ...]):
-        self.folder, self.bits, self.offsets = folder, bits, np.asarray(offsets, dtype=np.int64)
+    def __init__(self, folder: str, bits: int):
+        self.folder, self.bits, self.offsets = folder, bits, _offsets(folder)
 
     def numbers(self, ascending: np.ndarray) -> np.ndarray:
         """Numbers of ascending token hashes; -1 for unknown ones."""
         out = np.full(len(ascending), -1, dtype=np.int64)
         part = (ascending >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(ascending), np.int64)
-        cut = np.searchsorted(part, np.arange((1 << self.bits) + 1))
-        for p in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        for p, lo, hi in _runs_of(part):
             if self.offsets[p + 1] == self.offsets[p]:
                 continue
-            have, ask = mapped(f"{self.folder}/vocabulary-{p}", np.uint64), ascending[cut[p]:cut[p + 1]]
+            have, ask = mapped(f"{self.folder}/vocabulary-{p}", np.uint64), ascending[lo:hi]
             at = np.searchsorted(have, ask)
             at[at == len(have)] = 0
-            out[cut[p]:cut[p + 1]] = np.where(have[at] == ask, at + self.offsets[p], -1)
+            out[lo:hi] = np.where(have[at] == ask, at + self.offsets[p], -1)
         return out
 
     def column(self, name: str, dtype, numbers: np.ndarray) -> np.ndarray:
         """Values by token number (ascending, none negative)."""
         out = np.zeros(len(numbers), dtype=dtype)
-        cut = np.searchsorted(numbers, self.offsets)
-        for p in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-            out[cut[p]:cut[p + 1]] = mapped(f"{self.folder}/{name}-{p}", dtype)[numbers[cut[p]:cut[p + 1]] - self.offsets[p]]
+        for p, lo, hi in _runs_of(_range_of_number(self.offsets, numbers)):
+            out[lo:hi] = mapped(f"{self.folder}/{name}-{p}", dtype)[numbers[lo:hi] - self.offsets[p]]
         return out
 
 
@@ -171,7 +190,7 @@ def _bigram_range(before: np.ndarray, keys: np.ndarray, bits: int, size: int, ho
     """Range of a bigram: by the word before, or by its own hash if that word is spread."""
     ranges = 1 << bits
     out = (before * ranges // (size + 1)).astype(np.int64)
-    spread = np.isin(before, hot)
+    spread = hot[np.minimum(np.searchsorted(hot, before), len(hot) - 1)] == before
     if spread.any():
         mixed = keys[spread] * np.uint64(0x9E3779B97F4A7C15)
         out[spread] = ranges + (mixed >> np.uint64(64 - bits)).astype(np.int64) if bits else ranges
@@ -220,17 +239,22 @@ def train(docs: DataFrame, text: str = "text") -> Model:
                 [pa.array([part], pa.int64()), pa.array([len(keys)], pa.int64()), pa.array([int(counts.sum())], pa.int64()),
                  pa.array([hot.tolist()], pa.list_(pa.int64()))], names=["part", "size", "tokens", "hot"])
 
-    runs = texts.mapInArrow(hashes, RUN).repartition(ranges, "part")
-    made = staged(runs.mapInArrow(write_vocabulary, "part long, size long, tokens long, hot array<long>"), "vocabulary").collect()
-    sizes = {r["part"]: r["size"] for r in made}  # one row for each range
-    offsets = tuple(int(x) for x in np.concatenate([[0], np.cumsum([sizes.get(p, 0) for p in range(ranges)])]))
-    size, tokens = offsets[-1], sum(r["tokens"] for r in made)
+    runs = texts.mapInArrow(hashes, RUN).repartitionById(ranges, F.col("part"))
+    made = staged(runs.mapInArrow(write_vocabulary, "part long, size long, tokens long, hot array<long>"), "vocabulary")
+    one = made.select("part", "size", "tokens").toArrow()  # a row for each range
+    many = made.select("part", F.explode("hot").alias("at")).toArrow()  # at most 4 for each
+    sizes = np.zeros(ranges, np.int64)
+    sizes[one["part"].to_numpy()] = one["size"].to_numpy()
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    size, tokens = int(offsets[-1]), int(one["tokens"].to_numpy().sum())
     if size >= 2**32 - 1:
         raise ValueError("more than 2**32 - 1 different tokens")
-    hot = (size, *(offsets[r["part"]] + at for r in made for at in r["hot"]))
+    put(f"{folder}/offsets", offsets)
+    put(f"{folder}/spread", np.sort(np.append(offsets[many["part"].to_numpy()] + many["at"].to_numpy(), size)).astype(np.int64))
+    del sizes, offsets, one, many  # tasks map the files
 
     def bigrams(batches):
-        known, spread = _Vocabulary(folder, bits, offsets), np.asarray(hot, dtype=np.int64)
+        known, spread = _Vocabulary(folder, bits), _spread(folder)
 
         def keys_of(found, n):
             distinct, back = np.unique(found, return_inverse=True)
@@ -243,16 +267,15 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         yield from _counted(batches, keys_of, range_of)
 
     def by_number(kind: str, numbers: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cut = np.searchsorted(numbers, offsets)
-        for p in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-            some = slice(cut[p], cut[p + 1])
-            yield stat(kind, p, [pack(numbers[some], True), *(pack(c[some]) for c in columns)], [0] * 4)
-        if cut[-1] < len(numbers):  # the start
-            yield stat("start", 0, [], [int(c[-1]) for c in columns])
+        for p, lo, hi in _runs_of(_range_of_number(_offsets(folder), numbers)):
+            if p == ranges:  # the start
+                yield stat("start", 0, [], [int(c[-1]) for c in columns])
+            else:
+                yield stat(kind, p, [pack(numbers[lo:hi], True), *(pack(c[lo:hi]) for c in columns)], [0] * 4)
 
     def stat(kind: str, part: int, blobs: list[bytes], n: list[int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind], pa.string()), pa.array([part], pa.int64()), pa.array([blobs], pa.list_(pa.binary())),
+            [pa.array([kind], pa.string()), pa.array([part], pa.int32()), pa.array([blobs], pa.list_(pa.binary())),
              *(pa.array([x], pa.int64()) for x in n)], names=["kind", "part", "blobs", "n1", "n2", "n3", "n4"])
 
     def write_bigrams(batches):
@@ -267,19 +290,22 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             word, n = np.unique(word, return_counts=True)
             yield from by_number("word", word, [n])
 
-    found = texts.mapInArrow(bigrams, RUN).repartition(2 * ranges, "part")
+    found = texts.mapInArrow(bigrams, RUN).repartitionById(2 * ranges, F.col("part"))
     stats = staged(found.mapInArrow(
-        write_bigrams, "kind string, part long, blobs array<binary>, n1 long, n2 long, n3 long, n4 long"), "bigrams")
+        write_bigrams, "kind string, part int, blobs array<binary>, n1 long, n2 long, n3 long, n4 long"), "bigrams")
     cc = {r["kind"]: r for r in stats.where("kind in ('total', 'start')").groupBy("kind").agg(
         *(F.sum(f"n{i}").alias(f"n{i}") for i in (1, 2, 3, 4))).collect()}
-    parts = frozenset(r["part"] for r in stats.where("kind = 'total'").select("part").collect())  # one row a range
+    filled = np.zeros(2 * ranges, bool)
+    filled[stats.where("kind = 'total'").select("part").toArrow()["part"].to_numpy()] = True  # one row a range
+    put(f"{folder}/filled", filled)
+    del filled
     d = discounts(*(cc["total"][f"n{i}"] for i in (1, 2, 3, 4))) if "total" in cc else (0.5, 1.0, 1.5)
 
     def rest(total, n1, n2, n3):
         return np.where(total > 0, (d[0] * n1 + d[1] * n2 + d[2] * n3) / np.maximum(total, 1), 1.0)
 
     def write_numbers(batches):
-        parts: dict[int, list[np.ndarray]] = {}
+        offsets, parts = _offsets(folder), {}
         for b in batches:
             for kind, part, blobs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 have = parts.setdefault(part, [np.zeros(offsets[part + 1] - offsets[part], np.int64) for _ in range(5)])
@@ -294,13 +320,13 @@ def train(docs: DataFrame, text: str = "text") -> Model:
                 word.sum(), *((word == i).sum() for i in (1, 2, 3, 4)), (word > 2).sum())],
                 names=["total", "n1", "n2", "n3", "n4", "more"])
 
-    low = staged(stats.where("kind in ('context', 'word')").select("kind", "part", "blobs").repartition(ranges, "part").mapInArrow(
+    low = staged(stats.where("kind in ('context', 'word')").select("kind", "part", "blobs").repartitionById(ranges, F.col("part")).mapInArrow(
         write_numbers, "total long, n1 long, n2 long, n3 long, n4 long, more long"), "numbers").agg(
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "n1", "n2", "n3", "n4", "more"))).first()
     e = discounts(low["n1"], low["n2"], low["n3"], low["n4"])
     lower_rest = (e[0] * low["n1"] + e[1] * low["n2"] + e[2] * low["more"]) / low["total"] if low["total"] else 1.0
     start = [cc["start"][f"n{i}"] for i in (1, 2, 3, 4)] if "start" in cc else [0, 0, 0, 0]
-    return Model(folder, bits, offsets, tokens, tuple(sorted(hot)), parts, d, e, low["total"], lower_rest,
+    return Model(folder, bits, size, tokens, d, e, low["total"], lower_rest,
                  start[0], float(rest(*(np.asarray(x) for x in start))))
 
 
@@ -310,7 +336,7 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 def _scores(m: Model, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(known tokens, base score, model score) of each text."""
-    known = _Vocabulary(m.folder, m.bits, m.offsets)
+    known, filled = _Vocabulary(m.folder, m.bits), mapped(f"{m.folder}/filled", np.bool_)
     distinct, back = np.unique(tokens, return_inverse=True)
     numbers = known.numbers(distinct)
     got = numbers >= 0
@@ -329,12 +355,11 @@ def _scores(m: Model, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
     pair = np.flatnonzero((number >= 0) & (before >= 0))
     keys, where = np.unique((before[pair].astype(np.uint64) << np.uint64(32)) | number[pair].astype(np.uint64), return_inverse=True)
     seen = np.zeros(len(keys), dtype=np.int64)
-    part = _bigram_range((keys >> np.uint64(32)).astype(np.int64), keys, m.bits, m.size, np.asarray(m.hot, dtype=np.int64))
+    part = _bigram_range((keys >> np.uint64(32)).astype(np.int64), keys, m.bits, m.size, _spread(m.folder))
     order = np.argsort(part, kind="stable")
-    cut = np.searchsorted(part[order], np.arange((2 << m.bits) + 1))
-    for p in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-        at = order[cut[p]:cut[p + 1]]
-        if p not in m.bigram_parts:
+    for p, lo, hi in _runs_of(part[order]):
+        at = order[lo:hi]
+        if not filled[p]:
             continue
         have = mapped(f"{m.folder}/bigram-{p}", np.uint64)
         spot = np.searchsorted(have, keys[at])
