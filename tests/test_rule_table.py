@@ -109,3 +109,13 @@ def test_empty_table_and_hot_key(spark):
     hot = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("k"), F.lit("x").alias("v"))
     rules = [Rule("u", "k", "unique"), Rule("w", "v", "referential", ("q", "name"))]
     assert rows(summarize(flag_rows(hot, rules, parents(spark)), rules)) == [("u", "unique", "k", 10000, 30000), ("w", "referential", "v", 0, 30000)]
+
+
+def test_strict_gate_raises_for_a_blocked_source(spark):
+    from tidemark.operators.quality import DriftError, enforce_gate
+
+    gate = spark.createDataFrame([("a", "PASS"), ("b", "BLOCK"), ("c", "BLOCK")], "source_name string, status string")
+    assert rows(enforce_gate(gate)) == [("b",), ("c",)]
+    with pytest.raises(DriftError, match="'b'"):
+        enforce_gate(gate, strict=True)
+    assert enforce_gate(gate.filter("source_name = 'a'"), strict=True).count() == 0

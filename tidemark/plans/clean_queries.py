@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..operators.clean import drop_all_null_columns, nan_to_null_all, null_to_blank, trim_strings
+from ..operators.clean import blanks_to_null, drop_all_null_columns, nan_to_null_all, null_to_blank, trim_strings
 from .registry import register, table
 
 
@@ -59,6 +59,19 @@ def q_null_to_blank(spark, sf_dir):
     return null_to_blank(df)
 
 
+@register("blanks_to_null", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderkey % 7 = 0 THEN ' ' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+FROM orders
+""")
+def q_blanks_to_null(spark, sf_dir):
+    """Empty text is null; a blank that isn't empty stays."""
+    k = F.col("o_orderkey")
+    return blanks_to_null(table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(k % 5 == 0, "").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(k % 7 == 0, " ").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "o_totalprice"))
+
+
 @register("drop_all_null_cols", """
 SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_alias
 FROM customer

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ..operators.history import as_of_view, merged_versions, scd2_apply, scd2_expire, scd2_insert, scd2_new_rows, scd2_store
+from ..operators.history import as_of_view, current_view, merged_versions, scd2_apply, scd2_expire, scd2_insert, scd2_new_rows, scd2_store
 from ..session import shared_dir
 from ..sinks.snapshots import SnapshotTable
 from .registry import register, table
@@ -139,6 +139,13 @@ def q_scd2_asof(spark, sf_dir):
     return as_of_view(snap, "2024-03-01")
 
 
+@register("scd2_current", f"""WITH {_sql_inputs(False)}, {_expired_sql(False)}, {_new_sql(False)},
+snap AS (SELECT * FROM dim WHERE NOT is_current UNION ALL SELECT * FROM expired UNION ALL SELECT * FROM new_rows)
+SELECT * FROM snap WHERE is_current""")
+def q_scd2_current(spark, sf_dir):
+    return current_view(scd2_apply(dimension(spark, sf_dir), source(spark, sf_dir), ["customer_id"], ["city"], AS_OF))
+
+
 @register("scd2_merge_once", _full_sql(False))
 def q_scd2_merge_once(spark, sf_dir):
     """``scd2_full`` on a dimension with NOT NULL columns."""

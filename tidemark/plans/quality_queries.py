@@ -18,7 +18,9 @@ from ..operators.quality import (
     dq_rejects,
     dq_summary,
     drift_gate,
+    enforce_gate,
     failure_alerts,
+    gate_status,
     json_field_drift,
 )
 from .registry import ORACLE, register, table
@@ -216,6 +218,14 @@ def q_drift_gate(spark, sf_dir):
     return drift_gate(json_field_drift(raw_feed(spark, sf_dir), "record", "source_name", registry_frame(spark)))
 
 
+@register("gate_blocked", f"""WITH {_DRIFT_SQL}
+SELECT DISTINCT source_name FROM drift WHERE kind IN ('new', 'retyped')""")
+def q_gate_blocked(spark, sf_dir):
+    """Sources whose new or retyped fields keep them from silver; missing fields don't."""
+    drift = json_field_drift(raw_feed(spark, sf_dir), "record", "source_name", registry_frame(spark))
+    return enforce_gate(gate_status(drift, ("new", "retyped")))
+
+
 def run_log(spark, sf_dir):
     """Audit log (F10) derived from events: one load run per event."""
     ev = table(spark, sf_dir, "events")
