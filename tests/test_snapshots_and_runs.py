@@ -185,14 +185,14 @@ def land(root, feed, day, records):
     (folder / f"{feed}_{day}.json").write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
 
 
-def pipeline(spark, landing, zones, run_id):
+def pipeline(spark, landing, zones, run_id, rules=(Rule("v", "value", "range", (0, 100)),), refs=None):
     schema = spark.createDataFrame([], FEED).schema
     feeds = spark.createDataFrame([(f, f"{f}_*.json", "Y") for f in ("a", "b")], "source_name string, file_pattern string, expected_daily string")
     registry = spark.createDataFrame([(s, f, "number") for s in ("a", "b") for f in ("id", "value")], "source_name string, field string, type string")
     name = F.element_at(F.split("file_path", "/"), -1)
     return run_file_pipeline(spark, feeds, str(landing), zones, source_of=F.split(name, "_")[0],
                              date_of=F.to_date(F.regexp_extract(name, r"_(\d{8})", 1), "yyyyMMdd"), schema=schema, registry=registry,
-                             rules=[Rule("v", "value", "range", (0, 100))], run_id=run_id, run_date="2024-02-01", since="2024-02-01")
+                             rules=rules, run_id=run_id, run_date="2024-02-01", since="2024-02-01", refs=refs)
 
 
 def zones_hold(spark, zones):
@@ -259,3 +259,23 @@ def test_the_load_id_is_that_of_the_file_set(spark):
     files = [("a", f"/x/{i}.json", f"{i}.json") for i in range(20)] + [("b", "/x/1.json", "1.json")]
     ids = lambda rows: {r.source_name: r.load_id for r in runs.load_ids(spark.createDataFrame(rows, "source_name string, file_path string, file_name string")).collect()}
     assert ids(files) == ids(files[::-1]) and ids(files)["a"] != ids(files[1:])["a"] and ids(files)["a"] != ids(files)["b"]
+
+
+def test_file_pipeline_with_a_rules_table_for_each_feed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a", "20240101", [{"id": i, "value": i * 30.0} for i in range(6)] + [{"id": 5, "value": 1.0}])
+    land(landing, "b", "20240101", [{"id": 10, "value": 500.0}])
+    table = [("a", "v", "value", "range", '{"max": 100}'), ("a", "u", "id", "unique", None),
+             ("a", "p", "id", "referential", '{"table": "known", "column": "id"}'), ("b", "w", "absent", "in_set", "{}")]
+    rules = spark.createDataFrame(table, "table_name string, rule_id string, column_name string, check string, argument string")
+    zones = Zones(str(tmp_path / "z"))
+    pipeline(spark, landing, zones, "r1", rules, {"known": spark.range(1, 100)})
+    found = zones_hold(spark, zones)
+    assert found["silver"] == [("a", 1), ("a", 2), ("a", 3)]
+    assert found["quarantine"] == [("a", 0, "p"), ("a", 4, "v"), ("a", 5, "u"), ("a", 5, "u,v")]
+    assert ("b", 10) in found["bronze"] and [f[0] for f in found["log"]] == ["a"]
+    audit = {r.source_name: (r.status, r.error_message) for r in spark.read.parquet(zones.audit).collect()}
+    assert audit["a"][0] == "SUCCESS" and audit["b"][0] == "FAILED" and "rule w" in audit["b"][1]
+    fixed = rules.filter("table_name = 'a'")
+    pipeline(spark, landing, zones, "r2", fixed, {"known": spark.range(1, 100)})
+    assert ("b", 10) in zones_hold(spark, zones)["silver"]

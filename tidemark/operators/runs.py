@@ -45,6 +45,7 @@ from .incremental import (
     unprocessed_files,
 )
 from .quality import AUDIT_SCHEMA, Rule, apply_gate, audit_row, gate_status, json_field_drift, validate
+from .rule_table import load_rules
 
 LOG_SCHEMA = StructType([StructField("source_name", StringType()), StructField("file_name", StringType()),
                          StructField("processed_date", DateType()), StructField("status", StringType())])
@@ -95,8 +96,9 @@ def open_intents(spark: SparkSession, zones: Zones) -> list[tuple[str, str]]:
 
 def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zones: Zones, *,
                       source_of: Column, date_of: Column, schema: StructType, registry: DataFrame,
-                      rules: Sequence[Rule], run_id: str, run_date: str, since: str,
-                      drift_of: Callable[..., DataFrame] = json_field_drift) -> DataFrame:
+                      rules: Sequence[Rule] | DataFrame, run_id: str, run_date: str, since: str,
+                      drift_of: Callable[..., DataFrame] = json_field_drift,
+                      refs: dict[str, DataFrame] | None = None) -> DataFrame:
     """One run over a landing folder of JSON feeds; returns the missing-file alerts.
 
     Finishes what an earlier run began; then lists the files, keeps those that match their feed's
@@ -107,10 +109,13 @@ def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zone
     intents, bronze, silver, quarantine, log, audit. Every load adds an audit row, also one that
     fails (its files stay unlogged); a run without new files adds one for itself. ``drift_of``:
     how a feed is held against ``registry``; ``nested_drift.json_path_drift`` looks below the top.
+    ``rules``: a list, or a rules table (:mod:`.rule_table`) whose ``table_name``, if it has that column,
+    is the feed; a table that can't be applied fails its feed, after bronze. ``refs``: parent
+    tables of referential rules. Unique rules look at the rows of one load.
     """
     def load(source: str, load_id: str) -> DataFrame:
         try:
-            n = _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of)
+            n = _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of, refs)
             return audit_row(spark, run_id, source, landing, "SUCCESS", n)
         except Exception as e:  # logged; the other feeds go on
             return audit_row(spark, run_id, source, landing, "FAILED", None, f"{type(e).__name__}: {str(e)[:400]}")
@@ -134,7 +139,7 @@ def run_file_pipeline(spark: SparkSession, config: DataFrame, landing: str, zone
     return alerts
 
 
-def _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of) -> int:
+def _load_files(spark, source, load_id, landing, zones, source_of, schema, registry, rules, run_date, drift_of, refs) -> int:
     """Load the files of one intent; its last step is the log partition, which commits it."""
     files = read_target(spark, zones.intents, INTENT_SCHEMA).filter(F.col("_load_id") == load_id).select("file_path", "file_name")
     # whole folders are read and met with the file set: the driver holds folders, not files
@@ -155,7 +160,9 @@ def _load_files(spark, source, load_id, landing, zones, source_of, schema, regis
     gate = spark.read.parquet(held[0])  # one row a feed: the records are parsed for it once
     landed = spark.read.parquet(f"{zones.bronze}/_load_id={load_id}").withColumn("_load_id", F.lit(load_id))
     passing, blocked = apply_gate(landed, gate)
-    checked = validate(passing, rules).unionByName(blocked.withColumn("failed_rules", F.lit("schema drift")))
+    if isinstance(rules, DataFrame):
+        rules = load_rules(rules, source if "table_name" in rules.columns else None)
+    checked = validate(passing, rules, refs).unionByName(blocked.withColumn("failed_rules", F.lit("schema drift")))
     checked.write.parquet(held[1])  # the rules are evaluated once for both zones
     checked = spark.read.schema(checked.schema).parquet(held[1])
     replace_load(checked.filter("failed_rules <> ''"), zones.quarantine, load_id, ["source_name"])
