@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 from collections import Counter
 
 from conftest import rows
@@ -77,3 +78,45 @@ def test_many_fields_from_the_data(spark):
     reg = spark.createDataFrame([("s", "p", "object")], "source_name string, field string, type string")
     out = json_path_drift(raw, "record", "source_name", reg)
     assert out.filter("kind = 'new'").count() == 3000 and out.filter("kind = 'ok'").first()["n_records"] == 3000
+
+
+TOKENS = ['"', '\\"', "\\\\", "\\q", "\\u00e9", "\\u12", ":", ",", "{", "}", "[", "]", " ", "\n", "\t", "\x01", "\x02", "-", "--", "0", "01",
+          "7", "-3.5", "1.", ".5", "1e5", "1E+", "9" * 120, "true", "null", "nul", "NaN", "é", '"k":', '"k" :', '"k1":5', '"a 1 b"', "\\"]
+
+
+def test_shapes_hold_what_their_records_hold(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.nested_drift import _paths, shapes
+
+    rng = random.Random(7)
+    known = [t for _, t in RECORDS if t and len(t) < 100]
+    texts = [*known, None, ""] + [
+        '{"a":--1}', '["5\\q"]', '["5\n,"x"]', '["x\\"5\\"\n]', '{5:1}', '{"a" : "b:c","1":"2"}', '{"a":1}\x01 "', '"a":1', '[1,"a"2]',
+        '{"a":1,"a":2}', '{"\\u0061":"\\ud83d\\ude00","$1":"$2"}', '{"a":01}', '{"a":1.}', '{"a":-}', '{"a":-0.0e-7}', '["\x01"]', "['1']"]
+    for _ in range(1500):
+        base = rng.choice(known)
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randint(0, len(base))
+            base = base[:at] + rng.choice(TOKENS) + base[at + rng.randint(0, 2):]
+        texts.append(base)
+    texts += ["".join(rng.choice(TOKENS) for _ in range(rng.randint(1, 8))).join(rng.choice(['[]', '{}'])) for _ in range(1500)]
+    raw = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "source_name string, record string").repartition(8)
+    plain = raw.select("source_name", F.col("record").alias("shape"), F.lit(1).cast("long").alias("n_records"))
+    want = rows(_paths(plain))
+    assert len({r[0] for r in want}) > 200
+    assert rows(observed_paths(raw, "record", "source_name")) == want
+    counted = shapes(raw, "record", "source_name")
+    assert counted.count() == len(texts) and "\x01" not in "".join(r["shape"] or "" for r in counted.collect())
+
+
+def test_records_of_one_shape_are_walked_once(spark):
+    from tidemark.operators.nested_drift import shapes
+
+    raw = spark.range(40000).selectExpr(
+        "if(id % 2 = 0, 's', 't') as source_name",
+        "to_json(struct(id - 20000 as n, id / 7 as x, concat('a \"', id, '\": [1] \\\\') as t, array(struct(id as k), struct(-id as k)) as p)) as record")
+    assert rows(shapes(raw, "record", "source_name")) == [
+        (s, '{"n":0,"x":0,"t":"","p":[{"k":0},{"k":0}]}', 20000) for s in "st"]
+    assert rows(observed_paths(raw, "record", "source_name"))[:3] == [
+        ("s", "n", "number", 20000), ("s", "p", "array", 20000), ("s", "p[]", "object", 40000)]

@@ -3,10 +3,12 @@
 A path names where a value stands: ``ship.mode``, ``items[]`` (any element of the array) and
 ``items[].sku``; a field name that holds one of ``.[]`` or a backtick is quoted in backticks.
 
-Each record is parsed once and walked by a chain of generators, one for each level: a value
-that holds others is replaced by itself and what it holds, all others pass through. The number
-of levels comes from the records themselves (one pass that counts brackets outside of strings),
-so no depth is cut off. Counts are combined by each task before anything is shuffled.
+Paths and kinds don't depend on what the strings and numbers are, so one pass over the records
+replaces each by one of its kind and counts the shapes that come out; tasks combine the counts
+before anything is shuffled. Each shape is then parsed once and walked by a chain of generators,
+one for each level: a value that holds others is replaced by itself and what it holds, all others
+pass through. The number of levels comes from the shapes themselves (one pass that counts brackets
+outside of strings), so no depth is cut off. Records that differ in shape are walked one by one.
 """
 
 from __future__ import annotations
@@ -19,6 +21,14 @@ from ..session import ensure_checkpoint_dir
 from .quality import DRIFT_SCHEMA
 
 _STRINGS = r'"(?:[^"\\]|\\.)*+"'
+# Only strings and numbers that a JSON parser takes: it has to refuse a broken one in the shape too.
+_REST = r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"'
+_NUMBER = r'(?<![\w.+"\-])-?(?:0|[1-9][0-9]{0,99}+)(?:[.][0-9]{1,99}+)?(?:[eE][+\-]?[0-9]{1,9}+)?(?![\w.+\-])'
+# What the groups keep: a field's name whole, of a string its first quote, of a number nothing.
+_TOKENS = rf'("{_REST}[ \t\r\n]*+)(?=:)|("){_REST}|{_NUMBER}'
+_MARK = "\x01"  # put behind each; stands nowhere in JSON
+#: Longer records (bytes) stay as they are, since the parser refuses values that get too large.
+WHOLE_BYTES = 1 << 20
 
 
 def depth(raw: DataFrame, json_col: str) -> int:
@@ -55,24 +65,45 @@ def _held(path: Column, value: Column) -> Column:
                       F.transform(items, lambda v: cell(F.concat(path, F.lit("[]")), v)))
 
 
+def shapes(raw: DataFrame, json_col: str, source_col: str) -> DataFrame:
+    """``source_name, shape, n_records``: the records with ``""`` for each string that is a value and
+    ``0`` for each number. Field names, order and blanks stay; a record is JSON if its shape is.
+    Kept below the checkpoint folder, so that the records are read once. Runs one job."""
+    ensure_checkpoint_dir(raw.sparkSession)
+    # no other character that JSON refuses may pass for the mark
+    text = F.replace(F.col(f"`{json_col}`"), F.lit(_MARK), F.lit("\x02"))
+    marked = raw.select(F.col(f"`{source_col}`").alias("source_name"), text.alias("text")).select(
+        "source_name", F.when(F.octet_length("text") > WHOLE_BYTES, F.col("text"))
+        .otherwise(F.regexp_replace("text", _TOKENS, f"$1$2{_MARK}")).alias("marked"))
+    counted = marked.groupBy("source_name", "marked").agg(F.count(F.lit(1)).alias("n_records"))
+    # the mark of a field's name stands before its colon, that of a string behind the quote that is left
+    quoted = F.regexp_replace("marked", f'"{_MARK}(?!:)', '""')
+    named = F.replace(quoted, F.lit(f"{_MARK}:"), F.lit(":"))
+    return counted.select("source_name", F.replace(named, F.lit(_MARK), F.lit("0")).alias("shape"),
+                          "n_records").checkpoint(eager=True)
+
+
 def observed_paths(raw: DataFrame, json_col: str, source_col: str) -> DataFrame:
     """``source_name, path, kind, n_values`` over every value in every record.
 
     ``n_values`` counts values, so a path below an array may count more than once a record.
-    Records that are null or no JSON hold nothing. Runs one job, for the depth.
+    Records that are null or no JSON hold nothing. Runs two jobs, for the shapes and their depth.
     """
-    levels = depth(raw, json_col)
-    root = F.try_parse_json(F.col(f"`{json_col}`"))
-    rows = raw.select(F.col(f"`{source_col}`").alias("source_name"), F.lit("").alias("path"),
-                      _kind(root).alias("kind"), root.alias("value"))
+    return _paths(shapes(raw, json_col, source_col))
+
+
+def _paths(counted: DataFrame) -> DataFrame:
+    """:func:`observed_paths` of the records whose :func:`shapes` these are."""
+    root = F.try_parse_json("shape")
+    rows = counted.select("source_name", "n_records", F.lit("").alias("path"), _kind(root).alias("kind"), root.alias("value"))
     kind = F.coalesce("kind", _kind(F.col("value"))).alias("kind")
-    for _ in range(levels):
+    for _ in range(depth(counted, "shape")):
         itself = F.array(F.struct("path", "kind", F.lit(None).cast("variant").alias("value")))
         held = F.when(F.col("kind").isin("object", "array"), _held(F.col("path"), F.col("value")))
-        rows = rows.select("source_name", F.inline(F.concat(itself, F.coalesce(held, F.array().cast(
-            "array<struct<path:string,kind:string,value:variant>>"))))).select("source_name", "path", kind, "value")
+        rows = rows.select("source_name", "n_records", F.inline(F.concat(itself, F.coalesce(held, F.array().cast(
+            "array<struct<path:string,kind:string,value:variant>>"))))).select("source_name", "n_records", "path", kind, "value")
     return (rows.filter(F.col("path") != "").groupBy("source_name", "path", "kind")
-            .agg(F.count(F.lit(1)).alias("n_values")))
+            .agg(F.sum("n_records").alias("n_values")))
 
 
 def json_path_drift(raw: DataFrame, json_col: str, source_col: str, registry: DataFrame) -> DataFrame:
@@ -82,11 +113,11 @@ def json_path_drift(raw: DataFrame, json_col: str, source_col: str, registry: Da
     Output as :func:`tidemark.operators.quality.json_field_drift`; ``n_records`` counts values,
     and for ``missing`` the objects (for a field at the top: the records) that lack the field.
     A field whose whole parent is missing is not reported beside its parent. Elements of an
-    array are never missing. Runs two jobs over the records: depth and counts.
+    array are never missing. Runs one job over the records, two over their shapes: depth and counts.
     """
-    # a small table, used three times: kept, so that the records are walked once
-    ensure_checkpoint_dir(raw.sparkSession)
-    seen = observed_paths(raw, json_col, source_col).checkpoint(eager=True)
+    counted = shapes(raw, json_col, source_col)
+    # a small table, used three times: kept, so that the shapes are walked once
+    seen = _paths(counted).checkpoint(eager=True)
     wanted = registry.select("source_name", F.col("field"), F.col("type").alias("expected_type"))
     present = seen.withColumnRenamed("path", "field").join(wanted, ["source_name", "field"], "left").select(
         "source_name", "field",
@@ -94,7 +125,7 @@ def json_path_drift(raw: DataFrame, json_col: str, source_col: str, registry: Da
          .when(F.col("expected_type") != F.col("kind"), "retyped").otherwise("ok").alias("kind"),
         F.col("kind").alias("observed_type"), "expected_type", F.col("n_values").alias("n_records"))
     # the objects that may hold a field: those at its parent's path, or the records
-    records = raw.groupBy(F.col(f"`{source_col}`").alias("source_name")).agg(F.count(F.lit(1)).alias("n_parents"))
+    records = counted.groupBy("source_name").agg(F.sum("n_records").alias("n_parents"))
     holders = (seen.filter("kind = 'object'").select("source_name", F.col("path").alias("parent"), F.col("n_values").alias("n_parents"))
                .unionByName(records.withColumn("parent", F.lit(""))))
     found = seen.groupBy("source_name", F.col("path").alias("field")).agg(F.sum("n_values").alias("n_found"))
