@@ -120,3 +120,11 @@ def test_records_of_one_shape_are_walked_once(spark):
         (s, '{"n":0,"x":0,"t":"","p":[{"k":0},{"k":0}]}', 20000) for s in "st"]
     assert rows(observed_paths(raw, "record", "source_name"))[:3] == [
         ("s", "n", "number", 20000), ("s", "p", "array", 20000), ("s", "p[]", "object", 40000)]
+
+
+def test_drift_reads_its_records_once(spark, tmp_path):
+    spark.createDataFrame(RECORDS, "source_name string, record string").write.parquet(str(tmp_path / "feed"))
+    reg = spark.createDataFrame([("s", "a", "number")], "source_name string, field string, type string")
+    out = json_path_drift(spark.read.parquet(str(tmp_path / "feed")), "record", "source_name", reg)
+    assert out.inputFiles() == []  # the number of records comes from their shapes
+    assert ("s", "a", "missing", None, "number", 6) in rows(out)
