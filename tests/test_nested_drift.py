@@ -128,3 +128,18 @@ def test_drift_reads_its_records_once(spark, tmp_path):
     out = json_path_drift(spark.read.parquet(str(tmp_path / "feed")), "record", "source_name", reg)
     assert out.inputFiles() == []  # the number of records comes from their shapes
     assert ("s", "a", "missing", None, "number", 6) in rows(out)
+
+
+def test_one_match_a_value(spark):
+    """Names, brackets and literals are no matches of their own, and runs of them no recursion."""
+    import re
+
+    from tidemark.operators.nested_drift import _END, _VALUES, shapes
+
+    record = '{"a":[1,"t",{"b1":{"c 2":-3.5e7}}],"d":true,"e":null,"f":"4"}'
+    assert len(re.findall(_VALUES, record + _END)) == 4 + 1  # and one for the end
+    names = "{" + ",".join(f'"k{i}":true' for i in range(20000)) + "}"
+    texts = [names, '["' + '\\n\\u00e9' * 20000 + '"]', "[" * 50000, '"' * 20001, "7" * 20000, "1,-" * 20000]
+    raw = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "source_name string, record string")
+    got = {r["source_name"]: r["shape"] for r in shapes(raw, "record", "source_name").collect()}
+    assert [got[str(i)] for i in range(6)] == [names, '[""]', "[" * 50000, '"' * 20001, "7" * 20000, "0," * 20000 + "-"]

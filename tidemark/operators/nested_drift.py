@@ -22,11 +22,16 @@ from .quality import DRIFT_SCHEMA
 
 _STRINGS = r'"(?:[^"\\]|\\.)*+"'
 # Only strings and numbers that a JSON parser takes: it has to refuse a broken one in the shape too.
-_REST = r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"'
+_CONTROL = "".join(f"\\x{i:02x}" for i in range(32))  # one by one, which Java matches by a table
+_REST = rf'[^"\\{_CONTROL}]*+(?:(?:\\["\\/bfnrt]|\\u[0-9a-fA-F]{{4}})[^"\\{_CONTROL}]*+)*+"'
 _NUMBER = r'(?<![\w.+"\-])-?(?:0|[1-9][0-9]{0,99}+)(?:[.][0-9]{1,99}+)?(?:[eE][+\-]?[0-9]{1,9}+)?(?![\w.+\-])'
-# What the groups keep: a field's name whole, of a string its first quote, of a number nothing.
-_TOKENS = rf'("{_REST}[ \t\r\n]*+)(?=:)|("){_REST}|{_NUMBER}'
-_MARK = "\x01"  # put behind each; stands nowhere in JSON
+# A match takes all up to the next value, fields' names included, and the value; so there are as many
+# matches as values and none is looked for twice. The groups keep what stands before, of a string its
+# quotes, of a number nothing, and the first character of what is neither (in a broken record).
+_BEFORE = rf'(?:[^"\-0123456789]++|"{_REST}[ \t\r\n]*+:)*+'
+_VALUES = rf'({_BEFORE})(?:{_NUMBER}|(")(?:{_REST[:-1]})(")|(["\-0-9]))'
+_MARK = "\x01"  # put behind each match; stands nowhere in JSON
+_END = " -"  # put behind the text, so that what follows its last value ends in a match too
 #: Longer records (bytes) stay as they are, since the parser refuses values that get too large.
 WHOLE_BYTES = 1 << 20
 
@@ -74,12 +79,12 @@ def shapes(raw: DataFrame, json_col: str, source_col: str) -> DataFrame:
     text = F.replace(F.col(f"`{json_col}`"), F.lit(_MARK), F.lit("\x02"))
     marked = raw.select(F.col(f"`{source_col}`").alias("source_name"), text.alias("text")).select(
         "source_name", F.when(F.octet_length("text") > WHOLE_BYTES, F.col("text"))
-        .otherwise(F.regexp_replace("text", _TOKENS, f"$1$2{_MARK}")).alias("marked"))
+        .otherwise(F.regexp_replace(F.concat("text", F.lit(_END)), _VALUES, f"$1$2$3$4{_MARK}")).alias("marked"))
     counted = marked.groupBy("source_name", "marked").agg(F.count(F.lit(1)).alias("n_records"))
-    # the mark of a field's name stands before its colon, that of a string behind the quote that is left
-    quoted = F.regexp_replace("marked", f'"{_MARK}(?!:)', '""')
-    named = F.replace(quoted, F.lit(f"{_MARK}:"), F.lit(":"))
-    return counted.select("source_name", F.replace(named, F.lit(_MARK), F.lit("0")).alias("shape"),
+    # behind its quotes stands a string's mark, behind one character that of what is no value
+    shape = F.regexp_replace("marked", rf"{_END}{_MARK}\z", "")
+    shape = F.regexp_replace(F.replace(shape, F.lit(f'""{_MARK}'), F.lit('""')), rf'(["\-0-9]){_MARK}', "$1")
+    return counted.select("source_name", F.replace(shape, F.lit(_MARK), F.lit("0")).alias("shape"),
                           "n_records").checkpoint(eager=True)
 
 
